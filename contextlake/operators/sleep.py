@@ -61,7 +61,10 @@ def sleep_summary(nights: DataFrame, user_col: str = "user_id") -> DataFrame:
         F.round(F.avg("duration_minutes"), 1).alias("avg_duration_minutes"),
         F.round(F.avg("quality_score"), 1).alias("avg_quality_score"),
         F.round(F.avg("recovery_score"), 1).alias("avg_recovery_score"),
-        F.round(F.avg("sleep_efficiency"), 3).alias("avg_sleep_efficiency"),
+        # Three-decimal ratios: averaged as decimals the result does not depend on row order.
+        F.round(F.avg(F.col("sleep_efficiency").cast("decimal(9,3)")), 3)
+        .cast("double")
+        .alias("avg_sleep_efficiency"),
     )
     return grouped.select(
         user_col,

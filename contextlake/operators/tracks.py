@@ -59,7 +59,8 @@ def route_summary(
         "started_at",
         "ended_at",
         F.round(minutes, 2).alias("duration_minutes"),
-        F.round("_km", 3).alias("distance_km"),
-        F.round("_climb", 1).alias("elevation_gain_m"),
+        # Binary noise depends on the order of addition: cut it before the final rounding.
+        F.round(F.round("_km", 9), 3).alias("distance_km"),
+        F.round(F.round("_climb", 6), 1).alias("elevation_gain_m"),
         "point_count",
     )
