@@ -175,7 +175,7 @@ def calendar_blocks(df: DataFrame, text: str = "text", path: str | None = "path"
         F.greatest(F.floor(seconds_between(F.col("_start"), F.col("_end")) / 60), F.lit(0))
         .cast("int")
         .alias("duration_minutes"),
-        ~F.contains(prop("DTSTART"), F.lit("T")).alias("all_day"),
+        (~F.contains(prop("DTSTART"), F.lit("T"))).alias("all_day"),
         F.nullif(
             F.regexp_extract(F.col("_block"), r"(?im)^DTSTART;[^:\r\n]*TZID=([^:;\r\n]*)", 1),
             F.lit(""),

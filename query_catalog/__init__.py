@@ -12,11 +12,11 @@ _MODULES = (
     "join_queries",
     "projection_queries",
     "function_queries",
-#    "source_queries",
-#    "sink_queries",
+    "source_queries",
+    "sink_queries",
 #    "domain_queries",
 #    "quality_queries",
-#    "stream_queries",
+    "stream_queries",
 )
 for _module in _MODULES:
     importlib.import_module(f"{__name__}.{_module}")
