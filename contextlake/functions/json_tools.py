@@ -6,8 +6,10 @@ needs a real walk, the one place where an Arrow-batched Python function is used.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
@@ -104,11 +106,8 @@ def _json_walker(names: tuple[str, ...], mode: str):
     banned = frozenset(names)
 
     # Nested so that it ships to the workers by value.
-    def run(series):
-        import json
-
-        import pandas as pd
-
+    @F.pandas_udf(StringType())
+    def run(series: pd.Series) -> pd.Series:
         def walk(node):
             if isinstance(node, dict):
                 out = {}
@@ -136,4 +135,4 @@ def _json_walker(names: tuple[str, ...], mode: str):
 
         return pd.Series([one(text) for text in series], dtype=object)
 
-    return F.pandas_udf(run, StringType(), F.PandasUDFType.SCALAR)
+    return run

@@ -238,7 +238,7 @@ def note_summaries(df: DataFrame, imported_at: str, path: str = "path") -> DataF
     """Notes (title, summary, tags text, mood) to hashes, word count and tags."""
     tags = F.transform(F.split(F.coalesce("tags", F.lit("")), ","), strip)
     kept = F.slice(F.filter(tags, lambda t: t != ""), 1, 12)
-    labels = F.filter(F.transform(kept, clean_label), lambda t: t != "")
+    labels = F.filter(F.transform(kept, lambda t: clean_label(t)), lambda t: t != "")
     return df.select(
         first_filled("occurred_at", "created_at", "updated_at", "date", col(imported_at)).alias("occurred_at"),
         stable_hash("title").alias("title_hash"),

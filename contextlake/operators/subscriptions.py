@@ -38,7 +38,7 @@ def register_subscriptions(requests: DataFrame) -> DataFrame:
         "reference",
         filled(clean_display_label("label"), default_label("reference")).alias("label"),
         filled(clean_display_label("domain"), default_domain("source_type")).alias("domain"),
-        F.filter(F.transform("tags", clean_display_label), lambda t: t != "").alias("tags"),
+        F.filter(F.transform("tags", lambda t: clean_display_label(t)), lambda t: t != "").alias("tags"),
         F.lit(True).alias("enabled"),
         "privacy_class",
         filled(clean_display_label("cadence"), F.lit("manual")).alias("cadence"),

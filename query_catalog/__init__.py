@@ -14,8 +14,8 @@ _MODULES = (
     "function_queries",
     "source_queries",
     "sink_queries",
-#    "domain_queries",
-#    "quality_queries",
+    "domain_queries",
+    "quality_queries",
     "stream_queries",
 )
 for _module in _MODULES:
