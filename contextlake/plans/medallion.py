@@ -11,6 +11,7 @@ from ..functions.text import col
 from ..functions.times import AsOf, as_of_col, parse_iso
 from ..functions.wire import decode_avro_payload, decode_json_payload, payload_size, schema_id
 from ..schemas import BRONZE_EVENT, MEDALLION_EVENT
+from ..sinks.tables import prune_to
 from ..sources.files import read_landing
 
 GOLD_CONDITION = "source_name = 'daily_context_profile' OR event_type LIKE 'decision_%'"
@@ -108,29 +109,36 @@ def stage(df: DataFrame, columns: Sequence[str] | str) -> DataFrame:
 
 
 def load_medallion(
-    spark: SparkSession, landing_path: str, bronze_path: str, silver_path: str, gold_path: str
+    spark: SparkSession,
+    landing_path: str,
+    bronze_path: str,
+    silver_path: str,
+    gold_path: str,
+    staging: str,
 ) -> dict[str, int]:
-    """Load new landing events into bronze, silver and gold; returns rows written.
+    """Load landing events into bronze, silver and gold; returns rows written per layer.
 
-    Events already in bronze (by ``event_id``) are skipped, so a rerun adds
-    nothing. Only sources present in the new batch are looked up. Silver and
-    gold are read back from the batch just written to bronze, so the landing
-    files are parsed once.
+    The landing files are parsed once into ``staging`` (a new folder), one row
+    per ``event_id``. Each layer then inserts what it does not hold yet, so a
+    rerun adds nothing and a load that stopped half way can be repeated.
     """
-    incoming = landing_to_bronze(read_landing(spark, landing_path)).dropDuplicates(["event_id"])
-    fresh = incoming
-    if _has_data(spark, bronze_path):
-        loaded = spark.read.parquet(bronze_path).select("source_name", "event_id")
-        fresh = incoming.join(loaded, ["source_name", "event_id"], "left_anti")
-    batch_path = f"{bronze_path.rstrip('/')}_batch"
-    batch = _write_counted(fresh, batch_path, "overwrite")
-    written = spark.read.schema(fresh.schema).parquet(batch_path)
-    return {
-        "bronze": _write_counted(written, bronze_path, "append", "source_name"),
-        "silver": _write_counted(to_silver(written), silver_path, "append", "source_name"),
-        "gold": _write_counted(to_gold(written), gold_path, "append", "source_name"),
-        "batch": batch,
+    incoming = landing_to_bronze(read_landing(spark, landing_path))
+    _write_counted(incoming.dropDuplicates(["event_id"]), staging, "overwrite")
+    batch = spark.read.schema(incoming.schema).parquet(staging)
+    layers = {
+        "bronze": (batch, bronze_path),
+        "silver": (to_silver(batch), silver_path),
+        "gold": (to_gold(batch), gold_path),
     }
+    return {name: _insert_new_events(spark, df, path) for name, (df, path) in layers.items()}
+
+
+def _insert_new_events(spark: SparkSession, batch: DataFrame, path: str) -> int:
+    fresh = batch
+    if _has_data(spark, path):
+        held = prune_to(spark.read.schema(batch.schema).parquet(path), batch, "source_name")
+        fresh = batch.join(held.select("event_id"), "event_id", "left_anti")
+    return _write_counted(fresh, path, "append", "source_name")
 
 
 def _write_counted(df: DataFrame, path: str, mode: str, partition: str | None = None) -> int:

@@ -19,6 +19,7 @@ def ensure_table(
     partition_by: Sequence[str] = ("event_source",),
     properties: Mapping[str, str] | None = None,
     using: str = "parquet",
+    location: str | None = None,
     name_parts: int = 3,
 ) -> None:
     """Create the namespace and table when missing. The name must be fully qualified."""
@@ -32,6 +33,7 @@ def ensure_table(
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING {using}"
         + (f" PARTITIONED BY ({quoted})" if quoted else "")
+        + (f" LOCATION '{location}'" if location else "")
         + (f" TBLPROPERTIES ({options})" if options else "")
     )
 
@@ -66,12 +68,24 @@ def write_monthly(df: DataFrame, path: str, ts: str, sort_by: Sequence[str], cod
     )
 
 
+# ---- fixed values: envelope fields stored as JSON objects ----
+OBJECT_FIELDS = ("provenance", "payload_summary", "payload")
+
+
+def landing_objects(events: DataFrame) -> DataFrame:
+    """Envelopes whose JSON text fields are real objects, as a landing line holds them."""
+    return events.withColumns({c: F.try_parse_json(c) for c in OBJECT_FIELDS})
+
+
 def write_landing(events: DataFrame, root: str, dt: str | Column | None = None) -> None:
-    """Append envelopes as JSON lines under ``source_name=<source>/dt=<date>``."""
+    """Append envelopes as JSON lines under ``landing_source=<source>/dt=<date>``.
+
+    The partition columns move into the path; a record keeps its own source name.
+    """
     day = F.current_date() if dt is None else (F.lit(dt) if isinstance(dt, str) else dt)
-    staged = events.withColumn("dt", day.cast("string"))
-    # The partition columns move into the path; the record keeps its own source name.
-    staged = staged.withColumn("landing_source", F.col("source_name"))
+    staged = landing_objects(events).withColumns(
+        {"landing_source": F.col("source_name"), "dt": day.cast("string")}
+    )
     staged.write.mode("append").partitionBy("landing_source", "dt").json(root)
 
 
@@ -93,8 +107,8 @@ def insert_new(
     target: DataFrame, source: DataFrame, keys: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
     """Source rows whose key the target does not hold, one per key."""
-    absent = source.join(target.select(*keys), list(keys), "left_anti")
-    return keep_latest(absent, keys, version).select(*source.columns)
+    newest = keep_latest(source, keys, version)
+    return newest.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
 
 
 def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, Column]) -> DataFrame:
@@ -111,19 +125,33 @@ def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, Col
     )
 
 
+MAX_PRUNED_VALUES = 1_000
+
+
+def prune_to(existing: DataFrame, incoming: DataFrame, column: str) -> DataFrame:
+    """Rows of ``existing`` in the partitions that ``incoming`` touches.
+
+    Up to MAX_PRUNED_VALUES partition values become a literal filter, which
+    prunes files before they are listed; with more values a semi join does it.
+    """
+    values = incoming.select(column).distinct().limit(MAX_PRUNED_VALUES + 1).collect()
+    if len(values) > MAX_PRUNED_VALUES:
+        return existing.join(incoming.select(column).distinct(), column, "left_semi")
+    return existing.filter(F.col(column).isin([row[0] for row in values if row[0] is not None]))
+
+
 def merge_into_partitions(
     spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], version: Sequence[str],
     partition_by: str, staging: str,
 ) -> None:
     """Upsert into a partitioned folder, rewriting only partitions the source touches.
 
-    Keys must not move between partitions. Touched partitions are found with a
-    join, staged in ``staging`` (the target is also an input) and written back
-    with dynamic partition overwrite.
+    Keys must not move between partitions. The merged partitions are staged in
+    ``staging`` (the target is also an input) and written back with dynamic
+    partition overwrite, so untouched partitions keep their files.
     """
     target = spark.read.parquet(path)
-    touched = source.select(partition_by).distinct()
-    affected = target.join(touched, partition_by, "left_semi")
+    affected = prune_to(target, source, partition_by)
     upsert(affected, source, keys, version).write.mode("overwrite").partitionBy(partition_by).parquet(staging)
     (
         spark.read.schema(target.schema)

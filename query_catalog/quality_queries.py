@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contextlake.functions.times import parse_iso
 from contextlake.operators import quality, rollups
-from contextlake.schemas import READINESS_DECISIONS, RECOMMENDATION_DECISIONS, SIGNAL_DOMAINS
+from contextlake.schemas import READINESS_DECISIONS, SIGNAL_DOMAINS
 from contextlake.session import config_frame
 
 from .adapters import AS_OF, table, view
 from .registry import query
-from .source_queries import landing_events
 
 SUITE_TABLES = {
     "spots": "v_spots",
@@ -196,17 +194,11 @@ def _(spark, sf):
 def damaged_landing(spark, sf):
     """Landing lines with one planted defect in six of ten."""
     from contextlake.operators.envelope import SIGNAL, envelope
+    from contextlake.sinks.tables import landing_objects
 
     numbered = view(spark, sf, "v_signals").withColumn("summary", F.col("event_id").cast("string"))
-    lines = envelope(numbered, SIGNAL, AS_OF).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
-    # Payload columns are stored as objects, as a landing file holds them.
-    for name in ("payload", "provenance", "payload_summary"):
-        lines = lines.withColumn(
-            "line",
-            F.regexp_replace("line", rf'"{name}":"((?:[^"\\]|\\.)*)"', rf'"{name}":@$1@'),
-        )
-    opened = F.regexp_replace(F.regexp_replace("line", '@(\\{)', "$1"), '(\\})@', "$1")
-    lines = lines.select(F.replace(opened, F.lit('\\"'), F.lit('"')).alias("line"))
+    events = landing_objects(envelope(numbered, SIGNAL, AS_OF))
+    lines = events.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
     key = F.get_json_object("line", "$.payload.summary").cast("bigint")
     keyed = lines.withColumn("event_key", key)
     d = F.col("event_key") % 10

@@ -569,30 +569,29 @@ KM = (
 
 @query(
     "a28_route_summary",
-    f"""WITH pts AS (SELECT l_orderkey AS track_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS idx,
-        CAST(l_partkey % 900 AS DOUBLE) / 10 - 45 AS lat, CAST(l_suppkey % 1800 AS DOUBLE) / 10 - 90 AS lon,
-        CAST(l_quantity AS DOUBLE) AS ele, l_shipdate AS t FROM lineitem),
+    f"""WITH pts AS (SELECT user_id AS track_id, event_id AS idx, CAST(event_id % 900 AS DOUBLE) / 10 - 45 AS lat,
+        CAST((event_id * 7 + user_id) % 1800 AS DOUBLE) / 10 - 90 AS lon, CAST(value AS DECIMAL(12,2)) AS ele, ts AS t FROM events),
     pairs AS (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon, lag(ele) OVER w AS pele FROM pts
         WINDOW w AS (PARTITION BY track_id ORDER BY idx)),
     hav AS (SELECT *, pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lon - plon) / 2), 2) AS h FROM pairs)
     SELECT track_id, round(coalesce(sum({KM}), 0), 3) AS distance_km,
-    round(coalesce(sum(greatest(ele - pele, 0)), 0), 1) AS elevation_gain_m, count(*) AS point_count,
-    round(greatest(date_diff('second', arg_min(t, idx), arg_max(t, idx)) / 60.0, 0), 2) AS duration_minutes
+    {half_up('CAST(coalesce(sum(greatest(ele - pele, 0)), 0) AS DOUBLE)', 1)} AS elevation_gain_m, count(*) AS point_count,
+    {half_up("floor(date_diff('microsecond', arg_min(t, idx), arg_max(t, idx)) / 1000000) / 60.0", 2)} AS duration_minutes
     FROM hav GROUP BY 1""",
 )
 def _(spark, sf):
-    from pyspark.sql import Window as W
-
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    points = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("track_id"),
-        (F.row_number().over(W.partitionBy("l_orderkey").orderBy(*order)) - 1).alias("idx"),
-        (F.col("l_partkey") % 900 / 10.0 - 45).cast("double").alias("lat"),
-        (F.col("l_suppkey") % 1800 / 10.0 - 90).cast("double").alias("lon"),
-        F.col("l_quantity").cast("double").alias("ele"),
-        F.col("l_shipdate").cast("string").alias("time"),
+    """One track per user, points in event order; chunks are kept small to exercise the borders."""
+    key = F.col("event_id")
+    degrees = lambda c, m, half: (c % m).cast("double") / 10 - half
+    points = table(spark, sf, "events").select(
+        F.col("user_id").alias("track_id"),
+        key.alias("idx"),
+        degrees(key, 900, 45).alias("lat"),
+        degrees(key * 7 + F.col("user_id"), 1800, 90).alias("lon"),
+        F.col("value").alias("ele"),
+        F.col("ts").cast("string").alias("time"),
     )
-    return tracks.route_summary(points, chunk_points=3).drop("started_at", "ended_at")
+    return tracks.route_summary(points, chunk_points=500).drop("started_at", "ended_at")
 
 
 @query(

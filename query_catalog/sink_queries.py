@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from contextlake.operators import latest, rollups
@@ -58,19 +60,12 @@ def _(spark, sf):
 @query("k03_ensure_table", "SELECT event_type AS event_source, count(*) AS events FROM events GROUP BY event_type")
 def _(spark, sf):
     """Create when missing (twice, the second is a no-op), then fill a new version of it."""
-    import uuid
-
     name = f"spark_catalog.default.raw_{uuid.uuid4().hex}"
     events = view(spark, sf, "v_bronze").select("event_time", "json_payload", "offset_id", "event_source")
-    location = work_dir(spark, "k03")
     for _run in range(2):
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({events.schema.toDDL()}) USING parquet "
-            f"PARTITIONED BY (event_source) LOCATION '{location}'"
-        ) if _run == 0 else sinks.ensure_table(spark, name, events.schema)
+        sinks.ensure_table(spark, name, events.schema, location=work_dir(spark, "k03"))
     sinks.append_table(events, name)
-    counts = spark.table(name).groupBy("event_source").agg(rollups.rows("events"))
-    return counts
+    return spark.table(name).groupBy("event_source").agg(rollups.rows("events"))
 
 
 @query(
@@ -299,7 +294,7 @@ def _(spark, sf):
     base = work_dir(spark, "k18-lake")
     paths = {layer: f"{base}/{layer}" for layer in ("bronze", "silver", "gold")}
     for _run in range(2):
-        medallion.load_medallion(spark, f"{root}/*/dt=*/*", paths["bronze"], paths["silver"], paths["gold"])
+        medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths.values(), work_dir(spark, "k18-staging"))
     result = None
     for layer, path in paths.items():
         schema = medallion.landing_to_bronze(files.read_landing(spark, root)).schema

@@ -162,26 +162,16 @@ def _(spark, sf):
 
 @query(
     "w08_row_number_in_document",
-    """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS row_number, turn, role FROM conversations""",
+    """WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
+    SELECT doc_id, unnest(range(1, len(lines) + 1)) AS row_number, unnest(list_transform(lines, lambda x: length(x))) AS characters FROM l""",
 )
 def _(spark, sf):
-    """Records of one document numbered by position; a document is one conversation."""
-    row = F.to_json(F.struct("turn", "role"))
-    documents = (
-        table(spark, sf, "conversations")
-        .groupBy("conv_id")
-        .agg(F.array_sort(F.collect_list(F.struct("turn", row.alias("row")))).alias("rows"))
-        .select(
-            "conv_id",
-            F.concat(F.lit("["), F.concat_ws(",", F.transform("rows", lambda r: r["row"])), F.lit("]")).alias("text"),
-        )
-    )
-    rows = files.explode_json_rows(documents, "text")
+    """Every document as a JSON list of its lines; records are numbered by position."""
+    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(F.length(line).alias("characters")))
+    documents = table(spark, sf, "documents").select("doc_id", F.to_json(lines).alias("rows"))
+    rows = files.explode_json_rows(documents, "rows")
     return rows.select(
-        "conv_id",
-        "row_number",
-        F.get_json_object("row_json", "$.turn").cast("bigint").alias("turn"),
-        F.get_json_object("row_json", "$.role").alias("role"),
+        "doc_id", "row_number", F.get_json_object("row_json", "$.characters").cast("bigint").alias("characters")
     )
 
 
