@@ -69,7 +69,11 @@ def classify_text(value: str | Column, classes=TEXT_CLASSES, default: str = "per
     text = F.lower(F.coalesce(col(value), F.lit("")))
     result = F.lit(default)
     for name, words in reversed(classes):
-        result = F.when(text.rlike("|".join(words)), F.lit(name)).otherwise(result)
+        # Plain substring search is several times cheaper than a regex alternation.
+        hit = F.contains(text, F.lit(words[0]))
+        for word in words[1:]:
+            hit = hit | F.contains(text, F.lit(word))
+        result = F.when(hit, F.lit(name)).otherwise(result)
     return result
 
 

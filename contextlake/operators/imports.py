@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.hashing import stable_hash
 from ..functions.numbers import optional_bool, optional_float, optional_int
@@ -139,22 +141,30 @@ SUMMARY_SPECS = {
 }
 
 
-def json_field(row_json: str, name: str) -> Column:
-    return F.get_json_object(F.col(row_json), f"$.{name}")
+def _parsed(df: DataFrame, row_json: str, names: Iterable[str]) -> DataFrame:
+    """Record text parsed once into a struct of text fields ``_r``."""
+    fields = StructType([StructField(n, StringType()) for n in dict.fromkeys(names)])
+    return df.withColumn("_r", F.from_json(row_json, fields))
+
+
+def _field(*names: str) -> Column:
+    """First of several record fields that is filled."""
+    return first_filled(*[F.col(f"_r.{n}") for n in names])
 
 
 def summarize_source(
     df: DataFrame, kind: str, row_json: str = "row_json", path: str = "path", row_number: str = "row_number"
-) -> tuple[DataFrame, DataFrame]:
-    """(summary rows, rejected rows) of one export kind.
+) -> DataFrame:
+    """Summary rows of one export kind, with ``reject_reason`` for rows without any time.
 
     A summary row keeps cleaned labels and numeric metrics only; free text and
     file names leave as hashes. ``labels`` and ``metrics`` are maps without
-    blank entries. Rows without any time are rejected.
+    blank entries. Rejected rows stay in the result, so one pass serves both
+    the table and the quarantine.
     """
     spec = SUMMARY_SPECS[kind]
-    raw = lambda name: json_field(row_json, name)
-    event_time = first_filled(*[raw(f) for f in spec.time_fields])
+    raw = lambda name: F.col(f"_r.{name}")
+    event_time = _field(*spec.time_fields)
     labels = F.map_filter(
         F.create_map(*[x for f in spec.labels for x in (F.lit(f), clean_label(raw(f)))]),
         lambda _k, v: v != "",
@@ -164,7 +174,8 @@ def summarize_source(
         lambda _k, v: v.isNotNull(),
     )
     file_hash = stable_hash(file_name(path))
-    staged = df.withColumns({"_time": event_time, "_labels": labels, "_metrics": metrics})
+    parsed = _parsed(df, row_json, [*spec.time_fields, *spec.labels, *spec.metrics])
+    staged = parsed.withColumns({"_time": event_time, "_labels": labels, "_metrics": metrics})
     rows = staged.select(
         F.lit(kind).alias("source_name"),
         F.lit(spec.event_type).alias("event_type"),
@@ -193,43 +204,44 @@ def summarize_source(
             F.nullif(stable_hash(F.try_element_at("labels", F.lit("source_name"))), F.lit("")),
         )
     missing = f"missing one of {', '.join(spec.time_fields)}"
-    rejected = staged.filter(F.col("_time").isNull()).select(
-        *df.columns, F.lit(missing).alias("reject_reason")
-    )
-    return rows.filter(F.col("event_time").isNotNull()), rejected
+    return rows.withColumn("reject_reason", F.when(F.col("event_time").isNull(), missing))
 
 
 def learning_sessions(df: DataFrame, row_json: str = "row_json", path: str = "path") -> DataFrame:
     """Lesson logs: topic label, hashed course, minutes, scores, completion."""
-    raw = lambda *names: first_filled(*[json_field(row_json, n) for n in names])
-    return df.select(
-        raw("occurred_at", "completed_at", "started_at", "date").alias("occurred_at"),
-        clean_label(raw("topic", "category", "skill")).alias("topic"),
-        stable_hash(raw("course", "lesson", "title")).alias("course_hash"),
-        optional_int(raw("practice_minutes", "duration_minutes")).alias("practice_minutes"),
-        optional_int(raw("confidence_score", "confidence")).alias("confidence_score"),
-        optional_float(raw("quiz_score", "score")).alias("quiz_score"),
-        optional_bool(raw("completed")).alias("completed"),
+    names = ("occurred_at", "completed_at", "started_at", "date", "topic", "category", "skill", "course",
+        "lesson", "title", "practice_minutes", "duration_minutes", "confidence_score", "confidence",
+        "quiz_score", "score", "completed")
+    return _parsed(df, row_json, names).select(
+        _field("occurred_at", "completed_at", "started_at", "date").alias("occurred_at"),
+        clean_label(_field("topic", "category", "skill")).alias("topic"),
+        stable_hash(_field("course", "lesson", "title")).alias("course_hash"),
+        optional_int(_field("practice_minutes", "duration_minutes")).alias("practice_minutes"),
+        optional_int(_field("confidence_score", "confidence")).alias("confidence_score"),
+        optional_float(_field("quiz_score", "score")).alias("quiz_score"),
+        optional_bool(_field("completed")).alias("completed"),
         stable_hash(file_name(path)).alias("source_file_hash"),
     )
 
 
 def trade_entries(df: DataFrame, row_json: str = "row_json", path: str = "path") -> DataFrame:
     """Trade journal: hashed instrument, setup and notes; cleaned labels; returns and risk."""
-    raw = lambda *names: first_filled(*[json_field(row_json, n) for n in names])
-    return df.select(
-        raw("occurred_at", "closed_at", "entry_time", "date").alias("occurred_at"),
-        clean_label(raw("asset_class", "market")).alias("asset_class"),
-        stable_hash(raw("instrument", "symbol", "ticker")).alias("instrument_hash"),
-        clean_label(raw("side")).alias("side"),
-        stable_hash(raw("setup", "strategy")).alias("setup_hash"),
-        clean_label(raw("result", "outcome")).alias("result"),
-        optional_float(raw("pnl_r", "r_multiple")).alias("pnl_r"),
-        optional_float(raw("pnl_pct", "return_pct")).alias("pnl_pct"),
-        optional_float(raw("risk_pct")).alias("risk_pct"),
-        optional_int(raw("duration_minutes")).alias("duration_minutes"),
-        clean_label(raw("emotion", "mood")).alias("emotion"),
-        stable_hash(raw("notes", "comment")).alias("notes_hash"),
+    names = ("occurred_at", "closed_at", "entry_time", "date", "asset_class", "market", "instrument",
+        "symbol", "ticker", "side", "setup", "strategy", "result", "outcome", "pnl_r", "r_multiple",
+        "pnl_pct", "return_pct", "risk_pct", "duration_minutes", "emotion", "mood", "notes", "comment")
+    return _parsed(df, row_json, names).select(
+        _field("occurred_at", "closed_at", "entry_time", "date").alias("occurred_at"),
+        clean_label(_field("asset_class", "market")).alias("asset_class"),
+        stable_hash(_field("instrument", "symbol", "ticker")).alias("instrument_hash"),
+        clean_label(_field("side")).alias("side"),
+        stable_hash(_field("setup", "strategy")).alias("setup_hash"),
+        clean_label(_field("result", "outcome")).alias("result"),
+        optional_float(_field("pnl_r", "r_multiple")).alias("pnl_r"),
+        optional_float(_field("pnl_pct", "return_pct")).alias("pnl_pct"),
+        optional_float(_field("risk_pct")).alias("risk_pct"),
+        optional_int(_field("duration_minutes")).alias("duration_minutes"),
+        clean_label(_field("emotion", "mood")).alias("emotion"),
+        stable_hash(_field("notes", "comment")).alias("notes_hash"),
         stable_hash(file_name(path)).alias("source_file_hash"),
     )
 

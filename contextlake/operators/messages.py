@@ -88,24 +88,34 @@ def parse_log_messages(df: DataFrame, text: str = "text") -> DataFrame:
     )
     location = F.coalesce(value_of(pairs, "loc"), value_of(pairs, "location"))
     pain = F.coalesce(value_of(pairs, "pain"), value_of(pairs, "pain_flag"))
+    staged = staged.withColumns(
+        {
+            "_intensity": either("intensity", 2),
+            "_mood": either("mood", 3),
+            "_fatigue": either("fatigue", 4),
+            "_missing": F.size(missing),
+            "_location": location,
+            "_pain_text": value_of(pairs, "pain_text"),
+        }
+    )
     rows = staged.select(
         *df.columns,
         either("activity", 1).alias("activity_type"),
         keyed_only(value_of(pairs, "start")).alias("start_time"),
         keyed_only(value_of(pairs, "end")).alias("end_time"),
-        keyed_only(_spaces(F.nullif(location, F.lit("")))).alias("location_label"),
-        bounded_int(either("intensity", 2), 1, 10).alias("intensity"),
-        bounded_int(either("mood", 3), 1, 10).alias("mood"),
-        bounded_int(either("fatigue", 4), 1, 10).alias("fatigue"),
+        keyed_only(_spaces(F.nullif("_location", F.lit("")))).alias("location_label"),
+        bounded_int("_intensity", 1, 10).alias("intensity"),
+        bounded_int("_mood", 1, 10).alias("mood"),
+        bounded_int("_fatigue", 1, 10).alias("fatigue"),
         (keyed & _is_yes(pain)).alias("pain_flag"),
-        keyed_only(_spaces(F.nullif(value_of(pairs, "pain_text"), F.lit("")))).alias("pain_text"),
+        keyed_only(_spaces(F.nullif("_pain_text", F.lit("")))).alias("pain_text"),
         either("result", 5).alias("result"),
         F.when(keyed, _spaces(F.coalesce(value_of(pairs, "notes"), F.lit(""))))
         .otherwise(_rest(F.col("_text"), 6))
         .alias("notes"),
         first_error(
             ((F.size("_parts") < 6) | (part(0) != "/log"), "use: /log activity intensity mood fatigue result notes"),
-            (keyed & (F.size(missing) > 0), "missing /log fields"),
+            (keyed & (F.col("_missing") > 0), "missing /log fields"),
         ).alias("_shape_error"),
     )
     return rows.withColumn("error", F.coalesce("_shape_error", activity_checks())).drop("_shape_error")
@@ -135,21 +145,34 @@ def parse_capture_messages(df: DataFrame, text: str = "text") -> DataFrame:
         }
     )
     command, pairs, words = F.col("_command"), F.col("_pairs"), F.col("_words")
-    first = F.get(words, F.lit(0))
-    rest_words = F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0)))
-
-    def given(key: str) -> Column:
-        return F.coalesce(F.nullif(value_of(pairs, key), F.lit("")), first)
-
-    minutes = strict_int(value_of(pairs, "minutes"))
-    sleep = F.when(F.size(words) > 0, duration_minutes(first)).otherwise(F.when(minutes > 0, minutes))
-    mood = bounded_int(given("mood"), 1, 10)
-    pain = bounded_int(given("pain"), 0, 10)
-    intensity = bounded_int(given("intensity"), 1, 10)
-    found = F.get(F.filter(words, lambda w: w.isin(*ACTIVITY_RESULTS)), F.lit(0))
-    stated = F.coalesce(found, F.nullif(value_of(pairs, "result"), F.lit("")), F.lit("ok"))
-    moto_words = F.when(strict_int(first).isNotNull(), rest_words).otherwise(words)
-    at = F.array_position(moto_words, stated).cast("int")
+    given = lambda key: F.nullif(value_of(pairs, key), F.lit(""))
+    staged = staged.withColumns(
+        {
+            "_first": F.get(words, F.lit(0)),
+            "_rest": F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
+            "_minutes": value_of(pairs, "minutes"),
+            "_stated": F.coalesce(
+                F.get(F.filter(words, lambda w: w.isin(*ACTIVITY_RESULTS)), F.lit(0)), given("result"), F.lit("ok")
+            ),
+            "_pain_word": value_of(pairs, "pain"),
+            "_mood_text": F.coalesce(given("mood"), F.get(words, F.lit(0))),
+            "_pain_score": F.coalesce(given("pain"), F.get(words, F.lit(0))),
+            "_intensity_text": F.coalesce(given("intensity"), F.get(words, F.lit(0))),
+        }
+    )
+    first, rest_words, stated = F.col("_first"), F.col("_rest"), F.col("_stated")
+    minutes = strict_int("_minutes")
+    staged = staged.withColumns(
+        {
+            "_sleep": F.when(F.size(words) > 0, duration_minutes(first)).otherwise(F.when(minutes > 0, minutes)),
+            "_mood": bounded_int("_mood_text", 1, 10),
+            "_pain": bounded_int("_pain_score", 0, 10),
+            "_intensity": bounded_int("_intensity_text", 1, 10),
+            "_moto_words": F.when(strict_int(first).isNotNull(), rest_words).otherwise(words),
+        }
+    ).withColumn("_at", F.array_position("_moto_words", stated).cast("int"))
+    sleep, mood, pain, intensity = (F.col(c) for c in ("_sleep", "_mood", "_pain", "_intensity"))
+    moto_words, at = F.col("_moto_words"), F.col("_at")
     moto_note = F.when(
         at > 0,
         F.concat(
@@ -170,7 +193,7 @@ def parse_capture_messages(df: DataFrame, text: str = "text") -> DataFrame:
         .when(is_("/moto"), moto_note)
         .otherwise(words)
     )
-    sleep_given = (F.size(words) > 0) | value_of(pairs, "minutes").isNotNull()
+    sleep_given = (F.size(words) > 0) | F.col("_minutes").isNotNull()
     return staged.select(
         *df.columns,
         command.alias("command"),
@@ -185,7 +208,7 @@ def parse_capture_messages(df: DataFrame, text: str = "text") -> DataFrame:
         F.when(is_("/moto"), "moto_lesson").alias("activity_type"),
         F.when(is_("/moto"), F.when(stated.isin(*ACTIVITY_RESULTS), stated).otherwise("ok")).alias("result"),
         F.coalesce(
-            F.when(is_("/pain"), pain > 0).when(is_("/moto"), _is_yes(value_of(pairs, "pain"))), F.lit(False)
+            F.when(is_("/pain"), pain > 0).when(is_("/moto"), _is_yes(F.col("_pain_word"))), F.lit(False)
         ).alias("pain_flag"),
         F.concat_ws(" ", note_words).alias("note"),
         pairs.alias("payload"),
@@ -201,21 +224,27 @@ def parse_capture_messages(df: DataFrame, text: str = "text") -> DataFrame:
 def capture_activities(captures: DataFrame) -> DataFrame:
     """Diary rows of lesson captures, with 5 for scores that were not given."""
     pairs = F.col("payload")
-    score = lambda key: bounded_int(F.coalesce(value_of(pairs, key), F.lit("5")), 1, 10)
-    location = F.coalesce(value_of(pairs, "loc"), value_of(pairs, "location"))
     used = set(ACTIVITY_COLUMNS) | {"command", "domain", "capture_type", "value", "unit", "note", "payload", "error"}
     lessons = captures.filter(F.col("error").isNull() & (F.col("activity_type") == "moto_lesson"))
-    rows = lessons.select(
+    staged = lessons.withColumns(
+        {
+            "_mood": F.coalesce(value_of(pairs, "mood"), F.lit("5")),
+            "_fatigue": F.coalesce(value_of(pairs, "fatigue"), F.lit("5")),
+            "_location": F.coalesce(value_of(pairs, "loc"), value_of(pairs, "location")),
+            "_pain_text": value_of(pairs, "pain_text"),
+        }
+    )
+    rows = staged.select(
         *[c for c in captures.columns if c not in used],
         "activity_type",
         F.lit(None).cast("string").alias("start_time"),
         F.lit(None).cast("string").alias("end_time"),
-        F.nullif(location, F.lit("")).alias("location_label"),
+        F.nullif("_location", F.lit("")).alias("location_label"),
         F.coalesce("value", F.lit(5)).alias("intensity"),
-        score("mood").alias("mood"),
-        score("fatigue").alias("fatigue"),
+        bounded_int("_mood", 1, 10).alias("mood"),
+        bounded_int("_fatigue", 1, 10).alias("fatigue"),
         "pain_flag",
-        F.nullif(value_of(pairs, "pain_text"), F.lit("")).alias("pain_text"),
+        F.nullif("_pain_text", F.lit("")).alias("pain_text"),
         F.coalesce("result", F.lit("ok")).alias("result"),
         F.col("note").alias("notes"),
     )

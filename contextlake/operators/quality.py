@@ -430,12 +430,21 @@ def validate_landing_lines(
     ``df`` comes from :func:`landing_lines`. ``registry`` holds the known
     ``source_name`` values.
     """
-    text = F.col(line)
-    keys = F.coalesce(F.json_object_keys(F.when(F.col("is_json"), text)), F.array())
-    payload = F.get_json_object(text, "$.payload")
     known = registry.select(F.col("source_name").alias("path_source")).distinct()
-    checked = df.join(known.withColumn("_known", F.lit(True)), "path_source", "left")
-    good = F.col("is_json")
+    # Each line is parsed once for its keys and once for three fields, ahead of the rules.
+    parsed = df.withColumns(
+        {
+            "_keys": F.coalesce(F.json_object_keys(F.when(F.col("is_json"), F.col(line))), F.array()),
+            "_f": F.from_json(line, "lake_version string, source_name string, payload string"),
+        }
+    ).withColumns(
+        {
+            "_payload_keys": F.coalesce(F.array_size(F.json_object_keys("_f.payload")), F.lit(0)),
+            "_forbidden": has_forbidden_key(F.col("_f.payload"), FORBIDDEN_LANDING_KEYS),
+        }
+    )
+    checked = parsed.join(known.withColumn("_known", F.lit(True)), "path_source", "left")
+    good, keys = F.col("is_json"), F.col("_keys")
     rules = {
         "line is not valid JSON": ~good,
         "unregistered source": F.col("_known").isNull(),
@@ -443,14 +452,12 @@ def validate_landing_lines(
     rules |= {
         f"missing {name}": good & ~F.array_contains(keys, name) for name in LANDING_REQUIRED_FIELDS
     }
+    same = lambda a, b: F.coalesce(a == b, F.lit(False))
     rules |= {
-        "unexpected lake_version": good
-        & ~F.coalesce(F.get_json_object(text, "$.lake_version") == lake_version, F.lit(False)),
-        "source_name does not match path": good
-        & ~F.coalesce(F.get_json_object(text, "$.source_name") == F.col("path_source"), F.lit(False)),
-        "payload must be a non-empty object": good
-        & (F.coalesce(F.array_size(F.json_object_keys(payload)), F.lit(0)) < 1),
-        "payload contains a forbidden key": good & has_forbidden_key(payload, FORBIDDEN_LANDING_KEYS),
+        "unexpected lake_version": good & ~same(F.col("_f.lake_version"), F.lit(lake_version)),
+        "source_name does not match path": good & ~same(F.col("_f.source_name"), F.col("path_source")),
+        "payload must be a non-empty object": good & (F.col("_payload_keys") < 1),
+        "payload contains a forbidden key": good & F.col("_forbidden"),
     }
     return explode_broken(checked, rules, keep)
 

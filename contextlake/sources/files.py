@@ -162,9 +162,13 @@ def calendar_blocks(df: DataFrame, text: str = "text", path: str | None = "path"
         found = F.regexp_extract(F.col("_block"), rf"(?im)^{name}(?:;[^:\r\n]*)?:([^\r\n]*)", 1)
         return strip(found)
 
-    start, end = parse_ical(prop("DTSTART")), parse_ical(prop("DTEND"))
     exploded = df.select("*", F.posexplode(blocks).alias("_pos", "_block"))
-    timed = exploded.withColumn("_start", start).withColumn("_end", F.coalesce(end, start))
+    read = exploded.withColumns(
+        {"_from": prop("DTSTART"), "_to": prop("DTEND"), "_title": prop("SUMMARY")}
+    )
+    timed = read.withColumn("_start", parse_ical("_from")).withColumn(
+        "_end", F.coalesce(parse_ical("_to"), F.col("_start"))
+    )
     name = file_name(path) if path else F.lit("")
     return timed.select(
         *[c for c in df.columns if c != text],
@@ -175,13 +179,13 @@ def calendar_blocks(df: DataFrame, text: str = "text", path: str | None = "path"
         F.greatest(F.floor(seconds_between(F.col("_start"), F.col("_end")) / 60), F.lit(0))
         .cast("int")
         .alias("duration_minutes"),
-        (~F.contains(prop("DTSTART"), F.lit("T"))).alias("all_day"),
+        (~F.contains("_from", F.lit("T"))).alias("all_day"),
         F.nullif(
             F.regexp_extract(F.col("_block"), r"(?im)^DTSTART;[^:\r\n]*TZID=([^:;\r\n]*)", 1),
             F.lit(""),
         ).alias("tzid"),
-        stable_hash(prop("SUMMARY")).alias("summary_hash"),
-        classify_text(prop("SUMMARY")).alias("summary_category"),
+        stable_hash("_title").alias("summary_hash"),
+        classify_text("_title").alias("summary_category"),
         (prop("LOCATION") != "").alias("location_present"),
         (prop("DESCRIPTION") != "").alias("description_present"),
         F.regexp_count(F.col("_block"), F.lit(r"(?im)^ATTENDEE[;:]")).alias("attendee_count"),

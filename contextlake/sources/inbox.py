@@ -76,28 +76,38 @@ def kind_by_name(path: str | Column) -> Column:
     return result
 
 
-def kind_by_keys(row_json: str | Column) -> Column:
+def record_keys(row_json: str | Column) -> Column:
+    """Lower-case keys of a record; empty for anything that is not an object."""
+    return F.transform(F.coalesce(F.json_object_keys(col(row_json)), F.array()), lambda k: F.lower(k))
+
+
+def kind_by_keys(keys: str | Column) -> Column:
     """Kind from the keys of a sample record; '' when unknown."""
-    keys = F.transform(F.coalesce(F.json_object_keys(col(row_json)), F.array()), F.lower)
     result = None
     for kind, mode, names in KEY_RULES:
         wanted = F.array(*[F.lit(n) for n in names])
         hit = (
-            F.arrays_overlap(keys, wanted)
+            F.arrays_overlap(col(keys), wanted)
             if mode == "any"
-            else F.size(F.array_except(wanted, keys)) == 0
+            else F.size(F.array_except(wanted, col(keys))) == 0
         )
         result = F.when(hit, kind) if result is None else result.when(hit, kind)
     return result.otherwise("")
 
 
-def detect_kind(path: str | Column, first_row_json: str | Column | None = None) -> Column:
-    """Kind of a file: by name, else for JSON by the keys of its first record."""
-    by_name = kind_by_name(path)
-    if first_row_json is None:
-        return F.coalesce(by_name, F.lit(""))
-    from_keys = F.when(file_extension(path) == "json", kind_by_keys(first_row_json))
-    return F.coalesce(by_name, from_keys, F.lit(""))
+def with_kind(df: DataFrame, path: str = "path", text: str | None = "text") -> DataFrame:
+    """Add ``kind``: by name, else for JSON by the keys of the first record, else ''.
+
+    Text is looked at only where the name decides nothing, and its keys are
+    taken out once before the rules are tried.
+    """
+    named = df.withColumn("_by_name", kind_by_name(path))
+    if text is None:
+        return named.withColumn("kind", F.coalesce("_by_name", F.lit(""))).drop("_by_name")
+    undecided = F.col("_by_name").isNull() & (file_extension(path) == "json")
+    sampled = named.withColumn("_keys", record_keys(first_record(F.when(undecided, F.col(text)))))
+    kind = F.coalesce("_by_name", F.when(undecided, kind_by_keys("_keys")), F.lit(""))
+    return sampled.withColumn("kind", kind).drop("_by_name", "_keys")
 
 
 def first_record(text: str | Column) -> Column:
@@ -119,14 +129,9 @@ def scan_inbox(spark: SparkSession, root: str, read_content: bool = True) -> Dat
     keys of JSON files whose names decide nothing.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    if not read_content:
-        listed = files.select("path", "length", kind_by_name("path").alias("kind"))
+    if read_content:
+        named = files.select("path", "length", F.col("content").cast("string").alias("text"))
+        listed = with_kind(named).drop("text")
     else:
-        text = F.when(
-            kind_by_name("path").isNull() & (file_extension("path") == "json"),
-            F.col("content").cast("string"),
-        )
-        listed = files.select(
-            "path", "length", detect_kind(F.col("path"), first_record(text)).alias("kind")
-        )
-    return listed.filter(F.coalesce(F.col("kind"), F.lit("")) != "")
+        listed = with_kind(files.select("path", "length"), text=None)
+    return listed.filter(F.col("kind") != "")

@@ -507,17 +507,14 @@ def _(spark, sf):
         rows = table(spark, sf, "events").select(
             F.to_json(F.struct(*fields)).alias("row_json"), F.lit(f"inbox/{kind}.json").alias("path"), e.alias("row_number")
         )
-        valid, rejected = imports.summarize_source(rows, kind)
-        good = valid.select(
-            "source_name", "row_number", F.lit("ok").alias("outcome"),
-            F.trim(F.try_element_at("labels", F.lit(spec.labels[0]))).alias("label"),
-            F.try_element_at("metrics", F.lit(spec.metrics[0])).alias("metric"),
+        good = F.col("reject_reason").isNull()
+        part = imports.summarize_source(rows, kind).select(
+            "source_name",
+            "row_number",
+            F.when(good, "ok").otherwise("missing").alias("outcome"),
+            F.when(good, F.trim(F.try_element_at("labels", F.lit(spec.labels[0])))).otherwise("").alias("label"),
+            F.when(good, F.try_element_at("metrics", F.lit(spec.metrics[0]))).alias("metric"),
         )
-        bad = rejected.select(
-            F.lit(kind).alias("source_name"), "row_number", F.lit("missing").alias("outcome"),
-            F.lit("").alias("label"), F.lit(None).cast("double").alias("metric"),
-        )
-        part = good.unionByName(bad)
         result = part if result is None else result.unionByName(part)
     return result
 

@@ -413,6 +413,25 @@ def _(spark, sf):
     )
 
 
+@query(
+    "a20_ingest_profile_error_bound",
+    """SELECT event_source, count(*) AS rows_loaded, count(*) FILTER (WHERE event_time IS NULL) AS missing_event_ts,
+    count(*) FILTER (WHERE ingested_at IS NULL) AS missing_ingested_at, true AS within_five_percent FROM v_bronze GROUP BY 1""",
+    ("v_bronze",),
+)
+def _(spark, sf):
+    """The approximate key count next to the exact one."""
+    bronze = view(spark, sf, "v_bronze")
+    exact = bronze.groupBy("event_source").agg(F.countDistinct("record_key").alias("exact_keys"))
+    profile = rollups.ingest_profile(bronze, "event_source", "event_time", "ingested_at", "record_key")
+    error = F.abs(F.col("approx_keys") - F.col("exact_keys")) / F.col("exact_keys")
+    return (
+        profile.join(exact, "event_source")
+        .withColumn("within_five_percent", error <= 0.05)
+        .drop("approx_keys", "exact_keys")
+    )
+
+
 @query(
     "a21_rows_per_ingest_minute",
     """SELECT event_source, date_trunc('minute', ingested_at) AS ingest_minute, count(*) AS rows_loaded

@@ -405,7 +405,7 @@ def _(spark, sf):
         F.concat(F.lit('{"rows": [{"goal_bucket": "g", "Target_Count": 3, "done_count": '), "user_id", F.lit("}]}")),
     ).otherwise(F.col("props"))
     listed = table(spark, sf, "events").select("event_id", path.alias("path"), text.alias("text"))
-    return listed.select("event_id", inbox.detect_kind(F.col("path"), inbox.first_record(F.col("text"))).alias("kind"))
+    return inbox.with_kind(listed).select("event_id", "kind")
 
 
 @query(
