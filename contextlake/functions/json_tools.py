@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
-from .text import col
+from .text import col, strip
 
 # ---- fixed values: keys never allowed in a stored payload ----
 FORBIDDEN_KEYS = (
@@ -64,6 +64,17 @@ def normalized_key(name: str) -> str:
     return name.lower().replace("-", "_")
 
 
+def is_json_object(value: str | Column) -> Column:
+    """True for text that is a JSON object.
+
+    The parser stops after the first value, so the closing bracket is checked
+    as well.
+    """
+    text = strip(col(value))
+    whole = F.startswith(text, F.lit("{")) & F.endswith(text, F.lit("}"))
+    return F.coalesce(whole & F.try_parse_json(text).isNotNull(), F.lit(False))
+
+
 def redact_struct(value: Column, dtype: DataType, keys: Iterable[str] = FORBIDDEN_KEYS) -> Column:
     """Rebuild a typed value without the forbidden fields (no Python workers)."""
     banned = {normalized_key(k) for k in keys}

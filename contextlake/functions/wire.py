@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StructType
 
+from .json_tools import is_json_object
 from .text import col
 
 HEADER_BYTES = 5
@@ -42,15 +43,14 @@ def body(value: str | Column) -> Column:
 
 
 def decode_json_payload(value: str | Column, on_error: str = "null") -> Column:
-    """JSON text carried in the wire format.
+    """JSON records carried in the wire format.
 
     ``on_error="null"`` drops undecodable values to null; ``"json"`` keeps an
     ``{"error": ..., "schema_id": ...}`` object instead.
     """
     v = col(value)
     text = F.try_validate_utf8(body(v).try_cast("string"))
-    # A document ends at its closing bracket: trailing bytes mean a bad payload.
-    parsed = F.when(F.try_parse_json(text).isNotNull(), text)
+    parsed = F.when(is_json_object(text), text)
     good = F.when(is_wire_value(v), parsed)
     return good if on_error == "null" else F.coalesce(good, _error_json(v))
 

@@ -9,7 +9,12 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json_tools import FORBIDDEN_LANDING_KEYS, FORBIDDEN_MARKERS, has_forbidden_key
+from ..functions.json_tools import (
+    FORBIDDEN_LANDING_KEYS,
+    FORBIDDEN_MARKERS,
+    has_forbidden_key,
+    is_json_object,
+)
 from ..functions.text import col, strip
 from ..functions.times import AsOf, age_minutes
 from ..schemas import (
@@ -418,7 +423,7 @@ def landing_lines(df: DataFrame, path: str = "path", line: str = "line") -> Data
     """Source name of the path and parse flags for raw landing lines."""
     return df.withColumn(
         "path_source", F.regexp_extract(F.col(path), r"([^/]+)/dt=[^/]+/[^/]+$", 1)
-    ).withColumn("is_json", F.try_parse_json(line).isNotNull())
+    ).withColumn("is_json", is_json_object(line))
 
 
 def validate_landing_lines(

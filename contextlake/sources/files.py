@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.hashing import stable_hash
+from ..functions.json_tools import is_json_object
 from ..functions.text import classify_text, col, strip
 from ..functions.times import parse_ical, parse_rfc822, seconds_between
 from ..schemas import ENVELOPE
@@ -93,20 +94,15 @@ def explode_json_rows(
     single = F.coalesce(*lists, F.array(body))
     rows = F.when(is_list, F.from_json(body, "array<string>")).otherwise(single)
     if allow_json_lines:
-        # JSON lines: more than one line, and the first line is an object by itself.
+        # JSON lines: several lines, the first of which is a whole object by itself.
         lines = F.filter(F.split(body, r"\r?\n"), lambda x: strip(x) != "")
-        by_line = F.size(lines) > 1
-        whole = F.try_parse_json(body).isNotNull()
-        rows = F.when(by_line & ~whole, lines).otherwise(rows)
+        by_line = (F.size(lines) > 1) & is_json_object(F.get(lines, F.lit(0)))
+        rows = F.when(by_line, lines).otherwise(rows)
     return df.select("*", F.posexplode(rows).alias("_pos", "row_json")).select(
         *df.columns,
         (F.col("_pos") + 1).alias("row_number"),
         "row_json",
-        F.coalesce(
-            F.startswith(strip(F.col("row_json")), F.lit("{"))
-            & F.try_parse_json("row_json").isNotNull(),
-            F.lit(False),
-        ).alias("is_object"),
+        is_json_object("row_json").alias("is_object"),
     )
 
 
