@@ -17,15 +17,6 @@ def is_failure(status: str = "status") -> Column:
     return F.coalesce(F.lower(F.col(status)).isin(*FAILURE_STATUSES), F.lit(False))
 
 
-def status_counts(df: DataFrame, keys: Sequence[str], name: str = "status_counts") -> DataFrame:
-    """Counts per status as a map; rows are counted before the map is built."""
-    counts = df.groupBy(*keys, F.coalesce("status", F.lit("unknown")).alias("_status")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    entries = F.sort_array(F.collect_list(F.struct("_status", "_n")))
-    return counts.groupBy(*keys).agg(F.map_from_entries(entries).alias(name))
-
-
 def run_health(
     logs: DataFrame, observed_at: AsOf = None, overall: str = "runtime", order: Sequence[str] = ()
 ) -> DataFrame:
@@ -77,8 +68,10 @@ def run_health(
         sanitize_message(F.coalesce(F.col("failure.m"), F.lit(""))).alias("last_error"),
         now.cast("timestamp").alias("observed_at"),
     )
+    # One row is enough to know that the log is not empty.
     empty = (
-        logs.agg(F.count(F.lit(1)).alias("_n"))
+        logs.limit(1)
+        .agg(F.count(F.lit(1)).alias("_n"))
         .filter("_n = 0")
         .select(
             F.lit("runtime_log").alias("source_name"),

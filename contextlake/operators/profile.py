@@ -8,26 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import AsOf, as_of_col, older_than_days, recent
-from .latest import latest_by
 from .rules import WEEKLY_GOALS, goal_progress, top_recommendation
 
 
 def signal_totals(signals: DataFrame, user_col: str, as_of: AsOf = None, fresh_days: int = 7) -> DataFrame:
     """Per user: signal count, stale count and the strongest signal."""
-    strongest = latest_by(
-        signals,
-        [user_col],
-        [F.col("urgency").desc(), F.col("confidence").desc(), F.col("occurred_at").desc(), F.col("signal_id")],
-    ).select(
-        user_col,
-        F.col("domain").alias("highest_signal_domain"),
-        F.col("urgency").alias("highest_signal_urgency"),
+    # Smallest rank = most urgent, most confident, newest, first id.
+    rank = F.struct(
+        (-F.col("urgency")).alias("u"),
+        (-F.col("confidence")).alias("c"),
+        (-F.unix_micros(F.col("occurred_at").cast("timestamp"))).alias("t"),
+        F.col("signal_id").alias("id"),
     )
-    totals = signals.groupBy(user_col).agg(
+    return signals.groupBy(user_col).agg(
         F.count(F.lit(1)).alias("signal_count_7d"),
         F.count_if(older_than_days("occurred_at", fresh_days, as_of)).alias("stale_signals"),
+        F.min_by("domain", rank).alias("highest_signal_domain"),
+        F.min_by("urgency", rank).alias("highest_signal_urgency"),
     )
-    return totals.join(strongest, user_col, "left")
 
 
 def readiness_state(

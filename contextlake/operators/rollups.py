@@ -197,39 +197,67 @@ def decision_metrics(
     )
 
 
-def count_list(
-    df: DataFrame, keys: Sequence[str], label: str, name: str, count_name: str = "sessions"
+def week_summary(
+    df: DataFrame, user_col: str, as_of: AsOf = None, days: int = 7, ts: str = "logged_at"
 ) -> DataFrame:
-    """Counts per label as one list per key, largest first, then by label.
+    """Per user: totals of the last days plus activity and result counts as lists.
 
-    Rows are counted per (key, label) before any list is built, so a list holds
-    one entry per distinct label and never raw rows.
+    One scan: rows are first counted per (user, activity, result). The few
+    counted rows are then unfolded into totals, activities and results, so the
+    lists hold one entry per distinct label and no joins are needed.
     """
-    counts = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias(count_name))
-    entry = F.struct((-F.col(count_name)).alias("n"), F.col(label).alias(label))
-    ordered = F.array_sort(F.collect_list(entry))
-    listed = F.transform(
-        ordered, lambda e: F.struct(e[label].alias(label), (-e["n"]).alias(count_name))
+    scores = ("intensity", "mood", "fatigue")
+    counted = (
+        df.filter(recent(ts, f"{days} days", as_of))
+        .groupBy(user_col, "activity_type", "result")
+        .agg(
+            rows("n"),
+            *[F.sum(c).alias(c) for c in scores],
+            *[F.count(c).alias(f"{c}_n") for c in scores],
+            rows_if(F.col("pain_flag"), "pain"),
+            F.max(ts).alias("latest"),
+        )
+    )
+    measures = ("n", *scores, *[f"{c}_n" for c in scores], "pain")
+    section = lambda name, label: F.struct(
+        F.lit(name).alias("section"), label.cast("string").alias("label")
+    )
+    unfolded = counted.select(
+        user_col,
+        *measures,
+        "latest",
+        F.inline(
+            F.array(
+                section("total", F.lit("")),
+                section("activity", F.col("activity_type")),
+                section("result", F.col("result")),
+            )
+        ),
+    )
+    merged = unfolded.groupBy(user_col, "section", "label").agg(
+        *[F.sum(c).alias(c) for c in measures], F.max("latest").alias("latest")
+    )
+    total = F.col("section") == "total"
+    whole = lambda c: F.max(F.when(total, F.col(c)))
+    average = lambda c: F.coalesce(
+        F.round(whole(c).cast("double") / F.nullif(whole(f"{c}_n"), F.lit(0)), 1), F.lit(0.0)
     )
-    return counts.groupBy(*keys).agg(listed.alias(name))
 
+    def ordered(name: str, label: str) -> Column:
+        entry = F.struct((-F.col("n")).alias("n"), F.col("label").alias("label"))
+        entries = F.array_sort(F.collect_list(F.when(F.col("section") == name, entry)))
+        return F.transform(
+            entries, lambda e: F.struct(e["label"].alias(label), (-e["n"]).alias("sessions"))
+        )
 
-def week_summary(
-    df: DataFrame, user_col: str, as_of: AsOf = None, days: int = 7, ts: str = "logged_at"
-) -> DataFrame:
-    """Per user: totals of the last days plus activity and result counts as lists."""
-    last = df.filter(recent(ts, f"{days} days", as_of))
-    totals = last.groupBy(user_col).agg(
-        rows("sessions"),
-        F.coalesce(F.round(F.avg("intensity"), 1), F.lit(0.0)).alias("avg_intensity"),
-        F.coalesce(F.round(F.avg("mood"), 1), F.lit(0.0)).alias("avg_mood"),
-        F.coalesce(F.round(F.avg("fatigue"), 1), F.lit(0.0)).alias("avg_fatigue"),
-        rows_if(F.col("pain_flag"), "pain_sessions"),
-        F.max(ts).alias("latest_logged_at"),
+    return merged.groupBy(user_col).agg(
+        whole("n").alias("sessions"),
+        *[average(c).alias(f"avg_{c}") for c in scores],
+        whole("pain").alias("pain_sessions"),
+        F.max("latest").alias("latest_logged_at"),
+        ordered("activity", "activity_type").alias("by_activity"),
+        ordered("result", "result").alias("by_result"),
     )
-    by_activity = count_list(last, [user_col], "activity_type", "by_activity")
-    by_result = count_list(last, [user_col], "result", "by_result")
-    return totals.join(by_activity, user_col, "left").join(by_result, user_col, "left")
 
 
 def weekly_counts(df: DataFrame, user_col: str, as_of: AsOf = None, days: int = 7) -> DataFrame:
