@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import col
 from ..functions.times import AsOf, as_of_col, parse_iso
 from ..functions.wire import decode_avro_payload, decode_json_payload, payload_size, schema_id
 from ..schemas import BRONZE_EVENT, MEDALLION_EVENT
-from ..sinks.tables import prune_to
+from ..sinks.tables import counted_writer, prune_to
 from ..sources.files import read_landing
 
 GOLD_CONDITION = "source_name = 'daily_context_profile' OR event_type LIKE 'decision_%'"
@@ -142,8 +142,8 @@ def _insert_new_events(spark: SparkSession, batch: DataFrame, path: str) -> int:
 
 
 def _write_counted(df: DataFrame, path: str, mode: str, partition: str | None = None) -> int:
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    writer, seen = counted_writer(df, [partition] if partition else [])
+    writer = writer.mode(mode)
     (writer.partitionBy(partition) if partition else writer).parquet(path)
     return seen.get["rows"]
 

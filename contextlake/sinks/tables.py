@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -38,13 +38,28 @@ def ensure_table(
     )
 
 
+def counted_writer(
+    df: DataFrame, partition_by: Sequence[str] = ()
+) -> tuple[DataFrameWriter, Observation]:
+    """Writer of ``df`` and the observation that will hold its row count.
+
+    The count sits above the rebalancing: below it, adaptive execution drops
+    the counting step together with an empty stage.
+    """
+    seen = Observation()
+    spread = df.hint("rebalance", *partition_by) if partition_by else df
+    return spread.observe(seen, F.count(F.lit(1)).alias("rows")).write, seen
+
+
 def append_table(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> int:
     """Append to a table or folder and return the rows written.
 
     The count is observed during the write; the input is evaluated once.
+    Partitioned folders get files of an even size: ``REBALANCE`` gathers small
+    partition values and splits one that holds most of the rows.
     """
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    writer, seen = counted_writer(df, partition_by)
+    writer = writer.mode("append")
     if "/" in target:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
     else:
@@ -86,7 +101,8 @@ def write_landing(events: DataFrame, root: str, dt: str | Column | None = None)
     staged = landing_objects(events).withColumns(
         {"landing_source": F.col("source_name"), "dt": day.cast("string")}
     )
-    staged.write.mode("append").partitionBy("landing_source", "dt").json(root)
+    spread = staged.hint("rebalance", "landing_source", "dt")
+    spread.write.mode("append").partitionBy("landing_source", "dt").json(root)
 
 
 def landing_manifest(landing: DataFrame, path_col: str = "landing_file") -> DataFrame:

@@ -364,54 +364,75 @@ def _(spark, sf):
     return digests.weekly_review(side["week"], progress, recs, side["feedback"], view(spark, sf, "v_signals"))
 
 
+PERCENT = "CAST(round_even({} * 100, 0) AS BIGINT) || '%'"
+
+
 @query(
-    "d08_scorecard_status",
+    "d08_progress_scorecard",
     f"""WITH {CONTEXT}, {OPEN}, m AS (SELECT user_id, count(DISTINCT CAST(created_at AS DATE)) FILTER (WHERE action = 'followed') AS useful,
+        count(*) FILTER (WHERE action = 'followed') AS followed, count(*) FILTER (WHERE action = 'skipped') AS skipped,
         coalesce({half_up("CAST(count(*) FILTER (WHERE action = 'followed') AS DOUBLE) / nullif(count(*) FILTER (WHERE action IN ('followed', 'skipped')), 0)", 3)}, 0) AS rate
-        FROM v_feedback WHERE created_at >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY GROUP BY 1)
-    SELECT user_id, CASE WHEN useful >= 4 AND rate >= 0.6 THEN 'compounding' WHEN useful >= 2 OR coalesce(sessions, 0) >= 3 THEN 'building' ELSE 'thin data' END AS status,
-    'Weekly goals covered: ' || covered || '/' || total || '.' AS goals_line
-    FROM gap LEFT JOIN week USING (user_id) LEFT JOIN m USING (user_id)""",
+        FROM v_feedback WHERE created_at >= TIMESTAMP '{AS_OF}' - INTERVAL 7 DAY GROUP BY 1),
+    learned AS (SELECT user_id AS lu, activity AS la, rate AS lr FROM fb QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rate DESC, events DESC, activity) = 1),
+    card AS (SELECT gap.user_id, coalesce(useful, 0) AS useful, coalesce(m.rate, 0) AS rate, coalesce(sessions, 0) AS sessions, coalesce(followed, 0) AS followed,
+        coalesce(skipped, 0) AS skipped, covered, total, open_text, la, lr FROM gap LEFT JOIN week USING (user_id) LEFT JOIN m USING (user_id) LEFT JOIN learned ON lu = gap.user_id),
+    stated AS (SELECT *, CASE WHEN useful >= 4 AND rate >= 0.6 THEN 'compounding' WHEN useful >= 2 OR sessions >= 3 THEN 'building' ELSE 'thin data' END AS status FROM card)
+    SELECT user_id, status, 'Context metrics: ' || status || '.' || chr(10) || 'North Star: useful decision days ' || useful || '/7.' || chr(10) || 'Logged sessions: ' || sessions || '/week.' || chr(10)
+    || 'Feedback: ' || followed || ' followed, ' || skipped || ' skipped, follow rate ' || {PERCENT.format("rate")} || '.' || chr(10) || 'Weekly goals covered: ' || covered || '/' || total || '.'
+    || CASE WHEN open_text IS NULL THEN '' ELSE chr(10) || 'Open goal gaps: ' || open_text || '.' END
+    || CASE WHEN la IS NULL THEN '' ELSE chr(10) || 'Best learned activity: ' || la || ' (' || {PERCENT.format("lr")} || ' follow rate).' END || chr(10)
+    || CASE WHEN useful = 0 THEN 'Next metric move: use /today once and tap Done/Skip after the decision.' WHEN open_text IS NOT NULL THEN 'Next metric move: close one open goal with the highest-readiness activity.'
+    ELSE 'Next metric move: keep feedback density high and protect recovery.' END AS digest FROM stated""",
     PEOPLE,
 )
 def _(spark, sf):
     side, progress, _recs = text_inputs(spark, sf)
-    card = digests.progress_scorecard(side["week"], progress, side["metrics"], side["feedback"])
-    return card.select("user_id", "status", F.get(F.split("digest", "\n"), F.lit(4)).alias("goals_line"))
+    return digests.progress_scorecard(side["week"], progress, side["metrics"], side["feedback"])
 
 
 @query(
     "d08_profile_and_gap_texts",
-    f"""WITH {CONTEXT}, {RECS}, {PROFILE} SELECT user_id, 'Context data gaps' || chr(10) || 'Profile confidence: ' || confidence || '/100' || chr(10) || 'Readiness state: ' || state || chr(10)
+    f"""WITH {CONTEXT}, {RECS}, {PROFILE}, texts AS (SELECT *, {SUMMARY} AS summary, CASE WHEN gaps = '' THEN 'none' ELSE gaps END AS gap_names FROM stated)
+    SELECT user_id, 'Context data gaps' || chr(10) || 'Profile confidence: ' || confidence || '/100' || chr(10) || 'Readiness state: ' || state || chr(10)
     || CASE WHEN gaps = '' THEN 'Open gaps: none' ELSE 'Open gaps:' || chr(10) || '- ' || replace(gaps, ', ', chr(10) || '- ') END AS gaps_text,
-    'Data gaps: ' || CASE WHEN gaps = '' THEN 'none' ELSE gaps END AS gap_line FROM stated""",
+    'Context daily context profile' || chr(10) || 'Date: 2024-01-31 (UTC)' || chr(10) || 'Top action: ' || activity || ' (' || score || '/100, ' || decision || ')' || chr(10) || 'State: ' || state || chr(10)
+    || '7d loop: ' || sessions || ' sessions, mood ' || CAST(mood AS DOUBLE) || '/10, fatigue ' || CAST(fatigue AS DOUBLE) || '/10, pain sessions ' || pain || chr(10)
+    || 'Decision quality: ' || useful || ' useful days, follow rate ' || {PERCENT.format("rate")} || ', open goals ' || open_goal_count || chr(10)
+    || 'Signals: ' || signal_count || ' active, top ' || domain || ' urgency ' || urgency || '/10' || chr(10) || 'Profile confidence: ' || confidence || '/100' || chr(10)
+    || 'Data gaps: ' || gap_names || chr(10) || 'Summary: ' || summary AS profile_text FROM texts""",
     PEOPLE,
 )
 def _(spark, sf):
     rows = profiles(spark, sf)
     return rows.select(
-        "user_id",
-        digests.data_gaps_text().alias("gaps_text"),
-        F.get(F.split(digests.profile_text(), "\n"), F.lit(8)).alias("gap_line"),
+        "user_id", digests.data_gaps_text().alias("gaps_text"), digests.profile_text().alias("profile_text")
     )
 
 
 @query(
-    "d08_source_status_and_log_text",
-    f"""SELECT 'log' AS kind, 'Events: ' || count(*) AS line FROM v_logs UNION ALL
-    SELECT 'run', '- ' || component || ': failed; fresh ' || CAST(floor(date_diff('microsecond', max(ts), TIMESTAMP '{AS_OF}') / 60000000) AS BIGINT) || 'm; rows ' || count(*)
-    || '; errors ' || count(*) FILTER (WHERE lower(status) IN ('error', 'failed', 'failure', 'skipped')) FROM v_logs GROUP BY component""",
+    "d08_source_status_text",
+    f"""SELECT '- ' || component || ': failed; fresh ' || CAST(floor(date_diff('microsecond', max(ts), TIMESTAMP '{AS_OF}') / 60000000) AS BIGINT) || 'm; rows ' || count(*)
+    || '; errors ' || count(*) FILTER (WHERE lower(status) IN ('error', 'failed', 'failure', 'skipped')) AS line FROM v_logs GROUP BY component""",
     ("v_logs",),
 )
 def _(spark, sf):
-    rows = view(spark, sf, "v_logs")
-    health = logs.run_health(rows, AS_OF, order=["event_id"]).filter("source_name <> 'runtime'")
-    status = health.select(
-        F.lit("run").alias("kind"), F.regexp_replace(digests.source_status_text(), "; last: .*$", "").alias("line")
-    )
-    text = logs.log_text(rows, [F.col("ts").desc(), F.col("event_id").desc()])
-    line = text.select(F.lit("log").alias("kind"), F.get(F.split("digest", "\n"), F.lit(1)).alias("line"))
-    return status.unionByName(line)
+    health = logs.run_health(view(spark, sf, "v_logs"), AS_OF, order=["event_id"]).filter("source_name <> 'runtime'")
+    return health.select(F.regexp_replace(digests.source_status_text(), "; last: .*$", "").alias("line"))
+
+
+@query(
+    "d08_log_text",
+    """WITH s AS (SELECT string_agg(status || ' ' || n, ', ' ORDER BY status) AS t FROM (SELECT status, count(*) AS n FROM v_logs GROUP BY 1)),
+    c AS (SELECT string_agg(component || ' ' || n, ', ' ORDER BY component) AS t FROM (SELECT component, count(*) AS n FROM v_logs GROUP BY 1)),
+    f AS (SELECT string_agg('- ' || et || ' ' || component || ' ' || action || ': ' || message, chr(10) ORDER BY ts) AS t FROM (
+        SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS et FROM v_logs WHERE lower(status) IN ('error', 'failed', 'failure', 'skipped') ORDER BY ts DESC, event_id DESC LIMIT 5))
+    SELECT 'Context runtime logs' || chr(10) || 'Events: ' || (SELECT count(*) FROM v_logs) || chr(10) || 'Latest event: ' || (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S') FROM v_logs)
+    || chr(10) || 'Status: ' || s.t || chr(10) || 'Components: ' || c.t || chr(10) || 'Recent failures:' || chr(10) || f.t AS digest FROM s, c, f""",
+    ("v_logs",),
+)
+def _(spark, sf):
+    rows = view(spark, sf, "v_logs").withColumn("event_time", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    return logs.log_text(rows, [F.col("ts").desc(), F.col("event_id").desc()])
 
 
 # ---------- signals ----------

@@ -94,14 +94,15 @@ def _(spark, sf):
 
 @query("r07_stop_all", "SELECT 1 AS stopped, count(*) AS events FROM events")
 def _(spark, sf):
-    """Stop whatever runs; the stopped stream had taken in everything."""
+    """Stop whatever runs in a session of its own; the stopped stream had taken in everything."""
     source = stored(bus(spark, sf), "r07-bus")
-    sink = work_dir(spark, "r07")
+    sink, checkpoint = work_dir(spark, "r07"), work_dir(spark, "r07-checkpoint")
+    own = spark.newSession()
     running = jobs.write_continuous(
-        medallion.to_bronze(bus_source.read_file_stream(spark, source, BUS)), sink, work_dir(spark, "r07-checkpoint"), "1 second"
+        medallion.to_bronze(bus_source.read_file_stream(own, source, BUS)), sink, checkpoint, "1 second"
     )
     running.processAllAvailable()
-    stopped = jobs.stop_all(spark)
+    stopped = jobs.stop_all(own)
     return spark.read.parquet(sink).agg(F.lit(stopped).alias("stopped"), rollups.rows("events"))
 
 

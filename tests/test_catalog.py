@@ -38,7 +38,6 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted((tuple(cell(v) for v in r) for r in df.itertuples(index=False, name=None)), key=repr)
 
 
-# r07 stops every stream of the session, so it runs in the same order as the others.
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
     got = QUERIES[name](spark, sf_dir).toPandas()

@@ -183,6 +183,16 @@ def test_merge_rewrites_only_touched_partitions(spark):
     assert set(glob.glob(f"{path}/p=1/*.parquet")) == untouched
 
 
+@pytest.mark.parametrize("partition_by", [(), ("p",)])
+def test_append_reports_rows_also_when_there_are_none(spark, partition_by):
+    path = work_dir(spark, "append")
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, p int")
+    none = df.join(df.select("k"), "k", "left_anti")
+    assert sinks.append_table(df, path, partition_by) == 2
+    assert sinks.append_table(none, path, partition_by) == 0
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_ensure_table_needs_full_name(spark):
     with pytest.raises(ValueError):
         sinks.ensure_table(spark, "only_name", "event_source string")
