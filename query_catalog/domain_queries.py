@@ -783,6 +783,7 @@ def _(spark, sf):
     CASE WHEN event_id % 2 = 1 OR event_id % 13 = 3 THEN 'north spot' END AS location_label FROM events""".replace(
         "event_id % 2 = 1 AND event_id % 4 = 1 AS pain_flag", "(event_id % 2 = 1 OR event_id % 13 = 3) AND event_id % 4 = 1 AS pain_flag"
     ),
+    text=("intensity",),
 )
 def _(spark, sf):
     e = F.col("event_id")
@@ -805,6 +806,7 @@ def _(spark, sf):
     CASE event_id % 8 WHEN 0 THEN 'deep one' WHEN 1 THEN 'calm' WHEN 2 THEN 'wrist after moto' WHEN 3 THEN 'finish ' || event_type WHEN 4 THEN 'cones' WHEN 5 THEN 'SPY watch' WHEN 6 THEN 'remember ' || user_id ELSE 'x' END AS note,
     CASE WHEN event_id % 8 = 7 THEN 'unsupported capture command' WHEN event_id % 8 = 1 AND event_id % 12 NOT BETWEEN 1 AND 10 THEN 'mood must be an integer from 1 to 10' END AS error,
     event_id % 8 = 2 AND event_id % 11 > 0 AS pain_flag FROM events""",
+    text=("value",),
 )
 def captures(spark, sf):
     e = F.col("event_id")
@@ -827,6 +829,7 @@ def captures(spark, sf):
     """SELECT event_id, 'moto_lesson' AS activity_type, CAST(CASE WHEN event_id % 2 = 0 THEN 6 ELSE 5 END AS BIGINT) AS intensity,
     CAST(CASE WHEN event_id % 11 BETWEEN 1 AND 10 THEN event_id % 11 END AS BIGINT) AS mood, 'old yard' AS location_label,
     CASE WHEN event_id % 11 = 0 THEN 'mood must be an integer from 1 to 10' END AS error FROM events""",
+    text=("mood",),
 )
 def _(spark, sf):
     e = F.col("event_id")

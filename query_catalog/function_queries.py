@@ -179,6 +179,7 @@ def _(spark, sf):
     """SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(floor((1 + event_id % 12) * 60 + 30) AS BIGINT)
     WHEN 1 THEN (event_id % 12) * 60 + event_id % 60 WHEN 2 THEN nullif(event_id % 500, 0) ELSE NULL END AS minutes FROM events
     """,
+    text=("minutes",),
 )
 def _(spark, sf):
     e = F.col("event_id")
@@ -320,6 +321,7 @@ def _(spark, sf):
     CASE WHEN event_id % 3 = 0 THEN round(value, 6) END AS number,
     CASE event_id % 3 WHEN 0 THEN false WHEN 1 THEN true END AS flag,
     CASE WHEN event_id % 11 BETWEEN 1 AND 10 THEN event_id % 11 END AS bounded FROM events""",
+    text=("bounded", "flag", "whole",),
 )
 def _(spark, sf):
     e = F.col("event_id")

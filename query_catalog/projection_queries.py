@@ -47,12 +47,13 @@ STATE_ID = "CASE WHEN state IN ('short', 'null') THEN NULL ELSE event_id END"
     f"""WITH {WIRE} SELECT event_type AS event_source, ts AS event_time, {STATE_ID} AS schema_id,
     CAST({STATE_SIZE} AS BIGINT) AS payload_size, CASE WHEN state = 'good' THEN props END AS json_payload,
     user_id % 3 AS "partition", event_id AS "offset" FROM wire""",
+    text=("payload_size", "schema_id",),
 )
 def _(spark, sf):
     return medallion.to_bronze(bus(spark, sf))
 
 
-@query("p02_schema_id", f"WITH {WIRE} SELECT event_id, {STATE_ID} AS schema_id FROM wire")
+@query("p02_schema_id", f"WITH {WIRE} SELECT event_id, {STATE_ID} AS schema_id FROM wire", text=("schema_id",))
 def _(spark, sf):
     return bus(spark, sf).select(F.col("offset").alias("event_id"), wire.schema_id("value").alias("schema_id"))
 
@@ -61,6 +62,7 @@ def _(spark, sf):
     "p03_payload_size",
     f"""WITH {WIRE} SELECT event_id, CAST({STATE_SIZE} AS BIGINT) AS payload_size,
     CAST(greatest(coalesce({STATE_SIZE}, 0), 0) AS BIGINT) AS clamped_size FROM wire""",
+    text=("payload_size",),
 )
 def _(spark, sf):
     return bus(spark, sf).select(
@@ -162,6 +164,7 @@ def _(spark, sf):
     UNION ALL SELECT 'profiles', top_activity, timezone, CAST(top_score AS BIGINT), generated_at FROM v_profiles
     UNION ALL SELECT 'spots', label, source, NULL, NULL FROM v_spots""",
     ("v_scores", "v_recs", "v_feedback", "v_signals", "v_weather", "v_profiles", "v_spots"),
+    text=("score",),
 )
 def _(spark, sf):
     """The seven staging models, each reduced to comparable columns and stacked."""

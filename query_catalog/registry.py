@@ -48,12 +48,19 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Query], Query]:
-    """Register a query; ``sql`` is its oracle over the named adapter views."""
+def query(
+    name: str, sql: str | None = None, views: tuple[str, ...] = (), text: tuple[str, ...] = ()
+) -> Callable[[Query], Query]:
+    """Register a query; ``sql`` is its oracle over the named adapter views.
+
+    ``text`` names integer or boolean columns with nulls. Both sides give them
+    as text, because the two engines hand such columns out in different types.
+    """
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(fn(spark, sf_dir))
+            df = plain(fn(spark, sf_dir))
+            return df.withColumns({c: F.col(c).cast("string") for c in text}) if text else df
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -61,7 +68,11 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Cal
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = with_views(sql.strip(), views)
+            oracle = with_views(sql.strip(), views)
+            if text:
+                casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in text)
+                oracle = f"SELECT * REPLACE ({casts}) FROM ({oracle})"
+            ORACLES[name] = oracle
         return fn
 
     return register

@@ -60,6 +60,7 @@ def _(spark, sf):
     """SELECT CAST(user_id AS VARCHAR) AS "key", event_type AS topic, user_id % 3 AS "partition", event_id AS "offset",
     CASE WHEN event_id % 10 <> 0 THEN 5 + length(props) WHEN event_id % 40 = 10 THEN 1 WHEN event_id % 40 = 20 THEN 5 + length(props)
     WHEN event_id % 40 = 30 THEN NULL ELSE 11 END AS value_size FROM events""",
+    text=("value_size",),
 )
 def _(spark, sf):
     return bus_source.bus_metadata(bus(spark, sf))
