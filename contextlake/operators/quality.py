@@ -420,9 +420,12 @@ LANDING_REQUIRED_FIELDS = (
 
 
 def landing_lines(df: DataFrame, path: str = "path", line: str = "line") -> DataFrame:
-    """Source name of the path and parse flags for raw landing lines."""
+    """Source name of the path and a parse flag for raw landing lines.
+
+    The source folder is ``<source>`` or ``<column>=<source>``, above ``dt=``.
+    """
     return df.withColumn(
-        "path_source", F.regexp_extract(F.col(path), r"([^/]+)/dt=[^/]+/[^/]+$", 1)
+        "path_source", F.regexp_extract(F.col(path), r"(?:^|/)(?:[^/=]+=)?([^/=]+)/dt=[^/]+/[^/]+$", 1)
     ).withColumn("is_json", is_json_object(line))
 
 

@@ -72,7 +72,10 @@ def subscription_items(
         "subscription_id",
         "item_number",
         none.alias("event_type"),
-        F.nullif("published_at", F.lit("")).alias("event_time"),
+        # Feed dates are RFC-822 text: store them as ISO so that they survive the silver filter.
+        F.coalesce(
+            F.date_format("published_time", "yyyy-MM-dd'T'HH:mm:ssXXX"), F.nullif("published_at", F.lit(""))
+        ).alias("event_time"),
         "title",
         "url",
         none.alias("link"),

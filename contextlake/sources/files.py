@@ -31,6 +31,14 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_landing_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Raw landing lines with their file, the input of the landing checks; blank lines dropped."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")
+    )
+    return lines.filter(strip(F.col("line")) != "")
+
+
 def read_jsonl_lenient(
     spark: SparkSession,
     path: str,

@@ -901,3 +901,38 @@ def _(spark, sf):
     )
     chain = daily.DailyInputs(view(spark, sf, "v_weather"), locations, activity, None, None, None)
     return daily.user_scores(chain).select("user_id", "activity", "location_id", "score")
+
+
+CHAIN = f"""{MEASURES}, {READINESS}, followed AS (SELECT DISTINCT user_id, 'loc_' || user_id % 14 AS location_id FROM v_activity),
+    best AS (SELECT user_id, activity, location_id, score, decision, explanation FROM followed JOIN readiness USING (location_id)),
+    recent AS {CONTEXT.split("recent AS", 1)[1]}, {RECS}"""
+CHAIN_VIEWS = ("v_weather", *PEOPLE)
+
+
+def chain_inputs(spark, sf):
+    activity = view(spark, sf, "v_activity")
+    locations = activity.select("user_id").distinct().withColumn(
+        "location_id", F.concat(F.lit("loc_"), F.col("user_id") % 14)
+    )
+    nights, _rejected = sleep.normalize_sleep(sleep_rows(spark, sf), keep=("user_id",))
+    return daily.DailyInputs(
+        view(spark, sf, "v_weather"), locations, activity, view(spark, sf, "v_feedback"), view(spark, sf, "v_signals"), nights
+    )
+
+
+@query("d22_chain_recommendations", f"WITH {CHAIN} SELECT * FROM recs", CHAIN_VIEWS)
+def _(spark, sf):
+    """Weather to recommendations for every user in one lazy chain."""
+    return daily.daily_recommendations(chain_inputs(spark, sf), AS_OF)
+
+
+@query(
+    "d22_chain_profiles",
+    f"""WITH {CHAIN}, {PROFILE} SELECT user_id, activity AS top_activity, CAST(score AS BIGINT) AS top_score, state AS readiness_state,
+    {SUMMARY} AS context_summary FROM stated""",
+    CHAIN_VIEWS,
+)
+def _(spark, sf):
+    """Weather to daily profiles for every user in one lazy chain."""
+    rows = daily.daily_profiles(chain_inputs(spark, sf), AS_OF)
+    return rows.select("user_id", "top_activity", "top_score", "readiness_state", "context_summary")

@@ -138,6 +138,36 @@ def test_landing_lines_hold_objects(spark):
     assert json.loads(back["payload"])["urgency"] == 3
 
 
+def test_written_landing_files_pass_the_landing_rules(spark):
+    from contextlake.operators import quality
+
+    root = work_dir(spark, "rules")
+    sinks.write_landing(envelope(signals(spark, range(3)), SIGNAL, "2024-01-02 00:00:00"), root, "2024-01-02")
+    lines = quality.landing_lines(files.read_landing_lines(spark, f"{root}/*/dt=*/*"))
+    known = spark.createDataFrame([("context_signals",)], "source_name string")
+    assert quality.validate_landing_lines(lines, known, ["path"]).count() == 0
+    audit = quality.landing_audit(lines).first()
+    assert tuple(audit) == ("context_signals", 3, 0, 0, 0)
+    stranger = quality.validate_landing_lines(lines, known.filter("false"), ["path"])
+    assert {r["rule"] for r in stranger.collect()} == {"unregistered source"}
+
+
+def test_feed_dates_reach_silver(spark):
+    from contextlake.operators.subscriptions import subscription_events, subscription_items
+
+    subs = spark.createDataFrame(
+        [("s1", "rss_feed", "https://x.org/feed", "X", "news", ["t"], True, "public_context")],
+        "subscription_id string, source_type string, reference string, label string, domain string, tags array<string>,"
+        " enabled boolean, privacy_class string",
+    )
+    feed = "<rss><item><title>a</title><link>https://x.org/1</link><pubDate>Tue, 02 Jan 2024 10:00:00 GMT</pubDate></item></rss>"
+    items = subscription_items(subs, spark.createDataFrame([("s1", feed)], "subscription_id string, text string"))
+    events = subscription_events(subs, items, "2024-01-03 00:00:00")
+    silver = medallion.to_silver(medallion.landing_to_bronze(events.withColumn("landing_file", F.lit("x"))))
+    assert [str(r["event_time"]) for r in silver.collect()] == ["2024-01-02 10:00:00"]
+    assert events.first()["payload"].count("https://") == 0
+
+
 def test_a_load_that_stopped_half_way_can_be_repeated(spark):
     root = work_dir(spark, "half")
     sinks.write_landing(envelope(signals(spark, range(6)), SIGNAL, "2024-01-02 00:00:00"), root, "2024-01-02")
