@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import work_dir
 
@@ -57,3 +61,37 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows handed to a text function at once.
+ROWS_AT_ONCE = 256
+
+
+def map_texts(
+    docs: DataFrame,
+    work: Callable[[pa.Array], list[pa.Array]],
+    fields: dict[str, str],
+    text_col: str = "text",
+    keep_text: bool = False,
+) -> DataFrame:
+    """Run a function over whole texts in Arrow batches, no shuffle.
+
+    ``work`` gets UTF-8 texts (empty for null) and returns one array per entry of
+    ``fields``. The result has ``doc``, the input row as a struct (without the
+    text unless ``keep_text``), and the fields.
+    """
+    columns = [c for c in docs.columns if keep_text or c != text_col]
+    df = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+        whole_text(f"`{text_col}`").cast("binary").alias("text"),
+    )
+    names = ["doc", *fields]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([part.column(0), *work(part.column(1))], names=names)
+
+    schema = StructType([df.schema["doc"], *StructType.fromDDL(", ".join(f"{k} {v}" for k, v in fields.items()))])
+    return df.mapInArrow(run, schema)

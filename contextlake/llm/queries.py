@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import digest_documents
 from .lines import drop_shared_lines
 from .mixing import mix_sources
+from .quality import judge_documents
+from .simhash import near_duplicates
+from .token_counts import count_tokens
 from .urls import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +144,69 @@ def op5_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     judged = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
     return judged.select("page.page_id", "host", "path", "rule", "verdict")
+
+
+VOCABULARY = "word_bpe_49k.json"
+#: Names of the measures in the order of the result.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+@_query()
+def op1_token_counts(spark, sf_dir):
+    """Tokens of every whole text; SQL has no tokenizer, tests compare with the library."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path(VOCABULARY), limit=2048)
+    return counted.select("doc.doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@_query()
+def op3_simhash(spark, sf_dir):
+    """Components of fingerprints within 2 bits; tests compare with brute force."""
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc.doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+@_query()
+def op6_bpe(spark, sf_dir):
+    """Every whole text encoded and decoded; SQL has no BPE, tests compare with the library."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = digest_documents(docs, public_tokenizers.path(VOCABULARY))
+    return coded.select("doc.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@_query(
+    r"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    split AS (
+        SELECT doc_id, text, regexp_extract_all(text, '[^ 	-]+') AS words,
+               list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS lines
+        FROM texts
+    ), starts AS (
+        SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS at FROM split
+    ), repeated AS (
+        SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, words[at:at + 7]) AS times FROM starts
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT word) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(range(at, at + 8)) AS word FROM repeated WHERE times > 1) GROUP BY doc_id
+    ), measured AS (
+        SELECT s.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+               length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words
+        FROM split s LEFT JOIN covered USING (doc_id)
+    ), judged AS (
+        SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND 100 * n_symbols <= 10 * word_chars AND 2 * n_dup_lines <= n_lines
+           AND word_chars BETWEEN 2 * n_words AND 20 * n_words AS kept
+    FROM judged
+    """
+)
+def op9_quality(spark, sf_dir):
+    """Base measures of every whole text and the verdict of the cascade."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = judge_documents(docs, measures=MEASURES)
+    return judged.select("doc.doc_id", *MEASURES, "base_failed", "kept")
