@@ -180,16 +180,18 @@ def op6_bpe(spark, sf_dir):
     r"""
     WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     split AS (
-        SELECT doc_id, text, regexp_extract_all(text, '[^ 	-]+') AS words,
-               list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS lines
+        SELECT doc_id, text, regexp_extract_all(text, '[^ 	-
+]+') AS words,
+               list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines
         FROM texts
     ), starts AS (
-        SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS at FROM split
+        SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS first FROM split
     ), repeated AS (
-        SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, words[at:at + 7]) AS times FROM starts
+        SELECT doc_id, first, count(*) OVER (PARTITION BY doc_id, words[first:first + 7]) AS times FROM starts
     ), covered AS (
         SELECT doc_id, count(DISTINCT word) AS n_repeat_words
-        FROM (SELECT doc_id, unnest(range(at, at + 8)) AS word FROM repeated WHERE times > 1) GROUP BY doc_id
+        FROM (SELECT doc_id, unnest(range(first, first + 8)) AS word FROM repeated WHERE times > 1) GROUP BY doc_id
     ), measured AS (
         SELECT s.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
                length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
