@@ -36,6 +36,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def packed(df: DataFrame, name: str = "doc") -> DataFrame:
     """All columns as one struct, so that no input name can clash with a working column."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import digest_documents
 from .lines import drop_shared_lines
 from .mixing import mix_sources
+from .multiset import fingerprint_documents, likeness, to_hex
 from .quality import judge_documents
 from .simhash import near_duplicates
 from .token_counts import count_tokens
@@ -212,3 +213,19 @@ def op9_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = judge_documents(docs, measures=MEASURES)
     return judged.select("doc.doc_id", *MEASURES, "base_failed", "kept")
+
+
+@_query()
+def op8_fingerprints(spark, sf_dir):
+    """Fingerprints of whole texts, their edits and their likeness; tests compare with brute force."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fingerprint_documents(docs)
+    return found.select(
+        "doc.doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        to_hex(F.col("vector")).alias("fingerprint"),
+        to_hex(F.col("edited_vector")).alias("edited_fingerprint"),
+        likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
+        likeness(F.col("vector"), F.col("next_vector")).alias("near_next"),
+    )
