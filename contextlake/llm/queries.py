@@ -12,6 +12,7 @@ from .bpe import digest_documents
 from .lines import drop_shared_lines
 from .mixing import mix_sources
 from .multiset import fingerprint_documents, likeness, to_hex
+from .pii import KINDS, find_personal_data, span_text
 from .quality import judge_documents
 from .simhash import near_duplicates
 from .token_counts import count_tokens
@@ -229,3 +230,19 @@ def op8_fingerprints(spark, sf_dir):
         likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
         likeness(F.col("vector"), F.col("next_vector")).alias("near_next"),
     )
+
+
+@_query()
+def op7_personal_data(spark, sf_dir):
+    """Personal data of every whole text; tests compare the patterns with brute force."""
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc.doc_id",
+        *[F.size(F.filter("base", _is_kind(k))).cast("long").alias(f"n_{k}") for k in KINDS],
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"),
+    )
+
+
+def _is_kind(kind: str):
+    return lambda s: s["kind"] == kind
