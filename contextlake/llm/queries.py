@@ -15,6 +15,7 @@ from .multiset import fingerprint_documents, likeness, to_hex
 from .pii import KINDS, find_personal_data, span_text
 from .quality import judge_documents
 from .simhash import near_duplicates
+from .substrings import remove_repeats
 from .token_counts import count_tokens
 from .urls import judge_urls
 
@@ -246,3 +247,33 @@ def op7_personal_data(spark, sf_dir):
 
 def _is_kind(kind: str):
     return lambda s: s["kind"] == kind
+
+
+@_query(
+    r"""
+    WITH split AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), windows AS (
+        SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS first FROM split
+    ), judged AS (
+        SELECT doc_id, first,
+               min(doc_id) OVER (PARTITION BY words[first:first + 12]) < doc_id AS earlier
+        FROM windows
+    ), covered AS (
+        SELECT DISTINCT doc_id, unnest(range(first, first + 13)) AS pos FROM judged WHERE earlier
+    ), placed AS (
+        SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split
+    ), kept AS (
+        SELECT doc_id, count(*) AS n_words, count(c.pos) AS n_removed,
+               string_agg(word, ' ' ORDER BY placed.pos) FILTER (WHERE c.pos IS NULL) AS text
+        FROM placed LEFT JOIN covered c USING (doc_id, pos) GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(text, '')) AS kept_sha256
+    FROM split LEFT JOIN kept USING (doc_id)
+    """
+)
+def op10_substring_dedup(spark, sf_dir):
+    """Words of 13-word windows that also start in a document with a smaller id, removed."""
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
