@@ -128,8 +128,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     )
     extra = F.when(F.col("part") > 0, F.array(F.col("part"))).otherwise(F.array().cast("array<bigint>"))
     one = mixed.select("doc", "size", F.explode(F.concat(repeats, extra)).alias("take"))
-    cut = F.regexp_extract(
-        text, F.concat(F.lit("^(?:[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]++){"), "take", F.lit("}")), 0
-    )
+    # Possessive, so that the matcher neither recurses nor backtracks on a long text.
+    first_words = F.concat(F.lit("^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){"), "take", F.lit("}+"))
+    cut = F.call_function("regexp_extract", text, first_words, F.lit(0))
     whole = (F.col("take") < 0) | (F.col("take") >= F.col("size"))
     return unpacked(one, docs, {text_col: F.when(whole, text).otherwise(cut)})
