@@ -40,7 +40,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], most_repeats: int)
         .withColumn(
             "target",
             F.when(
-                F.struct("level", "g") >= F.struct("first.level", "first.g"),
+                F.col("first").isNotNull() & (F.struct("level", "g") >= F.struct("first.level", "first.g")),
                 (F.col("weight") * F.col("first.rest")).cast("double") / F.col("first.rest_weight"),
             ).otherwise(F.col("cap").cast("double")),
         )

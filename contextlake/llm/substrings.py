@@ -179,10 +179,10 @@ def _from_bytes(data: bytes, width: int) -> np.ndarray:
 def _by_bucket(chunk: int, buckets: np.ndarray, data: bytes, width: int) -> pa.RecordBatch:
     """Messages of one chunk: the entries are in bucket order."""
     names, first = np.unique(buckets, return_index=True)
-    ends = np.append(first[1:], len(buckets))
+    ends = np.append(first[1:], len(buckets))[: len(first)]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(names.astype(np.int64), pa.int32()) if len(names) else pa.array([], pa.int32()),
+            pa.array(names.astype(np.int32), pa.int32()),
             pa.array([chunk] * len(names), pa.int64()),
             pa.array([data[a * width : b * width] for a, b in zip(first, ends, strict=True)], pa.binary()),
         ],
