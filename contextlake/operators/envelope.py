@@ -43,9 +43,9 @@ class EnvelopeSpec:
 
 
 def as_text(c: Column, dtype: str) -> Column:
-    """Timestamps as ISO text with a zone, everything else as plain text."""
+    """Timestamps as ISO text with a zone, to the microsecond; everything else as plain text."""
     if dtype in ("timestamp", "timestamp_ntz"):
-        return F.date_format(c.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+        return F.date_format(c.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     return c.cast("string")
 
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import event_id, event_key
 from ..functions.text import col
 from ..functions.times import AsOf, as_of_col, parse_iso
 from ..functions.wire import decode_avro_payload, decode_json_payload, payload_size, schema_id
+from ..operators.latest import latest_by
 from ..schemas import BRONZE_EVENT, MEDALLION_EVENT
-from ..sinks.tables import counted_writer, prune_to
+from ..sinks.tables import counted_writer, prune_to, touched_partitions
 from ..sources.files import read_landing
 
 GOLD_CONDITION = "source_name = 'daily_context_profile' OR event_type LIKE 'decision_%'"
@@ -108,6 +111,10 @@ def stage(df: DataFrame, columns: Sequence[str] | str) -> DataFrame:
     return df.select(*(STAGING[columns] if isinstance(columns, str) else columns))
 
 
+#: Columns that name a partition of a layer.
+LAYER_PARTITIONS = ("source_name", "event_day")
+
+
 def load_medallion(
     spark: SparkSession,
     landing_path: str,
@@ -119,32 +126,77 @@ def load_medallion(
     """Load landing events into bronze, silver and gold; returns rows written per layer.
 
     The landing files are parsed once into ``staging`` (a new folder), one row
-    per ``event_id``. Each layer then inserts what it does not hold yet, so a
-    rerun adds nothing and a load that stopped half way can be repeated.
+    per ``event_id``: the last ingested one. Lines without an id get one from
+    their source, type, time and payload, so different lines stay different
+    and a line that comes again is known. Layers are partitioned by source and
+    event day, null included. Each layer inserts what the touched partitions do
+    not hold yet, so a rerun adds nothing, a load that stopped half way can be
+    repeated, and a late event reads its own day only.
     """
-    incoming = landing_to_bronze(read_landing(spark, landing_path))
-    _write_counted(incoming.dropDuplicates(["event_id"]), staging, "overwrite")
+    incoming = identified(landing_to_bronze(read_landing(spark, landing_path)))
+    newest = [F.col("ingested_at").desc_nulls_last(), F.xxhash64(*incoming.columns)]
+    _write_counted(latest_by(incoming, ["event_id"], newest), staging, "overwrite")
     batch = spark.read.schema(incoming.schema).parquet(staging)
+    touched = touched_partitions(batch, LAYER_PARTITIONS, f"{staging}-touched")
     layers = {
         "bronze": (batch, bronze_path),
         "silver": (to_silver(batch), silver_path),
         "gold": (to_gold(batch), gold_path),
     }
-    return {name: _insert_new_events(spark, df, path) for name, (df, path) in layers.items()}
+    return {name: _insert_new_events(spark, df, touched, path) for name, (df, path) in layers.items()}
+
+
+def identified(bronze: DataFrame) -> DataFrame:
+    """Rows with an id each, computed where it is missing, and their ``event_day``."""
+    line = event_key(
+        F.col("source_name"),
+        F.col("event_type"),
+        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+        F.col("json_payload"),
+    )
+    given = F.when(F.trim("event_id") != "", F.col("event_id"))
+    return bronze.withColumns(
+        {"event_id": F.coalesce(given, event_id(line)), "event_day": F.date_format("event_time", "yyyy-MM-dd")}
+    )
+
+
+def layer_partitions(spark: SparkSession, path: str) -> list[str] | None:
+    """Partition columns of a stored layer; None if it holds no rows yet.
+
+    Layers written before days were a partition go on by source alone.
+    """
+    if not _has_data(spark, path):
+        return None
+    try:
+        stored = spark.read.parquet(path).columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+    return [c for c in LAYER_PARTITIONS if c in stored]
+
+
+def held_ids(
+    spark: SparkSession, batch: DataFrame, touched: DataFrame, path: str, partitions: Sequence[str] = LAYER_PARTITIONS
+) -> DataFrame:
+    """Event ids that a layer holds in the touched partitions."""
+    layer = spark.read.schema(batch.schema).parquet(path)
+    return prune_to(layer, touched, partitions).select("event_id")
 
 
-def _insert_new_events(spark: SparkSession, batch: DataFrame, path: str) -> int:
-    fresh = batch
-    if _has_data(spark, path):
-        held = prune_to(spark.read.schema(batch.schema).parquet(path), batch, "source_name")
-        fresh = batch.join(held.select("event_id"), "event_id", "left_anti")
-    return _write_counted(fresh, path, "append", "source_name")
+def _insert_new_events(spark: SparkSession, batch: DataFrame, touched: DataFrame, path: str) -> int:
+    layout = layer_partitions(spark, path)
+    if layout is None:
+        return _write_counted(batch, path, "append", LAYER_PARTITIONS)
+    fresh = batch.join(held_ids(spark, batch, touched, path, layout), "event_id", "left_anti")
+    missing = [c for c in LAYER_PARTITIONS if c not in layout]
+    return _write_counted(fresh.drop(*missing), path, "append", layout)
 
 
-def _write_counted(df: DataFrame, path: str, mode: str, partition: str | None = None) -> int:
-    writer, seen = counted_writer(df, [partition] if partition else [])
+def _write_counted(df: DataFrame, path: str, mode: str, partitions: Sequence[str] = ()) -> int:
+    writer, seen = counted_writer(df, partitions)
     writer = writer.mode(mode)
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
     return seen.get["rows"]
 
 

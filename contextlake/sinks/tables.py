@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -110,21 +113,27 @@ def landing_manifest(landing: DataFrame, path_col: str = "landing_file") -> Data
     return landing.groupBy(F.col(path_col).alias("path")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def without_keys(df: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``held`` lacks; a null key equals a null key."""
+    other = held.select(*[F.col(k).alias(f"_held_{i}") for i, k in enumerate(keys)])
+    same = [df[k].eqNullSafe(other[f"_held_{i}"]) for i, k in enumerate(keys)]
+    return df.join(other, reduce(and_, same), "left_anti")
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
-    """Target with every source key replaced by its newest source row."""
+    """Target with every source key replaced by its newest source row; null keys match null keys."""
     newest = keep_latest(source, keys, version)
-    kept = target.join(newest.select(*keys), list(keys), "left_anti")
+    kept = without_keys(target, newest, keys)
     return kept.select(*target.columns).unionByName(newest.select(*target.columns))
 
 
 def insert_new(
     target: DataFrame, source: DataFrame, keys: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
-    """Source rows whose key the target does not hold, one per key."""
-    newest = keep_latest(source, keys, version)
-    return newest.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+    """Source rows whose key the target does not hold, one per key; null keys match null keys."""
+    return without_keys(keep_latest(source, keys, version), target, keys).select(*source.columns)
 
 
 def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, Column]) -> DataFrame:
@@ -141,19 +150,33 @@ def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, Col
     )
 
 
-MAX_PRUNED_VALUES = 1_000
+def partition_key(c: str) -> Column:
+    """A partition value as text that is never null: empty for null, else marked."""
+    text = F.col(c).cast("string")
+    return F.when(text.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), text))
+
 
+def touched_partitions(incoming: DataFrame, columns: Sequence[str], path: str) -> DataFrame:
+    """Keys of the distinct partitions of ``incoming``, null included, written to ``path``.
+
+    As a table of their own their size is known, so a few values are broadcast
+    and prune the other side's files; many are joined by shuffle.
+    """
+    keys = incoming.select(*[partition_key(c).alias(f"touched_{c}") for c in columns]).distinct()
+    keys.write.parquet(path)
+    return incoming.sparkSession.read.schema(keys.schema).parquet(path)
 
-def prune_to(existing: DataFrame, incoming: DataFrame, column: str) -> DataFrame:
-    """Rows of ``existing`` in the partitions that ``incoming`` touches.
 
-    Up to MAX_PRUNED_VALUES partition values become a literal filter, which
-    prunes files before they are listed; with more values a semi join does it.
+def prune_to(existing: DataFrame, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` in the ``touched`` partitions; a null value is a partition like any other.
+
+    One semi join for any number of values. Its keys are never null and made of
+    partition columns only, so dynamic pruning keeps other partitions unread.
     """
-    values = incoming.select(column).distinct().limit(MAX_PRUNED_VALUES + 1).collect()
-    if len(values) > MAX_PRUNED_VALUES:
-        return existing.join(incoming.select(column).distinct(), column, "left_semi")
-    return existing.filter(F.col(column).isin([row[0] for row in values if row[0] is not None]))
+    # Always true; the optimizer prunes by a side only if that side has a comparison.
+    some = touched.filter(F.length(f"touched_{columns[0]}") >= 0)
+    same = [partition_key(c) == F.col(f"touched_{c}") for c in columns]
+    return existing.join(some, reduce(and_, same), "left_semi")
 
 
 def merge_into_partitions(
@@ -162,12 +185,14 @@ def merge_into_partitions(
 ) -> None:
     """Upsert into a partitioned folder, rewriting only partitions the source touches.
 
-    Keys must not move between partitions. The merged partitions are staged in
-    ``staging`` (the target is also an input) and written back with dynamic
-    partition overwrite, so untouched partitions keep their files.
+    Keys must not move between partitions; rows without a partition value are a
+    partition too. The merged partitions are staged in ``staging`` (the target
+    is also an input) and written back with dynamic partition overwrite, so
+    untouched partitions keep their files.
     """
     target = spark.read.parquet(path)
-    affected = prune_to(target, source, partition_by)
+    touched = touched_partitions(source, [partition_by], f"{staging}-touched")
+    affected = prune_to(target, touched, [partition_by])
     upsert(affected, source, keys, version).write.mode("overwrite").partitionBy(partition_by).parquet(staging)
     (
         spark.read.schema(target.schema)
@@ -188,18 +213,15 @@ def append_digest_runs(df: DataFrame, target: str, limit: int = 1000) -> int:
 def compact(spark: SparkSession, source: str, target: str, partition_by: Sequence[str] = (), target_mb: int = 256) -> None:
     """Rewrite a folder of many small files into a new folder of larger ones.
 
-    AQE sizes the output partitions from real shuffle sizes; a large partition
-    value is split over several files, small ones share a task.
+    ``REBALANCE`` into as many parts as the source's bytes fill: a large
+    partition value is split over several files, small ones share a task.
+    Session settings stay as they are.
     """
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, f"{target_mb}MB")
-    try:
-        df = spark.read.parquet(source).hint("rebalance", *partition_by)
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
-    finally:
-        spark.conf.set(key, before)
+    total = file_stats(spark, source).select((F.col("files") * F.col("mean_bytes")).alias("bytes")).first()["bytes"]
+    parts = max(1, math.ceil((total or 0) / (target_mb << 20)))
+    df = spark.read.parquet(source).hint("rebalance", parts, *partition_by)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
 
 
 def file_stats(spark: SparkSession, path: str) -> DataFrame:

@@ -301,3 +301,53 @@ def _(spark, sf):
         rows = spark.read.schema(schema).parquet(path).agg(rollups.rows("n")).select(F.lit(layer).alias("layer"), "n")
         result = rows if result is None else result.unionByName(rows)
     return result
+
+
+@query(
+    "k18_load_with_odd_lines",
+    """WITH s AS (SELECT count(DISTINCT signal_id) AS ids, (SELECT count(*) FROM (SELECT DISTINCT * FROM v_signals)) AS lines
+        FROM v_signals)
+    SELECT 'bronze' AS layer, 2 * ids + lines AS n, 2 * ids + lines AS n_ids FROM s
+    UNION ALL SELECT 'silver', ids + lines, ids + lines FROM s""",
+    ("v_signals",),
+)
+def _(spark, sf):
+    """Lines without source, without id, repeated and late ones, loaded twice: none is lost, none comes twice."""
+    lines = envelope(view(spark, sf, "v_signals"), SIGNAL, AS_OF)
+    nothing = F.lit(None).cast("string")
+    odd = (
+        lines.unionByName(lines.withColumns({"source_name": nothing, "event_id": F.concat(F.lit("n"), "event_id")}))
+        .unionByName(lines.withColumns({"event_id": nothing, "event_time": F.lit("2019-05-05T00:00:00Z")}))
+        .unionByName(lines.withColumn("ingested_at", F.lit("2024-03-01T00:00:00Z")))
+    )
+    root, base = work_dir(spark, "k18-odd-landing"), work_dir(spark, "k18-odd-lake")
+    odd.write.json(f"{root}/landing_source=odd/dt=2024-01-31")
+    paths = {layer: f"{base}/{layer}" for layer in ("bronze", "silver", "gold")}
+    for _run in range(2):
+        medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths.values(), work_dir(spark, "k18-odd-staging"))
+    counts = [
+        spark.read.parquet(paths[layer])
+        .agg(rollups.rows("n"), F.count_distinct("event_id").alias("n_ids"))
+        .select(F.lit(layer).alias("layer"), "n", "n_ids")
+        for layer in ("bronze", "silver")
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query(
+    "k08_merge_rows_without_partition",
+    """SELECT user_id, max(event_id) AS event_id, CASE WHEN user_id % 4 > 0 THEN user_id % 4 END AS part
+    FROM events GROUP BY user_id""",
+    text=("part",),
+)
+def _(spark, sf):
+    """A quarter of the users has no partition value; stored ones among them stay."""
+    part = F.when(F.col("user_id") % 4 > 0, F.col("user_id") % 4)
+    rows = table(spark, sf, "events").select("user_id", "event_id", "ts", part.alias("part"))
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    path, staging = work_dir(spark, "k08-null"), work_dir(spark, "k08-null-staging")
+    latest.keep_latest(rows.filter(F.col("ts") < half), ["user_id"], ["event_id"]).write.partitionBy("part").parquet(path)
+    sinks.merge_into_partitions(
+        spark, path, rows.filter(F.col("ts") >= half), ["user_id"], ["event_id"], "part", staging
+    )
+    return spark.read.parquet(path).select("user_id", "event_id", F.col("part").cast("bigint").alias("part"))
