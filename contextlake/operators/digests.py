@@ -28,20 +28,20 @@ def listed(items: Column, text, n: int) -> Column:
     return F.concat_ws(", ", F.transform(F.slice(items, 1, n), text))
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], n: int, *fields: str) -> DataFrame:
-    """The ``n`` best rows per key as one ordered array column ``_items``."""
+def _ranked(df: DataFrame, keys: Sequence[str], n: int | None, *fields: str) -> DataFrame:
+    """The ``n`` best rows per key, or all, as one ordered array column ``_items``."""
     order = [F.col("score").desc(), F.col("activity").asc()]
-    top = latest_by(df, keys, order, n)
+    top = df if n is None else latest_by(df, keys, order, n)
     item = F.struct((-F.col("score")).alias("_o"), F.col("activity").alias("activity"), "score", *fields)
     return top.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_items"))
 
 
 def readiness_digest(scores: DataFrame, keys: Sequence[str], title: str = TITLE) -> DataFrame:
-    """Best readiness per activity as one text per key."""
+    """Best readiness of every activity as one text per key."""
     best = latest_by(
         scores, [*keys, "activity"], [F.col("score").desc(), F.col("location_id").asc()]
     )
-    ranked = _ranked(best, keys, 10, "decision", "explanation")
+    ranked = _ranked(best, keys, None, "decision", "explanation")
     first = F.col("_items")[0]
     option = lambda x: F.format_string(
         "- %s: %d/100, %s — %s", x["activity"], x["score"], x["decision"], x["explanation"]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Mapping, Sequence
+import threading
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import StructType
 
+from ..session import work_dir
+
 LOG = logging.getLogger(__name__)
 
 
@@ -145,26 +149,38 @@ def warn_if_replay_ignored(spark: SparkSession, checkpoint: str, starting: str)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the last progress numbers of queries (one small tuple per batch)."""
+    """Writes the progress numbers of every batch to a table, one small row each.
+
+    Rows go to ``path`` in blocks of ``block``, so a long run neither fills the
+    driver nor loses batches. Use :meth:`watching` around a run, or add the
+    listener to ``spark.streams`` and read :meth:`table`.
+    """
+
+    SCHEMA = "query string, batch_id bigint, input_rows bigint, rows_per_second double"
 
-    def __init__(self, keep: int = 1_000) -> None:
+    def __init__(self, session: SparkSession, path: str | None = None, block: int = 500) -> None:
+        self.session = session
+        self.path = path or work_dir(session, "progress")
+        self.block = block
         self.rows: list[tuple[str, int, int, float]] = []
-        self.keep = keep
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         LOG.info("stream started: %s", event.name)
 
     def onQueryProgress(self, event) -> None:
         progress = json.loads(event.progress.json)
-        self.rows.append(
-            (
-                progress.get("name") or str(progress.get("id")),
-                int(progress.get("batchId", -1)),
-                int(progress.get("numInputRows", 0)),
-                float(progress.get("inputRowsPerSecond") or 0.0),
-            )
+        row = (
+            progress.get("name") or str(progress.get("id")),
+            int(progress.get("batchId", -1)),
+            int(progress.get("numInputRows", 0)),
+            float(progress.get("inputRowsPerSecond") or 0.0),
         )
-        del self.rows[: -self.keep]
+        with self._lock:
+            self.rows.append(row)
+            full = len(self.rows) >= self.block
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -172,19 +188,28 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         LOG.info("stream ended: %s", event.exception or "ok")
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.rows, "query string, batch_id bigint, input_rows bigint, rows_per_second double"
-        )
-
-
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Progress of a finished or running query as rows."""
-    data = []
-    for p in query.recentProgress:
-        body = json.loads(p.json) if hasattr(p, "json") else p
-        data.append((int(body["batchId"]), int(body["numInputRows"])))
-    return spark.createDataFrame(data, "batch_id bigint, input_rows bigint")
+    def flush(self) -> None:
+        """Append the rows held so far to the table."""
+        with self._lock:
+            rows, self.rows = self.rows, []
+        if rows:
+            self.session.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def table(self) -> DataFrame:
+        """Every row so far."""
+        self.flush()
+        self.session.createDataFrame([], self.SCHEMA).write.mode("append").parquet(self.path)
+        return self.session.read.schema(self.SCHEMA).parquet(self.path)
+
+    @contextmanager
+    def watching(self) -> Iterator[ProgressLog]:
+        """Listen while a block runs; at its end every event of its queries has come in."""
+        self.session.streams.addListener(self)
+        try:
+            yield self
+        finally:
+            self.session.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+            self.session.streams.removeListener(self)
 
 
 def stop_all(spark: SparkSession) -> int:

@@ -57,9 +57,10 @@ def _(spark, sf):
     """Progress of a run with several micro-batches."""
     source = stored(bus(spark, sf).repartition(4), "r04-bus")
     stream = bus_source.read_file_stream(spark, source, BUS, max_files_per_trigger=1)
-    finished = jobs.write_bounded(medallion.to_bronze(stream), work_dir(spark, "r04"), work_dir(spark, "r04-checkpoint"))
-    progress = jobs.progress_rows(spark, finished)
-    return progress.agg(
+    log = jobs.ProgressLog(spark)
+    with log.watching():
+        jobs.write_bounded(medallion.to_bronze(stream), work_dir(spark, "r04"), work_dir(spark, "r04-checkpoint"))
+    return log.table().agg(
         F.sum("input_rows").alias("input_rows"), (F.countDistinct("batch_id") > 1).alias("several_batches")
     )
 

@@ -99,22 +99,16 @@ def test_typed_rows_round_money_half_up(spark):
     assert (str(row["amount"]), str(row["event_time"])) == ("1.01", "2024-01-01 00:00:00")
 
 
-def test_progress_listener_keeps_rows(spark):
-    import time
-
-    listener = jobs.ProgressLog()
-    spark.streams.addListener(listener)
-    try:
-        source = work_dir(spark, "listen")
-        bus_rows(spark, range(4)).write.parquet(source)
-        jobs.write_bounded(bus_source.read_file_stream(spark, source, BUS), work_dir(spark, "listen-out"), work_dir(spark, "listen-cp"))
-        for _ in range(50):
-            if sum(r[2] for r in listener.rows) == 4:
-                break
-            time.sleep(0.1)
-        assert listener.table(spark).agg(F.sum("input_rows")).first()[0] == 4
-    finally:
-        spark.streams.removeListener(listener)
+def test_progress_table_holds_every_batch(spark):
+    """More batches than Spark itself remembers, in several blocks."""
+    source = work_dir(spark, "listen")
+    bus_rows(spark, range(110)).repartition(110, "offset").write.option("maxRecordsPerFile", 1).parquet(source)
+    log = jobs.ProgressLog(spark, block=40)
+    with log.watching():
+        stream = bus_source.read_file_stream(spark, source, BUS, max_files_per_trigger=1)
+        jobs.write_bounded(stream.select("offset"), work_dir(spark, "listen-out"), work_dir(spark, "listen-cp"))
+    batches = log.table().filter("input_rows > 0")
+    assert batches.agg(F.sum("input_rows"), F.countDistinct("batch_id")).first()[:] == (110, 110)
 
 
 # ---- landing and medallion ----
