@@ -13,6 +13,7 @@ from ..functions.json_tools import redact_json
 from ..functions.text import first_filled
 from ..functions.times import AsOf, as_of_col
 from ..schemas import ENVELOPE, LAKE_VERSION
+from ..session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -241,7 +242,7 @@ def custom_events(
     forbidden key at any depth; records of unknown sources or without a time
     are rejected with a reason.
     """
-    known = registry.select("source_name").distinct().withColumn("_known", F.lit(True))
+    known = broadcast_if_small(registry.select("source_name").distinct()).withColumn("_known", F.lit(True))
     text = F.col(row_json)
     staged = rows.join(known, "source_name", "left").withColumns(
         {

@@ -27,6 +27,7 @@ from ..schemas import (
     SIGNAL_DIRECTIONS,
     SIGNAL_DOMAINS,
 )
+from ..session import broadcast_if_small
 
 
 # ---- predicates ----
@@ -438,7 +439,7 @@ def validate_landing_lines(
     ``df`` comes from :func:`landing_lines`. ``registry`` holds the known
     ``source_name`` values.
     """
-    known = registry.select(F.col("source_name").alias("path_source")).distinct()
+    known = broadcast_if_small(registry.select(F.col("source_name").alias("path_source")).distinct())
     # Each line is parsed once for its keys and once for three fields, ahead of the rules.
     parsed = df.withColumns(
         {

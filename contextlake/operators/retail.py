@@ -36,8 +36,12 @@ def category_profile(products: DataFrame, product_suppliers: DataFrame) -> DataF
 
 
 def stock_by_region(stock: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """Stock per region and country; rows are summed per warehouse and product before anything distinct is counted."""
+    pairs = stock.groupBy("warehouse_id", "product_id").agg(
+        F.sum("qty").alias("qty"), F.sum("reserved_qty").alias("reserved_qty")
+    )
     return (
-        stock.join(warehouses, "warehouse_id")
+        pairs.join(warehouses, "warehouse_id")
         .groupBy("region", "country")
         .agg(
             F.countDistinct("warehouse_id").alias("warehouses"),

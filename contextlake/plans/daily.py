@@ -30,11 +30,15 @@ class DailyInputs:
 def user_scores(inputs: DailyInputs, user_col: str = "user_id") -> DataFrame:
     """Readiness of every location a user follows.
 
-    The location side is four rows per location after aggregation, so it meets
-    the user side on the location key without a shuffle of raw weather.
+    The location side is one row per location, an array of its activities'
+    scores: a city that holds most users is joined once per user and unfolded
+    afterwards, and a hot location can be split.
     """
     scores = readiness_scores(inputs.weather)
-    return inputs.user_locations.select(user_col, "location_id").join(scores, "location_id")
+    others = [c for c in scores.columns if c != "location_id"]
+    of_location = scores.groupBy("location_id").agg(F.collect_list(F.struct(*others)).alias("_scores"))
+    followed = inputs.user_locations.select(user_col, "location_id").join(of_location, "location_id")
+    return followed.select("location_id", user_col, F.inline("_scores"))
 
 
 def daily_recommendations(

@@ -41,6 +41,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/contextlake/{name}-{uuid.uuid4().hex}"
 
 
+def broadcast_if_small(df: DataFrame, limit: int = MAX_CONFIG_ROWS) -> DataFrame:
+    """A lookup frame with a broadcast hint if it has at most ``limit`` rows, as it is beyond.
+
+    Rows are counted up to the limit only.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def config_frame(
     spark: SparkSession, rows: Iterable[Sequence], schema: str | StructType
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +84,22 @@ def file_extension(path: str | Column) -> Column:
     return F.when(dotted, F.lower(F.substring_index(name, ".", -1))).otherwise("")
 
 
+def json_records(body: Column, keys: Sequence[str] = FILE_ROW_KEYS) -> Column:
+    """Records of a JSON document as an array of texts, the document parsed once.
+
+    A list gives its elements, an object the first of ``keys`` that holds a list,
+    anything else itself. Text that only looks like a list is no list.
+    """
+    candidates = F.from_json(body, ", ".join(f"`{k}` array<string>" for k in keys))
+    single = let(candidates, lambda c: F.coalesce(*[c[k] for k in keys], F.array(body)))
+    return F.when(F.startswith(body, F.lit("[")), F.from_json(body, "array<string>")).otherwise(single)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it occurs."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def explode_json_rows(
     df: DataFrame,
     text: str,
@@ -97,10 +113,7 @@ def explode_json_rows(
     ``is_object``; records that are not objects are kept and flagged.
     """
     body = strip(col(text))
-    lists = [F.from_json(F.get_json_object(body, f"$.{k}"), "array<string>") for k in keys]
-    is_list = F.startswith(body, F.lit("["))
-    single = F.coalesce(*lists, F.array(body))
-    rows = F.when(is_list, F.from_json(body, "array<string>")).otherwise(single)
+    rows = json_records(body, keys)
     if allow_json_lines:
         # JSON lines: several lines, the first of which is a whole object by itself.
         lines = F.filter(F.split(body, r"\r?\n"), lambda x: strip(x) != "")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import col
-from .files import file_extension, file_name
+from .files import file_extension, file_name, json_records
 
 # ---- fixed values: file stem fragments, first match wins ----
 STEM_RULES = (
@@ -20,7 +20,7 @@ STEM_RULES = (
     ("market_watchlist_snapshot", ("watchlist", "market")),
     ("learning_activity", ("learning", "study")),
     ("finance_event_calendar", ("finance_event", "earnings")),
-    ("health_metrics", ("metric+health",)),
+    ("health_metrics", (("metric", "health"),)),
     ("health_summary", ("health",)),
     ("location_visits", ("visit",)),
     ("location_area_summary", ("location", "area", "movement")),
@@ -69,7 +69,7 @@ def kind_by_name(path: str | Column) -> Column:
         hit = F.lit(False)
         for fragment in fragments:
             part = F.lit(True)
-            for word in fragment.split("+"):
+            for word in (fragment,) if isinstance(fragment, str) else fragment:
                 part = part & F.contains(stem, F.lit(word))
             hit = hit | part
         result = result.when(tabular & hit, kind)
@@ -112,26 +112,21 @@ def with_kind(df: DataFrame, path: str = "path", text: str | None = "text") -> D
 
 def first_record(text: str | Column) -> Column:
     """First record of a JSON document as text, without exploding it."""
-    from .files import FILE_ROW_KEYS
-
-    body = F.btrim(col(text), F.lit(" \t\r\n"))
-    lists = [F.from_json(F.get_json_object(body, f"$.{k}"), "array<string>") for k in FILE_ROW_KEYS]
-    rows = F.when(F.startswith(body, F.lit("[")), F.from_json(body, "array<string>")).otherwise(
-        F.coalesce(*lists, F.array(body))
-    )
-    return F.get(rows, F.lit(0))
+    return F.get(json_records(F.btrim(col(text), F.lit(" \t\r\n"))), F.lit(0))
 
 
 def scan_inbox(spark: SparkSession, root: str, read_content: bool = True) -> DataFrame:
     """Recursive listing of a folder with the detected kind of every file.
 
-    Files that match no rule are dropped. Content is read only to look at the
-    keys of JSON files whose names decide nothing.
+    Files that match no rule are dropped. All files are listed without their
+    content; only JSON files are opened, to look at the keys of those whose
+    names decide nothing.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    if read_content:
-        named = files.select("path", "length", F.col("content").cast("string").alias("text"))
-        listed = with_kind(named).drop("text")
-    else:
-        listed = with_kind(files.select("path", "length"), text=None)
-    return listed.filter(F.col("kind") != "")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    listed = with_kind(reader.load(root).select("path", "length"), text=None).filter(F.col("kind") != "")
+    if not read_content:
+        return listed
+    opened = reader.option("pathGlobFilter", "*.[jJ][sS][oO][nN]").load(root)
+    texts = opened.select("path", "length", F.col("content").cast("string").alias("text"))
+    by_keys = with_kind(texts.filter(kind_by_name("path").isNull())).drop("text").filter(F.col("kind") != "")
+    return listed.unionByName(by_keys)

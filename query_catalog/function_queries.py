@@ -80,11 +80,8 @@ def sanitize_sql(column: str) -> str:
     f"SELECT doc_id, substring({sanitize_sql('text')}, 1, 180) AS message, length({sanitize_sql('text')}) AS sanitized_length FROM documents",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
-        "doc_id",
-        text.sanitize_message("text").alias("message"),
-        F.length(text.sanitize_message("text", 2_000_000_000)).alias("sanitized_length"),
-    )
+    clean = table(spark, sf, "documents").select("doc_id", text.sanitize_message("text", 2_000_000_000).alias("clean"))
+    return clean.select("doc_id", F.substring("clean", 1, 180).alias("message"), F.length("clean").alias("sanitized_length"))
 
 
 @query(

@@ -37,7 +37,6 @@ def some(dataset: str, check: str, op: str) -> str:
 
 
 def fresh(dataset: str, check: str, c: str) -> str:
-    age = f"date_diff('second', max({c}), TIMESTAMP '{AS_OF}') / 60.0"
     age = f"floor(date_diff('microsecond', max({c}), TIMESTAMP '{AS_OF}') / 1000000) / 60.0"
     return (
         f"SELECT '{check}', '{dataset}', 'warning', CAST({age} AS DOUBLE), {age} <= 360 FROM {SUITE_TABLES[dataset]}"
