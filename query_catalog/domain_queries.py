@@ -774,6 +774,36 @@ def _(spark, sf):
     return result
 
 
+@query(
+    "d18_place_and_signal_envelopes",
+    f"""WITH s AS (SELECT 'context_signals:' || signal_id AS key, 'context_signals' AS source_name,
+        strftime(occurred_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, '' AS metrics, '' AS tags,
+        json_object('signal_id', signal_id, 'domain', domain, 'source', source, 'title', title, 'direction', direction,
+            'urgency', urgency, 'confidence', confidence, 'summary', summary,
+            'occurred_at', strftime(occurred_at, '%Y-%m-%dT%H:%M:%S.%fZ'),
+            'ingested_at', strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%fZ'))::VARCHAR AS payload FROM v_signals),
+    p AS (SELECT 'place_spots:' || spot_id || ':' || source AS key, 'place_spots' AS source_name,
+        strftime(TIMESTAMP '{AS_OF}', '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time,
+        'latitude=' || CAST(latitude AS VARCHAR) || ',longitude=' || CAST(longitude AS VARCHAR) AS metrics, 'places' AS tags,
+        json_object('spot_id', spot_id, 'label', label, 'latitude', latitude, 'longitude', longitude, 'tags', [tag], 'source', source,
+            'observed_at', strftime(TIMESTAMP '{AS_OF}', '%Y-%m-%dT%H:%M:%S.%fZ'))::VARCHAR AS payload FROM v_spots)
+    SELECT key AS idempotency_key, substring(sha256(key), 1, 32) AS event_id, source_name, event_time, metrics, tags, payload
+    FROM (SELECT * FROM s UNION ALL SELECT * FROM p)""",
+    ("v_signals", "v_spots"),
+)
+def _(spark, sf):
+    """Whole rows of two envelopes: id, key, time, metrics, tags and payload."""
+    spots = view(spark, sf, "v_spots").withColumns({"tags": F.array("tag"), "observed_at": F.lit(AS_OF).cast("timestamp")})
+    both = envelope.envelope(view(spark, sf, "v_signals"), envelope.SIGNAL, AS_OF).unionByName(
+        envelope.envelope(spots, envelope.PLACE, AS_OF)
+    )
+    pairs = F.transform(F.array_sort(F.map_entries("metrics")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return both.select(
+        "idempotency_key", "event_id", "source_name", "event_time", F.array_join(pairs, ",").alias("metrics"),
+        F.array_join("tags", ",").alias("tags"), "payload",
+    )
+
+
 # ---------- messages ----------
 @query(
     "d19_diary_messages",

@@ -266,6 +266,19 @@ def _(spark, sf):
     return sinks.file_stats(spark, path)
 
 
+@query(
+    "k16_file_stats_order",
+    "SELECT 6 AS files, true AS ordered, true AS spread FROM (SELECT count(*) FROM events)",
+)
+def _(spark, sf):
+    """Six written files: least size, mean and most in order."""
+    path = work_dir(spark, "k16-order")
+    table(spark, sf, "events").repartition(6).write.parquet(path)
+    stats = sinks.file_stats(spark, path)
+    ordered = (F.col("min_bytes") > 0) & (F.col("min_bytes") <= F.col("mean_bytes")) & (F.col("mean_bytes") <= F.col("max_bytes"))
+    return stats.select("files", ordered.alias("ordered"), (F.col("stddev_bytes") >= 0).alias("spread"))
+
+
 @query(
     "k17_monthly_partitions",
     """SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month, count(*) AS n,

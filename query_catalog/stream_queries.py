@@ -93,6 +93,24 @@ def _(spark, sf):
     return spark.read.parquet(sink).select("minute", "orders", F.col("gross_sales").cast("double").alias("gross_sales"))
 
 
+@query(
+    "r06_live_minute_customers",
+    """SELECT date_trunc('minute', ts) AS minute, true AS within_five_percent
+    FROM events WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE GROUP BY 1""",
+)
+def _(spark, sf):
+    """The approximate customers of every closed minute next to the exact ones."""
+    sales = table(spark, sf, "events").select(
+        F.col("ts").cast("timestamp").alias("event_time"), "user_id", F.col("value").cast("decimal(12,2)").alias("amount")
+    )
+    stream = bus_source.read_file_stream(spark, stored(sales, "r06c-sales"), sales.schema)
+    sink = work_dir(spark, "r06c")
+    jobs.write_bounded(jobs.live_minutes(stream, "event_time", "amount", "user_id"), sink, work_dir(spark, "r06c-checkpoint"))
+    exact = sales.groupBy(F.date_trunc("minute", "event_time").alias("minute")).agg(F.countDistinct("user_id").alias("exact"))
+    close = F.abs(F.col("active_customers") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return spark.read.parquet(sink).join(exact, "minute").select("minute", close.alias("within_five_percent"))
+
+
 @query("r07_stop_all", "SELECT 1 AS stopped, count(*) AS events FROM events")
 def _(spark, sf):
     """Stop whatever runs in a session of its own; the stopped stream had taken in everything."""
