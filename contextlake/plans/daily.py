@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import AsOf
 from ..operators.profile import daily_profile
-from ..operators.rollups import decision_metrics, feedback_profile, week_summary, weekly_counts
+from ..operators.rollups import counts_of_week, decision_metrics, feedback_profile, week_summary
 from ..operators.rules import WEEKLY_GOALS, readiness_scores, recommend
 from ..operators.sleep import sleep_summary
 
@@ -47,10 +47,11 @@ def daily_recommendations(
     goals: Mapping[str, int] = WEEKLY_GOALS,
     user_col: str = "user_id",
 ) -> DataFrame:
+    week = week_summary(inputs.activity, user_col, as_of)
     return recommend(
         user_scores(inputs, user_col),
-        week_summary(inputs.activity, user_col, as_of),
-        weekly_counts(inputs.activity, user_col, as_of),
+        week,
+        counts_of_week(week, user_col),
         feedback_profile(inputs.feedback, 30, as_of, user_col=user_col),
         sleep_summary(inputs.sleep, user_col),
         user_col=user_col,
@@ -65,13 +66,14 @@ def daily_profiles(
     user_col: str = "user_id",
     timezone: str = "UTC",
 ) -> DataFrame:
+    week = week_summary(inputs.activity, user_col, as_of)
     return daily_profile(
         inputs.user_locations.select(user_col),
         daily_recommendations(inputs, as_of, goals, user_col),
-        week_summary(inputs.activity, user_col, as_of),
+        week,
         decision_metrics(inputs.feedback, 7, as_of, user_col),
         inputs.signals,
-        weekly_counts(inputs.activity, user_col, as_of),
+        counts_of_week(week, user_col),
         sleep_summary(inputs.sleep, user_col),
         user_col=user_col,
         goals=goals,

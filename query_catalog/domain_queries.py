@@ -137,10 +137,11 @@ def inputs(spark, sf):
     """Side inputs of the personal rules, one row per key each."""
     activity, feedback = view(spark, sf, "v_activity"), view(spark, sf, "v_feedback")
     nights, _rejected = sleep.normalize_sleep(sleep_rows(spark, sf), keep=("user_id",))
+    week = rollups.week_summary(activity, "user_id", AS_OF)
     return {
         "scores": view(spark, sf, "v_scores"),
-        "week": rollups.week_summary(activity, "user_id", AS_OF),
-        "counts": rollups.weekly_counts(activity, "user_id", AS_OF),
+        "week": week,
+        "counts": rollups.counts_of_week(week, "user_id"),
         "feedback": rollups.feedback_profile(feedback, 30, AS_OF, user_col="user_id"),
         "recovery": sleep.sleep_summary(nights),
         "metrics": rollups.decision_metrics(feedback, 7, AS_OF, "user_id"),
