@@ -31,112 +31,193 @@ class SummarySpec:
 
 
 # ---- fixed values: the export kinds ----
-_T1, _T2, _T3, _T4 = (
-    "tier_1_foundation", "tier_2_personal_context", "tier_3_sensitive_life", "tier_4_private_core",
-)
-_POINTER = {"raw_policy": "no_shared_bronze_raw", "local_policy": "explicit_opt_in_pointer_only"}
 SUMMARY_SPECS = {
     "training_sessions": SummarySpec(
-        "training_session_summary", ("occurred_at", "started_at", "date"),
-        ("duration_minutes", "load_score", "intensity", "fatigue_score"),
-        ("activity_type", "result", "venue_bucket"),
-        "private_behavior_summary", _T2, "derived_training_session",
+        event_type="training_session_summary",
+        time_fields=("occurred_at", "started_at", "date"),
+        metrics=("duration_minutes", "load_score", "intensity", "fatigue_score"),
+        labels=("activity_type", "result", "venue_bucket"),
+        privacy_class="private_behavior_summary",
+        source_tier="tier_2_personal_context",
+        source_type="derived_training_session",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "habit_goals": SummarySpec(
-        "habit_goal_progress", ("updated_at", "date"),
-        ("target_count", "done_count", "streak_days"),
-        ("goal_bucket", "status", "skipped_reason_bucket"),
-        "private_behavior_summary", _T2, "local_config_and_manual_events",
+        event_type="habit_goal_progress",
+        time_fields=("updated_at", "date"),
+        metrics=("target_count", "done_count", "streak_days"),
+        labels=("goal_bucket", "status", "skipped_reason_bucket"),
+        privacy_class="private_behavior_summary",
+        source_tier="tier_2_personal_context",
+        source_type="local_config_and_manual_events",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "market_watchlist_snapshot": SummarySpec(
-        "market_watchlist_snapshot", ("observed_at", "date"),
-        ("volatility_score", "relative_volume", "change_pct"),
-        ("symbol_bucket", "volatility_bucket", "direction", "attention_state"),
-        "public_context", _T1, "market_data_api", raw_policy="public_fixture_ok",
+        event_type="market_watchlist_snapshot",
+        time_fields=("observed_at", "date"),
+        metrics=("volatility_score", "relative_volume", "change_pct"),
+        labels=("symbol_bucket", "volatility_bucket", "direction", "attention_state"),
+        privacy_class="public_context",
+        source_tier="tier_1_foundation",
+        source_type="market_data_api",
+        raw_policy="public_fixture_ok",
+        local_policy="summarized_landing_only",
     ),
     "github_project_activity": SummarySpec(
-        "github_project_activity", ("observed_at", "date"),
-        ("activity_count", "commit_count", "issue_count", "pr_count"),
-        ("repo_bucket", "focus_bucket", "maintenance_state"),
-        "public_context", _T1, "public_api",
+        event_type="github_project_activity",
+        time_fields=("observed_at", "date"),
+        metrics=("activity_count", "commit_count", "issue_count", "pr_count"),
+        labels=("repo_bucket", "focus_bucket", "maintenance_state"),
+        privacy_class="public_context",
+        source_tier="tier_1_foundation",
+        source_type="public_api",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "learning_activity": SummarySpec(
-        "learning_activity", ("occurred_at", "date"),
-        ("duration_minutes", "progress_pct", "artifact_count"),
-        ("topic_bucket", "progress_state", "next_action_bucket"),
-        "private_behavior_summary", _T2, "local_notes_or_project_summary",
+        event_type="learning_activity",
+        time_fields=("occurred_at", "date"),
+        metrics=("duration_minutes", "progress_pct", "artifact_count"),
+        labels=("topic_bucket", "progress_state", "next_action_bucket"),
+        privacy_class="private_behavior_summary",
+        source_tier="tier_2_personal_context",
+        source_type="local_notes_or_project_summary",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "finance_event_calendar": SummarySpec(
-        "finance_event_calendar_item", ("event_date", "date"),
-        ("urgency", "days_until"),
-        ("event_bucket", "impact_bucket", "watchlist_bucket"),
-        "private_finance_summary", _T2, "local_calendar_or_public_finance_events",
+        event_type="finance_event_calendar_item",
+        time_fields=("event_date", "date"),
+        metrics=("urgency", "days_until"),
+        labels=("event_bucket", "impact_bucket", "watchlist_bucket"),
+        privacy_class="private_finance_summary",
+        source_tier="tier_2_personal_context",
+        source_type="local_calendar_or_public_finance_events",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "health_summary": SummarySpec(
-        "health_metric_summary", ("metric_date", "date"),
-        ("metric_value", "resting_hr", "hrv_ms", "steps", "active_minutes"),
-        ("metric_name", "unit", "device_bucket"),
-        "private_health_summary", _T3, "wearable_or_health_export",
+        event_type="health_metric_summary",
+        time_fields=("metric_date", "date"),
+        metrics=("metric_value", "resting_hr", "hrv_ms", "steps", "active_minutes"),
+        labels=("metric_name", "unit", "device_bucket"),
+        privacy_class="private_health_summary",
+        source_tier="tier_3_sensitive_life",
+        source_type="wearable_or_health_export",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "location_area_summary": SummarySpec(
-        "location_area_summary", ("occurred_at", "date"),
-        ("dwell_minutes", "distance_km"),
-        ("area_bucket", "movement_mode", "city_bucket", "precision_bucket"),
-        "private_location_summary", _T3, "local_location_history",
+        event_type="location_area_summary",
+        time_fields=("occurred_at", "date"),
+        metrics=("dwell_minutes", "distance_km"),
+        labels=("area_bucket", "movement_mode", "city_bucket", "precision_bucket"),
+        privacy_class="private_location_summary",
+        source_tier="tier_3_sensitive_life",
+        source_type="local_location_history",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "finance_transactions": SummarySpec(
-        "finance_transaction_summary", ("occurred_at", "booked_at", "date"),
-        ("transaction_count",),
-        ("category_bucket", "amount_bucket", "currency", "account_bucket", "direction"),
-        "private_finance_summary", _T3, "local_bank_or_budget_export",
+        event_type="finance_transaction_summary",
+        time_fields=("occurred_at", "booked_at", "date"),
+        metrics=("transaction_count",),
+        labels=("category_bucket", "amount_bucket", "currency", "account_bucket", "direction"),
+        privacy_class="private_finance_summary",
+        source_tier="tier_3_sensitive_life",
+        source_type="local_bank_or_budget_export",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "data_source_runs": SummarySpec(
-        "data_source_run", ("observed_at", "started_at", "date"),
-        ("freshness_minutes", "row_count", "error_count", "duration_seconds"),
-        ("source_name", "status", "quality_state"),
-        "derived_context", _T1, "pipeline_observability",
+        event_type="data_source_run",
+        time_fields=("observed_at", "started_at", "date"),
+        metrics=("freshness_minutes", "row_count", "error_count", "duration_seconds"),
+        labels=("source_name", "status", "quality_state"),
+        privacy_class="derived_context",
+        source_tier="tier_1_foundation",
+        source_type="pipeline_observability",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "browser_and_app_usage": SummarySpec(
-        "digital_activity_summary", ("activity_date", "date"),
-        ("duration_minutes", "session_count"),
-        ("category", "device_bucket", "focus_state"),
-        "private_behavior_summary", _T2, "local_browser_or_screen_time_export",
+        event_type="digital_activity_summary",
+        time_fields=("activity_date", "date"),
+        metrics=("duration_minutes", "session_count"),
+        labels=("category", "device_bucket", "focus_state"),
+        privacy_class="private_behavior_summary",
+        source_tier="tier_2_personal_context",
+        source_type="local_browser_or_screen_time_export",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "tasks_and_projects": SummarySpec(
-        "task_project_summary", ("updated_at", "date"),
-        ("task_count", "done_count", "effort_points"),
-        ("project_bucket", "status", "priority_bucket", "effort_bucket"),
-        "private_behavior_summary", _T2, "local_task_export",
+        event_type="task_project_summary",
+        time_fields=("updated_at", "date"),
+        metrics=("task_count", "done_count", "effort_points"),
+        labels=("project_bucket", "status", "priority_bucket", "effort_bucket"),
+        privacy_class="private_behavior_summary",
+        source_tier="tier_2_personal_context",
+        source_type="local_task_export",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "communications_metadata": SummarySpec(
-        "communications_metadata_summary", ("occurred_at", "date"),
-        ("interaction_count", "duration_minutes"),
-        ("channel", "direction", "contact_bucket", "response_bucket"),
-        "private_communications_summary", _T3, "local_mail_message_or_call_export",
+        event_type="communications_metadata_summary",
+        time_fields=("occurred_at", "date"),
+        metrics=("interaction_count", "duration_minutes"),
+        labels=("channel", "direction", "contact_bucket", "response_bucket"),
+        privacy_class="private_communications_summary",
+        source_tier="tier_3_sensitive_life",
+        source_type="local_mail_message_or_call_export",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "location_visits": SummarySpec(
-        "location_visit_summary", ("occurred_at", "date"),
-        ("dwell_minutes", "distance_km"),
-        ("place_bucket", "movement_mode", "precision_bucket", "city_bucket"),
-        "private_location_summary", _T3, "local_location_history",
+        event_type="location_visit_summary",
+        time_fields=("occurred_at", "date"),
+        metrics=("dwell_minutes", "distance_km"),
+        labels=("place_bucket", "movement_mode", "precision_bucket", "city_bucket"),
+        privacy_class="private_location_summary",
+        source_tier="tier_3_sensitive_life",
+        source_type="local_location_history",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "health_metrics": SummarySpec(
-        "health_metric_summary", ("metric_date", "date"),
-        ("metric_value",),
-        ("metric_name", "unit", "source_device_class"),
-        "private_health_summary", _T3, "wearable_or_health_export",
+        event_type="health_metric_summary",
+        time_fields=("metric_date", "date"),
+        metrics=("metric_value",),
+        labels=("metric_name", "unit", "source_device_class"),
+        privacy_class="private_health_summary",
+        source_tier="tier_3_sensitive_life",
+        source_type="wearable_or_health_export",
+        raw_policy="local_raw_only",
+        local_policy="summarized_landing_only",
     ),
     "identity_documents": SummarySpec(
-        "identity_document_pointer", ("indexed_at", "date"),
-        ("days_until_expiry",),
-        ("document_bucket", "status", "expiry_month", "reminder_bucket", "pointer_bucket"),
-        "private_identity_document", _T4, "local_document_index", **_POINTER,
+        event_type="identity_document_pointer",
+        time_fields=("indexed_at", "date"),
+        metrics=("days_until_expiry",),
+        labels=("document_bucket", "status", "expiry_month", "reminder_bucket", "pointer_bucket"),
+        privacy_class="private_identity_document",
+        source_tier="tier_4_private_core",
+        source_type="local_document_index",
+        raw_policy="no_shared_bronze_raw",
+        local_policy="explicit_opt_in_pointer_only",
     ),
     "secrets_inventory": SummarySpec(
-        "credential_rotation_pointer", ("indexed_at", "date"),
-        ("age_days",),
-        ("credential_bucket", "rotation_due_month", "age_bucket", "vault_bucket", "status"),
-        "secret_credential", _T4, "local_secret_manager_index", **_POINTER,
+        event_type="credential_rotation_pointer",
+        time_fields=("indexed_at", "date"),
+        metrics=("age_days",),
+        labels=("credential_bucket", "rotation_due_month", "age_bucket", "vault_bucket", "status"),
+        privacy_class="secret_credential",
+        source_tier="tier_4_private_core",
+        source_type="local_secret_manager_index",
+        raw_policy="no_shared_bronze_raw",
+        local_policy="explicit_opt_in_pointer_only",
     ),
 }
 

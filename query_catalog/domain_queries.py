@@ -541,6 +541,38 @@ def _(spark, sf):
     return result
 
 
+KIND_SIZES = ", ".join(f"('{kind}', {len(spec.labels)}, {len(spec.metrics)})" for kind, spec in imports.SUMMARY_SPECS.items())
+
+
+@query(
+    "d10_summary_imports_all_fields",
+    f"""SELECT kind AS source_name, event_id AS row_number, CAST(n_labels AS BIGINT) AS n_labels, event_type AS labels,
+    CAST(n_metrics AS BIGINT) AS n_metrics, round(value, 6) AS metrics FROM events, (VALUES {KIND_SIZES}) k(kind, n_labels, n_metrics)
+    WHERE event_id % 7 <> 0""",
+)
+def _(spark, sf):
+    """Every label and every metric of the accepted rows; all fields of a record hold one value."""
+    result = None
+    for kind, spec in imports.SUMMARY_SPECS.items():
+        e = F.col("event_id")
+        fields = [F.when(e % 7 != 0, F.col("ts").cast("string")).alias(spec.time_fields[-1])]
+        fields += [F.concat(F.lit(" "), F.upper("event_type"), F.lit("! ")).alias(name) for name in spec.labels]
+        fields += [F.col("value").alias(name) for name in spec.metrics]
+        rows = table(spark, sf, "events").select(
+            F.to_json(F.struct(*fields)).alias("row_json"), F.lit(f"inbox/{kind}.json").alias("path"), e.alias("row_number")
+        )
+        part = imports.summarize_source(rows, kind).filter(F.col("reject_reason").isNull()).select(
+            "source_name",
+            "row_number",
+            F.size("labels").alias("n_labels"),
+            F.array_join(F.array_distinct(F.transform(F.map_values("labels"), lambda v: F.trim(v))), ",").alias("labels"),
+            F.size("metrics").alias("n_metrics"),
+            F.when(F.size(F.array_distinct(F.map_values("metrics"))) == 1, F.map_values("metrics")[0]).alias("metrics"),
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 @query(
     "d11_learning_and_trades",
     """SELECT event_id, event_type AS topic, substring(sha256('course ' || user_id), 1, 16) AS course_hash, CAST(floor(value) AS BIGINT) AS practice_minutes, event_id % 2 = 0 AS completed,

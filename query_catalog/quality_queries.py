@@ -146,6 +146,27 @@ def _(spark, sf):
     UNION ALL SELECT 'missing producer' FROM customer WHERE c_custkey % 19 = 0) GROUP BY rule""",
 )
 def _(spark, sf):
+    """A registry with one source per customer and planted defects."""
+    return broken_registry(spark, sf).groupBy("rule").agg(rollups.rows("sources"))
+
+
+@query(
+    "q06_registry_rules_by_source",
+    """SELECT 'src_' || c_custkey AS source_name, rule FROM (
+    SELECT c_custkey, 'unknown privacy_class' AS rule FROM customer WHERE c_custkey % 5 = 0
+    UNION ALL SELECT c_custkey, 'pii without commit_policy' FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 <> 0
+    UNION ALL SELECT c_custkey, 'landing_path must include source name' FROM customer WHERE c_custkey % 7 = 0
+    UNION ALL SELECT c_custkey, 'silver_table outside silver' FROM customer WHERE c_custkey % 11 = 0
+    UNION ALL SELECT c_custkey, 'event_time_field must be required' FROM customer WHERE c_custkey % 13 = 0
+    UNION ALL SELECT c_custkey, 'idempotency_key must be listed' FROM customer WHERE c_custkey % 17 = 0
+    UNION ALL SELECT c_custkey, 'missing producer' FROM customer WHERE c_custkey % 19 = 0)""",
+)
+def _(spark, sf):
+    """Which source breaks which rule."""
+    return broken_registry(spark, sf).select("source_name", "rule")
+
+
+def broken_registry(spark, sf):
     """A registry with one source per customer and planted defects."""
     key = F.col("c_custkey")
     name = F.concat(F.lit("src_"), key)
@@ -166,11 +187,10 @@ def _(spark, sf):
         F.when(key % 13 == 0, "seen_at").otherwise("occurred_at").alias("event_time_field"),
         F.when(key % 17 != 0, fields).alias("idempotency_key"),
     )
-    broken = quality.check_registry(
+    return quality.check_registry(
         registry, ["public_context", "derived_context"], ["local_raw_only", "summarized_landing_only"], ["producer"],
         "lake.bronze.", "lake.silver.",
     )
-    return broken.groupBy("rule").agg(rollups.rows("sources"))
 
 
 @query(
@@ -190,6 +210,24 @@ def _(spark, sf):
     return quality.validate_landing_lines(lines, registry, ["event_key"]).groupBy("rule").agg(rollups.rows("lines"))
 
 
+@query(
+    "q07_landing_rules_by_line",
+    """SELECT event_key, rule FROM (
+    SELECT event_id AS event_key, 'line is not valid JSON' AS rule FROM v_signals WHERE event_id % 10 = 1
+    UNION ALL SELECT event_id, 'unregistered source' FROM v_signals WHERE event_id % 10 = 2
+    UNION ALL SELECT event_id, 'source_name does not match path' FROM v_signals WHERE event_id % 10 = 2
+    UNION ALL SELECT event_id, 'payload contains a forbidden key' FROM v_signals WHERE event_id % 10 = 3
+    UNION ALL SELECT event_id, 'unexpected lake_version' FROM v_signals WHERE event_id % 10 = 4
+    UNION ALL SELECT event_id, 'payload must be a non-empty object' FROM v_signals WHERE event_id % 10 = 5
+    UNION ALL SELECT event_id, 'missing tags' FROM v_signals WHERE event_id % 10 = 6)""",
+    ("v_signals",),
+)
+def _(spark, sf):
+    """Which line breaks which rule."""
+    lines, registry = damaged_landing(spark, sf)
+    return quality.validate_landing_lines(lines, registry, ["event_key"]).select("event_key", "rule")
+
+
 def damaged_landing(spark, sf):
     """Landing lines with one planted defect in six of ten."""
     from contextlake.operators.envelope import SIGNAL, envelope
