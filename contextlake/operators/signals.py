@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import bounded_int, percent_change
+from ..functions.numbers import bounded_int, optional_float, percent_change
 from ..functions.text import first_filled, slug
 from ..functions.times import AsOf, recent
 from ..schemas import SIGNAL_DIRECTIONS, SIGNAL_DOMAINS
@@ -18,6 +18,79 @@ SIGNAL_COLUMNS = (
 )
 
 
+_BAR = ", ".join(f"{name} string" for name in ("symbol", "open", "o", "high", "h", "low", "l", "close", "c", "timestamp", "t"))
+_REPOSITORY = (
+    "full_name string, name string, pushed_at string, updated_at string, open_issues_count string, open_issues string,"
+    " stargazers_count string, stars string, archived boolean"
+)
+_SIGNAL = ", ".join(
+    f"{name} string"
+    for name in ("signal_id", "domain", "source", "title", "direction", "urgency", "confidence", "summary", "occurred_at")
+)
+
+
+def _number(record: Column, *names: str) -> Column:
+    """First of the fields that holds a number other than zero."""
+    return F.coalesce(*[F.nullif(optional_float(record[n]), F.lit(0.0)) for n in names])
+
+
+def market_rows(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Price bars of market payloads, the input of :func:`market_signals`.
+
+    ``symbols`` is a list of bars or an object of bars by symbol; fields have
+    long or one-letter names. Adds ``provider``. Payloads without bars give no rows.
+    """
+    head = df.withColumn("_p", F.from_json(payload, "provider string, symbols string"))
+    text = F.ltrim("_p.symbols")
+    listed = F.transform(
+        F.from_json(text, f"array<struct<{_as_fields(_BAR)}>>"),
+        lambda b: F.struct(F.coalesce(b["symbol"], F.lit("UNKNOWN")).alias("key"), b.alias("value")),
+    )
+    named = F.map_entries(F.from_json(text, f"map<string,struct<{_as_fields(_BAR)}>>"))
+    bars = F.when(F.startswith(text, F.lit("[")), listed).otherwise(
+        F.transform(named, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    )
+    each = head.select(*keep, F.coalesce("_p.provider", F.lit("fixture")).alias("provider"), F.explode(bars).alias("_b"))
+    bar = F.col("_b.value")
+    return each.select(
+        *keep,
+        "provider",
+        F.col("_b.key").alias("symbol"),
+        _number(bar, "open", "o").alias("open"),
+        _number(bar, "high", "h").alias("high"),
+        _number(bar, "low", "l").alias("low"),
+        _number(bar, "close", "c").alias("close"),
+        first_filled(bar["timestamp"], bar["t"]).alias("bar_time"),
+    )
+
+
+def repository_rows(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Repository rows of payloads with a ``repositories`` list, the input of :func:`repo_signals`."""
+    schema = f"repositories array<struct<{_as_fields(_REPOSITORY)}>>"
+    each = df.select(*keep, F.explode(F.from_json(payload, schema)["repositories"]).alias("_r"))
+    r = F.col("_r")
+    return each.select(
+        *keep,
+        first_filled(r["full_name"], r["name"]).alias("full_name"),
+        r["pushed_at"].alias("pushed_at"),
+        r["updated_at"].alias("updated_at"),
+        _number(r, "open_issues_count", "open_issues").cast("int").alias("open_issues_count"),
+        _number(r, "stargazers_count", "stars").cast("int").alias("stargazers_count"),
+        r["archived"].alias("archived"),
+    )
+
+
+def signal_rows(df: DataFrame, payload: str = "payload", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Items of payloads with a ``signals`` list and their ``row_number`` from 1, for :func:`normalize_signals`."""
+    schema = f"signals array<struct<{_as_fields(_SIGNAL)}>>"
+    each = df.select(*keep, F.posexplode(F.from_json(payload, schema)["signals"]).alias("_i", "_s"))
+    return each.select(*keep, (F.col("_i") + 1).alias("row_number"), "_s.*")
+
+
+def _as_fields(ddl: str) -> str:
+    return ",".join(":".join(part.split()) for part in ddl.split(","))
+
+
 def normalize_signals(
     df: DataFrame, row_number: str, ingested_at: str = "ingested_at", keep: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:

@@ -24,7 +24,7 @@ from contextlake.plans import daily
 from contextlake.session import config_frame
 
 from .adapters import ACTIVITY, AS_OF, table, view
-from .registry import half_up, query
+from .registry import ORACLES, half_up, query
 from .rollup_queries import sleep_rows
 from .source_queries import managed_sources
 
@@ -508,6 +508,63 @@ def _(spark, sf):
     return signals.market_signals(bars).select("signal_id", "direction", "urgency")
 
 
+@query("d09_market_payloads", ORACLES["d09_market_signals"])
+def _(spark, sf):
+    """The same bars from payloads: a list with long names, and an object by symbol with one-letter names."""
+    key = F.col("p_partkey")
+    opened = (key % 17).cast("double") + 10
+    closed = (key % 17).cast("double") + 10 + (key % 7 - 3).cast("double") / 10
+    values = {"open": opened, "high": closed + 0.1, "low": opened - 0.1, "close": closed}
+    at, symbol = F.lit("2024-01-05T16:00:00Z"), F.concat(F.lit("p"), key)
+    long_names = F.struct(symbol.alias("symbol"), at.alias("timestamp"), *[v.alias(k) for k, v in values.items()])
+    short_names = F.struct(at.alias("t"), F.lit(0).alias("open"), *[v.alias(k[0]) for k, v in values.items()])
+    listed = F.to_json(F.struct(F.lit("x").alias("provider"), F.array(long_names).alias("symbols")))
+    named = F.to_json(F.struct(F.create_map(symbol, short_names).alias("symbols")))
+    payloads = table(spark, sf, "part").select(F.when(key % 2 == 0, listed).otherwise(named).alias("payload"))
+    bars = signals.market_rows(payloads).withColumn("ingested_at", F.lit("2024-01-31T00:00:00Z"))
+    return signals.market_signals(bars).select("signal_id", "direction", "urgency")
+
+
+@query("d09_repository_payloads", ORACLES["d09_repository_signals"])
+def _(spark, sf):
+    """The same repositories from payloads, half of them with the short field names."""
+    key = F.col("s_suppkey")
+    name = F.concat(F.lit("N"), "s_nationkey", F.lit("/Supplier-"), key)
+    shared = [(key % 9 == 0).alias("archived")]
+    long_names = F.struct(
+        name.alias("full_name"), F.lit("2024-01-05T10:00:00Z").alias("pushed_at"), (key % 40).alias("open_issues_count"),
+        (key % 3).alias("stargazers_count"), *shared,
+    )
+    short_names = F.struct(
+        name.alias("name"), F.lit("2024-01-05T10:00:00Z").alias("updated_at"), (key % 40).alias("open_issues"),
+        (key % 3).alias("stars"), *shared,
+    )
+    wrapped = lambda r: F.to_json(F.struct(F.array(r).alias("repositories")))
+    payloads = table(spark, sf, "supplier").select(F.when(key % 2 == 0, wrapped(long_names)).otherwise(wrapped(short_names)).alias("payload"))
+    repos = signals.repository_rows(payloads).withColumn("ingested_at", F.lit("2024-01-31T00:00:00Z"))
+    return signals.repo_signals(repos).select("signal_id", "direction", "urgency", "title")
+
+
+@query(
+    "d09_signal_payloads",
+    """SELECT event_id, 'market' || '_' || event_type || '_1' AS signal_id, 1 + event_id % 10 AS urgency, 'neutral' AS direction FROM events
+    UNION ALL SELECT event_id, 'second_' || event_id, 1, 'positive' FROM events""",
+)
+def _(spark, sf):
+    """Two signals per payload: one without id, one without numbers."""
+    e = F.col("event_id")
+    none = F.lit(None).cast("string")
+    item = lambda sid, source, direction, urgency: F.struct(
+        sid.alias("signal_id"), F.lit("Market").alias("domain"), source.alias("source"), direction.alias("direction"), urgency.alias("urgency")
+    )
+    first = item(none, F.col("event_type"), none, (1 + e % 10).cast("string"))
+    second = item(F.concat(F.lit("second_"), e), none, F.lit("POSITIVE"), none)
+    payloads = table(spark, sf, "events").select("event_id", F.to_json(F.struct(F.array(first, second).alias("signals"))).alias("payload"))
+    rows = signals.signal_rows(payloads, keep=("event_id",)).withColumn("ingested_at", F.lit("2024-01-31T00:00:00Z"))
+    valid, _rejected = signals.normalize_signals(rows, "row_number", keep=("event_id",))
+    return valid.select("event_id", "signal_id", "urgency", "direction")
+
+
 # ---------- imports ----------
 @query(
     "d10_summary_imports",
