@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    NullType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from .json_tools import is_json_object
 from .text import col
@@ -61,7 +82,11 @@ def decode_avro_payload(
     """Avro records by registry id, decoded in the JVM.
 
     ``schemas`` maps registry id to Avro schema JSON; fetch it once on the
-    driver. Needs the spark-avro package on the classpath.
+    driver. Decimals become text and bytes hex, as in the JSON branch. An
+    undecodable record comes back from the permissive reader as a record of
+    nulls; where the schema has a field that may not be null, that is a decode
+    error and not an object. Needs the spark-avro package on the classpath, and
+    has not been run without it; the parts around ``from_avro`` are tested.
     """
     from pyspark.sql.avro.functions import from_avro
 
@@ -69,11 +94,71 @@ def decode_avro_payload(
     decoded = F.lit(None).cast("string")
     for key, avro_schema in schemas.items():
         record = from_avro(body(v), avro_schema, {"mode": "PERMISSIVE"})
-        decoded = F.when(schema_id(v) == key, F.to_json(record)).otherwise(decoded)
+        decoded = F.when(schema_id(v) == key, record_json(record, json.loads(avro_schema))).otherwise(decoded)
     good = F.when(is_wire_value(v), decoded)
     return good if on_error == "null" else F.coalesce(good, _error_json(v))
 
 
+def record_json(record: Column, schema: dict) -> Column:
+    """JSON text of a decoded record; null for a record that lacks a required field."""
+    dtype = avro_type(schema)
+    text = F.to_json(jsonable(record, dtype))
+    if not isinstance(dtype, StructType):
+        return text
+    required = [record[f.name].isNotNull() for f in dtype.fields if not f.nullable]
+    return F.when(reduce(and_, required), text) if required else text
+
+
+# ---- fixed values: Avro's plain types and the logical types that change them ----
+_AVRO_PLAIN = {
+    "null": NullType(), "boolean": BooleanType(), "int": IntegerType(), "long": LongType(), "float": FloatType(),
+    "double": DoubleType(), "bytes": BinaryType(), "string": StringType(), "enum": StringType(), "fixed": BinaryType(),
+}
+_AVRO_LOGICAL = {
+    "date": DateType(), "timestamp-millis": TimestampType(), "timestamp-micros": TimestampType(),
+    "local-timestamp-millis": TimestampNTZType(), "local-timestamp-micros": TimestampNTZType(),
+}
+
+
+def avro_type(schema: dict | list | str) -> DataType:
+    """Spark type of a decoded Avro schema; named types may be used again inside it."""
+    return _avro(schema, {})
+
+
+def _avro(schema: dict | list | str, named: dict[str, DataType]) -> DataType:
+    if isinstance(schema, str):
+        return named[schema] if schema in named else _AVRO_PLAIN[schema]
+    if isinstance(schema, list):
+        members = [_avro(s, named) for s in schema if s != "null"]
+        if len(members) == 1:
+            return members[0]
+        if all(isinstance(m, (IntegerType, LongType)) for m in members):
+            return LongType()
+        if all(isinstance(m, (FloatType, DoubleType)) for m in members):
+            return DoubleType()
+        return StructType([StructField(f"member{i}", m) for i, m in enumerate(members)])
+    kind = schema["type"]
+    if kind == "record":
+        fields = [
+            StructField(f["name"], _avro(f["type"], named), isinstance(f["type"], list) and "null" in f["type"])
+            for f in schema["fields"]
+        ]
+        dtype: DataType = StructType(fields)
+    elif kind == "array":
+        dtype = ArrayType(_avro(schema["items"], named))
+    elif kind == "map":
+        dtype = MapType(StringType(), _avro(schema["values"], named))
+    elif schema.get("logicalType") == "decimal":
+        dtype = DecimalType(schema["precision"], schema.get("scale", 0))
+    elif schema.get("logicalType") in _AVRO_LOGICAL:
+        dtype = _AVRO_LOGICAL[schema["logicalType"]]
+    else:
+        dtype = _avro(kind, named)
+    if "name" in schema:
+        named[schema["name"]] = dtype
+    return dtype
+
+
 def _error_json(v: Column) -> Column:
     short = F.length(v).isNull() | (F.length(v) < HEADER_BYTES)
     reason = (

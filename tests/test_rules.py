@@ -168,3 +168,32 @@ def test_readiness_state(spark, decision, score, fatigue, pain, rate, goals, rec
     d, s, f, p, r, g, rec = values
     state = profile.readiness_state(d.isNotNull(), d, s, f, p, r, g, rec)
     assert spark.range(1).select(state).first()[0] == expected
+
+
+# ---- Avro records, without the Avro package ----
+def test_avro_schema_gives_the_type_and_json_of_a_record(spark):
+    from contextlake.functions.wire import avro_type, record_json
+
+    schema = {
+        "type": "record", "name": "Order",
+        "fields": [
+            {"name": "id", "type": "long"},
+            {"name": "amount", "type": {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 2}},
+            {"name": "raw", "type": ["null", "bytes"]},
+            {"name": "at", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+            {"name": "tags", "type": {"type": "array", "items": {"type": "enum", "name": "Tag", "symbols": ["A"]}}},
+            {"name": "by", "type": {"type": "map", "values": ["null", "Tag"]}},
+        ],
+    }
+    dtype = avro_type(schema)
+    assert dtype.simpleString() == (
+        "struct<id:bigint,amount:decimal(12,2),raw:binary,at:timestamp,tags:array<string>,by:map<string,string>>"
+    )
+    df = spark.range(1).selectExpr(
+        "named_struct('id', id, 'amount', cast(1.5 as decimal(12,2)), 'raw', X'0aFF', 'at', timestamp'2024-01-01 00:00:00',"
+        " 'tags', array('A'), 'by', map('k', 'A')) AS r",
+        f"cast(named_struct('id', null, 'amount', null, 'raw', null, 'at', null, 'tags', null, 'by', null) AS {dtype.simpleString()}) AS nothing",
+    )
+    row = df.select(record_json(F.col("r"), schema).alias("a"), record_json(F.col("nothing"), schema).alias("b")).first()
+    assert row["a"] == '{"id":0,"amount":"1.50","raw":"0aff","at":"2024-01-01T00:00:00.000Z","tags":["A"],"by":{"k":"A"}}'
+    assert row["b"] is None
