@@ -18,50 +18,57 @@ from .common import map_texts
 _NONE = 1 << 60
 #: Words of more parts than this are merged through a heap, in n log n steps.
 SHORT_PARTS = 64
-#: Words and units remembered by a worker before it starts anew; bounds its memory.
-MOST_REMEMBERED = 300_000
+#: Words, and units of words, that a worker remembers at most; bounds its memory.
+MOST_REMEMBERED = 400_000
 #: Bytes of one text that are split into words at once.
 BLOCK_BYTES = 1 << 20
 
 _PLAIN_UNITS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
-def merge_short(ids: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+class Merges(dict):
+    """Rank of each pair of ids that merges; ``made`` has the id that a rank makes."""
+
+    def __init__(self, vocab: dict[str, int], pairs: list[list[str]]) -> None:
+        super().__init__(((vocab[a], vocab[b]), rank) for rank, (a, b) in enumerate(pairs))
+        self.made = [vocab[a + b] for a, b in pairs]
+
+
+def merge_short(ids: list[int], merges: Merges) -> list[int]:
     """Merge a short word: part ids and the ranks of neighbours side by side.
 
     The smallest rank is found by scanning, its right boundary is deleted, and
     only the two neighbouring ranks are looked up again.
     """
-    ranks = [merges.get(pair, (_NONE, 0))[0] for pair in zip(ids, ids[1:], strict=False)]
+    rank_of, made = merges.get, merges.made
+    ranks = [rank_of(pair, _NONE) for pair in zip(ids, ids[1:], strict=False)]
     while ranks:
         rank = min(ranks)
         if rank == _NONE:
             break
         at = ranks.index(rank)
-        ids[at : at + 2] = [merges[ids[at], ids[at + 1]][1]]
-        del ranks[at]
+        ids[at] = made[rank]
+        del ids[at + 1], ranks[at]
         if at:
-            ranks[at - 1] = merges.get((ids[at - 1], ids[at]), (_NONE, 0))[0]
+            ranks[at - 1] = rank_of((ids[at - 1], ids[at]), _NONE)
         if at < len(ranks):
-            ranks[at] = merges.get((ids[at], ids[at + 1]), (_NONE, 0))[0]
+            ranks[at] = rank_of((ids[at], ids[at + 1]), _NONE)
     return ids
 
 
-def merge_long(ids: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+def merge_long(ids: list[int], merges: Merges) -> list[int]:
     """The same merges in the same order for a word of any length."""
     n = len(ids)
     left, right = list(range(-1, n - 1)), [*range(1, n), -1]
     alive = [True] * n
-    heap = [
-        (merges[pair][0], at, pair) for at, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in merges
-    ]
+    heap = [(merges[pair], at, pair) for at, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in merges]
     heapq.heapify(heap)
     while heap:
-        _, at, pair = heapq.heappop(heap)
+        rank, at, pair = heapq.heappop(heap)
         after = right[at]
         if not alive[at] or after < 0 or (ids[at], ids[after]) != pair:
             continue
-        ids[at] = merges[pair][1]
+        ids[at] = merges.made[rank]
         alive[after] = False
         right[at] = right[after]
         if right[after] >= 0:
@@ -70,10 +77,35 @@ def merge_long(ids: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -
             second = right[first] if first >= 0 else -1
             if second >= 0 and (ids[first], ids[second]) in merges:
                 key = ids[first], ids[second]
-                heapq.heappush(heap, (merges[key][0], first, key))
+                heapq.heappush(heap, (merges[key], first, key))
     return [i for i, on in zip(ids, alive, strict=True) if on]
 
 
+class Memory(dict):
+    """A dict of two generations: when the young one is full, the old one goes.
+
+    What was used lately is looked up in the old generation and moves over, so
+    common words stay however many rare ones pass by.
+    """
+
+    def __init__(self, most: int = MOST_REMEMBERED) -> None:
+        super().__init__()
+        self.half, self.old = most // 2, {}
+
+    def __missing__(self, key):
+        """The remembered value, or None; called for keys the young generation lacks."""
+        value = self.old.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class WordBpe:
     """Encoder for a vocabulary file with word ends, lower case and dropped white space.
 
@@ -89,45 +121,48 @@ class WordBpe:
         self.suffix = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = model["vocab"]
         self.names = {i: name for name, i in self.vocab.items()}
-        self.merges = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[self.vocab[a], self.vocab[b]] = rank, self.vocab[a + b]
+        self.merges = Merges(self.vocab, model["merges"])
         self.special = {t["content"].encode(): t["id"] for t in described["added_tokens"]}
         self.names |= {i: name.decode() for name, i in self.special.items()}
         self._specials = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")")
         library = Tokenizer.from_file(path)
         self._normalize = library.normalizer.normalize_str
         self._split = library.pre_tokenizer.pre_tokenize_str
-        self._words: dict[bytes, tuple[int, str, str]] = {}
-        self._units: dict[str, list[int]] = {}
+        self._words, self._units = Memory(), Memory()
 
-    def unit_ids(self, unit: str) -> list[int]:
-        """Ids of one pre-token, written in the vocabulary's byte letters."""
-        known = self._units.get(unit)
+    def unit(self, unit: str) -> tuple[int, str, str]:
+        """Number of tokens, ids and token names (both blank-joined) of one pre-token,
+        written in the vocabulary's byte letters."""
+        known = self._units[unit]
         if known is None:
             parts = [*unit[:-1], unit[-1] + self.suffix]
             ids = [self.vocab[p] for p in parts if p in self.vocab]
-            known = (merge_short if len(ids) <= SHORT_PARTS else merge_long)(ids, self.merges)
-            if len(self._units) >= MOST_REMEMBERED:
-                self._units.clear()
-            self._units[unit] = known
+            ids = (merge_short if len(ids) <= SHORT_PARTS else merge_long)(ids, self.merges)
+            known = len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
+            if len(unit) <= 64:
+                self._units.keep(unit, known)
         return known
 
     def word(self, word: bytes) -> tuple[int, str, str]:
-        """Number of tokens, ids and token names (both blank-joined) of a word without white space."""
-        known = self._words.get(word)
+        """The same of a word without white space."""
+        known = self._words[word]
         if known is None:
-            # Printable ASCII letters stand for themselves in the vocabulary.
-            if word.isascii() and word.decode().isprintable():
-                units = [u.decode() for u in _PLAIN_UNITS.findall(word.lower())]
+            if word.isalpha():  # ASCII letters only
+                known = self.unit(word.lower().decode())
             else:
-                units = [u for u, _ in self._split(self._normalize(word.decode("utf-8")))]
-            ids = [i for u in units for i in self.unit_ids(u)]
-            known = len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
+                # Printable ASCII letters stand for themselves in the vocabulary.
+                if word.isascii() and word.decode().isprintable():
+                    units = [u.decode() for u in _PLAIN_UNITS.findall(word.lower())]
+                else:
+                    units = [u for u, _ in self._split(self._normalize(word.decode("utf-8")))]
+                found = [f for u in units if (f := self.unit(u))[0]]
+                known = (
+                    found[0]
+                    if len(found) == 1
+                    else (sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found]))
+                )
             if len(word) <= 64:
-                if len(self._words) >= MOST_REMEMBERED:
-                    self._words.clear()
-                self._words[word] = known
+                self._words.keep(word, known)
         return known
 
     def pieces(self, text: bytes) -> Iterator[list[tuple[int, str, str]]]:

@@ -8,7 +8,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe import MOST_REMEMBERED
+from .bpe import Memory
 from .common import map_texts
 
 #: Texts of more characters are encoded in overlapping chunks.
@@ -28,7 +28,7 @@ class Counter:
         self.library.no_padding()
         self.library.no_truncation()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self._known: dict[bytes, int] = {}
+        self._known = Memory()
 
     def ordinary(self, texts: list[bytes]) -> list[int]:
         """Counts of texts of moderate size.
@@ -38,14 +38,15 @@ class Counter:
         """
         known = self._known
         words = [t.split() for t in texts]
-        missing = list({w for each in words for w in each if w not in known})
+        counts = {w: known[w] for w in set().union(*words)}
+        missing = [w for w, n in counts.items() if n is None]
         if missing:
-            if len(known) + len(missing) > MOST_REMEMBERED:
-                known.clear()
-                missing = list({w for each in words for w in each})
             encoded = self.library.encode_batch_fast([w.decode("utf-8") for w in missing], add_special_tokens=False)
-            known.update(zip(missing, map(len, encoded), strict=True))
-        return [sum([known[w] for w in each]) for each in words]
+            for w, e in zip(missing, encoded, strict=True):
+                counts[w] = n = len(e)
+                if len(w) <= 64:
+                    known.keep(w, n)
+        return [sum([counts[w] for w in each]) for each in words]
 
     def _chunk(self, text: str, start: int, end: int):
         """Tokens of a piece as (id, start, end) in the whole text, and where words begin."""
