@@ -288,13 +288,21 @@ def summarize_source(
     return rows.withColumn("reject_reason", F.when(F.col("event_time").isNull(), missing))
 
 
+def _missing_time(*names: str) -> Column:
+    return F.when(_field(*names).isNull(), f"missing one of {', '.join(names)}").alias("reject_reason")
+
+
 def learning_sessions(df: DataFrame, row_json: str = "row_json", path: str = "path") -> DataFrame:
-    """Lesson logs: topic label, hashed course, minutes, scores, completion."""
+    """Lesson logs: topic label, hashed course, minutes, scores, completion.
+
+    Rows without any time carry a ``reject_reason``.
+    """
     names = ("occurred_at", "completed_at", "started_at", "date", "topic", "category", "skill", "course",
         "lesson", "title", "practice_minutes", "duration_minutes", "confidence_score", "confidence",
         "quiz_score", "score", "completed")
+    times = ("occurred_at", "completed_at", "started_at", "date")
     return _parsed(df, row_json, names).select(
-        _field("occurred_at", "completed_at", "started_at", "date").alias("occurred_at"),
+        _field(*times).alias("occurred_at"),
         clean_label(_field("topic", "category", "skill")).alias("topic"),
         stable_hash(_field("course", "lesson", "title")).alias("course_hash"),
         optional_int(_field("practice_minutes", "duration_minutes")).alias("practice_minutes"),
@@ -302,16 +310,21 @@ def learning_sessions(df: DataFrame, row_json: str = "row_json", path: str = "pa
         optional_float(_field("quiz_score", "score")).alias("quiz_score"),
         optional_bool(_field("completed")).alias("completed"),
         stable_hash(file_name(path)).alias("source_file_hash"),
+        _missing_time(*times),
     )
 
 
 def trade_entries(df: DataFrame, row_json: str = "row_json", path: str = "path") -> DataFrame:
-    """Trade journal: hashed instrument, setup and notes; cleaned labels; returns and risk."""
+    """Trade journal: hashed instrument, setup and notes; cleaned labels; returns and risk.
+
+    Rows without any time carry a ``reject_reason``.
+    """
     names = ("occurred_at", "closed_at", "entry_time", "date", "asset_class", "market", "instrument",
         "symbol", "ticker", "side", "setup", "strategy", "result", "outcome", "pnl_r", "r_multiple",
         "pnl_pct", "return_pct", "risk_pct", "duration_minutes", "emotion", "mood", "notes", "comment")
+    times = ("occurred_at", "closed_at", "entry_time", "date")
     return _parsed(df, row_json, names).select(
-        _field("occurred_at", "closed_at", "entry_time", "date").alias("occurred_at"),
+        _field(*times).alias("occurred_at"),
         clean_label(_field("asset_class", "market")).alias("asset_class"),
         stable_hash(_field("instrument", "symbol", "ticker")).alias("instrument_hash"),
         clean_label(_field("side")).alias("side"),
@@ -324,6 +337,25 @@ def trade_entries(df: DataFrame, row_json: str = "row_json", path: str = "path")
         clean_label(_field("emotion", "mood")).alias("emotion"),
         stable_hash(_field("notes", "comment")).alias("notes_hash"),
         stable_hash(file_name(path)).alias("source_file_hash"),
+        _missing_time(*times),
+    )
+
+
+def note_rows(df: DataFrame, row_json: str = "row_json", keep: Iterable[str] = ("path",)) -> DataFrame:
+    """JSON notes as the rows :func:`note_summaries` takes.
+
+    The text is ``summary``, ``body`` or ``content``; tags are a text or an array.
+    """
+    times = ("occurred_at", "created_at", "updated_at", "date")
+    parsed = _parsed(df, row_json, (*times, "title", "summary", "body", "content", "tags", "mood"))
+    tags = F.col("_r.tags")
+    listed = F.array_join(F.from_json(tags, "array<string>"), ",")
+    return parsed.select(
+        *keep,
+        *[F.col(f"_r.{c}").alias(c) for c in (*times, "title")],
+        F.coalesce(_field("summary", "body", "content"), F.lit("")).alias("summary"),
+        F.when(F.startswith(F.ltrim(tags), F.lit("[")), listed).otherwise(tags).alias("tags"),
+        F.col("_r.mood").alias("mood"),
     )
 
 

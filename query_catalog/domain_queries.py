@@ -674,6 +674,44 @@ def _(spark, sf):
     return ids.join(summaries, "source_file_hash").select("doc_id", "summary_hash", "word_count", "tags", "source_extension")
 
 
+@query(
+    "d11_rows_without_time",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'missing one of occurred_at, completed_at, started_at, date' END AS lesson_reason,
+    CASE WHEN event_id % 3 = 0 THEN 'missing one of occurred_at, closed_at, entry_time, date' END AS trade_reason FROM events""",
+)
+def _(spark, sf):
+    """Every third lesson and trade has no time and is rejected."""
+    e = F.col("event_id")
+    when_known = F.when(e % 3 != 0, F.col("ts").cast("string"))
+    rows = table(spark, sf, "events").select(
+        "event_id", F.to_json(F.struct(when_known.alias("date"), F.lit("x").alias("topic"))).alias("row_json"), e.cast("string").alias("path")
+    )
+    hashed = rows.select("event_id", F.substring(F.sha2("path", 256), 1, 16).alias("source_file_hash"))
+    lessons = imports.learning_sessions(rows).select("source_file_hash", F.col("reject_reason").alias("lesson_reason"))
+    trades = imports.trade_entries(rows).select("source_file_hash", F.col("reject_reason").alias("trade_reason"))
+    return hashed.join(lessons, "source_file_hash").join(trades, "source_file_hash").drop("source_file_hash")
+
+
+@query(
+    "d11_json_notes",
+    """SELECT doc_id, substring(sha256(trim(text, chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))), 1, 16) AS summary_hash,
+    CAST(len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) AS BIGINT) AS word_count, lang || '|' || source AS tags FROM documents""",
+)
+def _(spark, sf):
+    """Documents as JSON notes: the text in three fields, tags as an array or as text."""
+    d = F.col("doc_id")
+    field = lambda k: F.when(d % 3 == k, F.col("text"))
+    listed = F.struct(field(0).alias("summary"), field(1).alias("body"), field(2).alias("content"), F.array(F.upper("lang"), "source").alias("tags"))
+    plain = F.struct(field(0).alias("summary"), field(1).alias("body"), field(2).alias("content"), F.concat("lang", F.lit(" , "), "source").alias("tags"))
+    rows = table(spark, sf, "documents").select(
+        F.when(d % 2 == 0, F.to_json(listed)).otherwise(F.to_json(plain)).alias("row_json"), d.cast("string").alias("path")
+    )
+    notes = imports.note_rows(rows).withColumn("imported", F.lit("2024-01-31"))
+    summaries = imports.note_summaries(notes, "imported")
+    ids = table(spark, sf, "documents").select("doc_id", F.substring(F.sha2(d.cast("string"), 256), 1, 16).alias("source_file_hash"))
+    return ids.join(summaries, "source_file_hash").select("doc_id", "summary_hash", "word_count", "tags")
+
+
 @query(
     "d12_sleep_nights",
     f"""SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'duration must be positive' WHEN event_id % 10 = 3 THEN 'quality_score must be between 1 and 100' ELSE 'ok' END AS outcome,
