@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +83,12 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> D
     return spark.table(name)
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one chunk in Python at a time."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def _flat(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks)
 
@@ -108,10 +115,12 @@ class Words:
                 hashed.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
         self.counts = counts
         self.hashes = np.concatenate(hashed) if hashed else np.zeros(0, np.uint64)
+        del hashed, text
         self.starts = np.cumsum(counts) - counts
-        self.doc = np.repeat(np.arange(len(counts)), counts)
-        self.place = np.arange(len(self.hashes)) - self.starts[self.doc]
-        self.left = counts[self.doc] - self.place
+        # Four bytes hold any place in a chunk.
+        self.doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        self.place = np.arange(len(self.hashes), dtype=np.int32) - self.starts.astype(np.int32)[self.doc]
+        self.left = counts.astype(np.int32)[self.doc] - self.place
 
     def rolling(self, words: int, seed: int) -> np.ndarray:
         """A hash of the ``words`` words from each word on; only valid inside a document."""
@@ -152,7 +161,7 @@ def _anchor_messages(table: DataFrame, window: int, bits: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 words = Words(row, window)
                 anchors = words.anchors(bits)
                 seen, times = _distinct(anchors[words.has_block])
@@ -281,9 +290,10 @@ class Candidates:
 
 def _ahead(flags: np.ndarray, n: int) -> np.ndarray:
     """How many of the ``n`` flags from each place on are set."""
-    total = np.concatenate([[0], np.cumsum(flags)])
-    ends = np.minimum(np.arange(len(flags)) + n, len(flags))
-    return total[ends] - total[:-1]
+    total = np.zeros(len(flags) + n, np.int32)
+    np.cumsum(flags, out=total[1 : len(flags) + 1])
+    total[len(flags) + 1 :] = total[len(flags)]
+    return total[n:] - total[:-n]
 
 
 def _window_messages(joined: DataFrame, window: int, bits: int) -> DataFrame:
@@ -291,7 +301,7 @@ def _window_messages(joined: DataFrame, window: int, bits: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 found = Candidates(Words(row, window), bits, row["anchors"])
                 yield _by_bucket(row["chunk"], found.buckets(bits), found.entries.tobytes(), _KEY.itemsize)
 
@@ -372,12 +382,12 @@ def remove_repeats(
 
     def run(batches):
         for batch in batches:
-            for k, row in enumerate(batch.select(["chunk", "ids", "lengths", "texts", "anchors", "earlier"]).to_pylist()):
+            for k, row in enumerate(_each(batch.select(["chunk", "ids", "lengths", "texts", "anchors", "earlier"]))):
                 words = Words(row, window, keep_words=True)
                 found = Candidates(words, bits, row["anchors"])
                 later = _unanswer(found.buckets(bits), row["earlier"], "bits")
                 cut = found.at[later[found.entry] | (found.doc > found.entries["doc"][found.entry])]
-                change = np.zeros(len(words.hashes) + 1, np.int64)
+                change = np.zeros(len(words.hashes) + 1, np.int32)
                 np.add.at(change, cut, 1)
                 np.add.at(change, cut + window, -1)
                 covered = np.cumsum(change)[:-1] > 0
