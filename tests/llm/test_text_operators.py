@@ -381,6 +381,23 @@ def test_personal_data_terms_that_reveal(frame):
     assert "Wolfram" not in texts[0] and "<email>" in texts[0] and texts[10] == rows[4][1]
 
 
+def test_personal_data_terms_far_from_the_entity(frame):
+    """Every occurrence of a telling term counts and is a span, in all documents with personal data."""
+    far = "word " * 30
+    rows = [(k, f"Wolfram {k} {far}\nwrite to who@home.org\nİlkyaz Wolfram", "a") for k in range(3)]
+    rows += [(3, f"who@home.org {far} wolfram 3 İlkyaz", "a"), rows[0]]  # a repeated row is one more document
+    rows += [(4, "Wolfram on +49 30 1234567", "a"), (5, "rare pair@home.org", "a"), (6, "rare pair@home.org", "a")]
+    rows += [(10 + k, f"word number {k} write to all", "a") for k in range(60)]
+    docs = frame(rows)
+    found = pii.find_personal_data(docs, keep_text=True).select("doc.doc_id", "doc.text", "spans").collect()
+    assert len(found) == len(rows)
+    for r in found:
+        spans = {(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "term"}
+        assert spans == {m.span() for m in re.finditer("wolfram|İlkyaz", r["text"], re.I)}
+    clean = pii.sanitised(pii.find_personal_data(docs, keep_text=True), docs).select("text").collect()
+    assert not [r for r in clean if re.search("wolfram|İlkyaz", r["text"], re.I)]
+
+
 def vector_by_hand(text):
     parts = []
     for p in re.split(r"(?<=[.!?])[\x20\t]+|\n", text):
