@@ -14,12 +14,14 @@ from .common import let, packed, whole_text
 PARAGRAPH_END = "(?<=[.!?])[\\x20\\t]+|\\n"
 #: A longer paragraph counts as its pieces of so many characters.
 MOST_CHARS = 200
-#: Words of the vector are sums modulo 2^48; each of the packed ones holds three 16-bit lanes.
+#: Words of the vector are sums modulo 2^48. A lane has a word of its own, so no count of paragraphs overflows it.
 MODULUS_BITS = 48
 _MASK = (1 << MODULUS_BITS) - 1
-_LANES = 1 | 1 << 16 | 1 << 32
 HASHES = 2
-PACKED = 16
+#: Lanes are added up in pairs, 32 bits each; a text has fewer than 2^31 paragraphs.
+PAIRS = 24
+_PAIR = 1 | 1 << 32
+_LOW = (1 << 32) - 1
 #: Rows of the ordered table that one block holds on average, and the most blocks.
 BLOCK_ROWS = 500
 MOST_BLOCKS = 1 << 16
@@ -27,7 +29,7 @@ _NULL_BLOCKS = 64
 
 
 def multiset_hash(text: Column) -> Column:
-    """The text's vector (array of longs): number of paragraphs, full sums, packed lane sums.
+    """The text's vector (array of longs): number of paragraphs, then for each hash its full sum and its lane sums.
 
     Every paragraph adds a vector made of its hashes; all sums are modulo 2^48.
     The order of paragraphs is lost, so equal multisets give equal vectors.
@@ -51,19 +53,25 @@ def paragraphs(text: Column) -> Column:
 
 def _vector(parts: Column, seed: int) -> Column:
     def sums(hashes: Column) -> Column:
-        def lane(j: Column) -> Column:
-            return _sum(hashes, lambda h: F.call_function("shiftrightunsigned", h, j).bitwiseAND(F.lit(_LANES)))
+        def pair(j: Column) -> Column:
+            return F.aggregate(
+                hashes,
+                F.lit(0).cast("long"),
+                lambda acc, h: acc + F.call_function("shiftrightunsigned", h, j).bitwiseAND(F.lit(_PAIR)),
+            )
 
+        pairs = F.transform(F.sequence(F.lit(0), F.lit(PAIRS - 1)), pair)
         return F.concat(
-            F.array(_sum(hashes, lambda h: h)), F.transform(F.sequence(F.lit(0), F.lit(PACKED - 1)), lane)
+            F.array(_sum(hashes)),
+            F.flatten(F.transform(pairs, lambda w: F.array(w.bitwiseAND(F.lit(_LOW)), F.shiftrightunsigned(w, 32)))),
         )
 
     return let(F.transform(parts, lambda p: F.xxhash64(p, F.lit(seed))), sums)
 
 
-def _sum(hashes: Column, part) -> Column:
+def _sum(hashes: Column) -> Column:
     return F.aggregate(
-        hashes, F.lit(0).cast("long"), lambda acc, h: (acc + part(h).bitwiseAND(F.lit(_MASK))).bitwiseAND(F.lit(_MASK))
+        hashes, F.lit(0).cast("long"), lambda acc, h: (acc + h.bitwiseAND(F.lit(_MASK))).bitwiseAND(F.lit(_MASK))
     )
 
 
@@ -88,18 +96,11 @@ def lanes(vector: Column) -> Column:
 
 
 def _lanes(vector: Column) -> Column:
-    n = F.element_at(vector, 1)
-    packed_words = F.concat(
-        *[F.slice(vector, 3 + seed * (PACKED + 1), PACKED) for seed in range(HASHES)]
-    )
-    fields = F.flatten(
-        F.transform(
-            packed_words,
-            lambda w: F.array(*[F.shiftrightunsigned(w, 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(3)]),
-        )
-    )
-    # A lane is known modulo 2^16, so twice the lane modulo 2^17; it lies near n / 2.
-    return F.transform(fields, lambda x: F.pmod(2 * x - n + F.lit(1 << 16), F.lit(1 << 17)) - F.lit(1 << 16))
+    def signed(word: Column) -> Column:
+        return F.shiftright(F.shiftleft(word, 64 - MODULUS_BITS), 64 - MODULUS_BITS)
+
+    counts = F.concat(*[F.slice(vector, 3 + seed * (2 * PAIRS + 1), 2 * PAIRS) for seed in range(HASHES)])
+    return let(signed(F.element_at(vector, 1)), lambda n: F.transform(counts, lambda x: 2 * signed(x) - n))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -109,7 +110,9 @@ def likeness(a: Column, b: Column) -> Column:
     Equal vectors give 1, two empty texts too, an empty and another text 0.
     """
     pairs = F.arrays_zip(lanes(a).alias("x"), lanes(b).alias("y"))
-    zero = F.struct(F.lit(0).cast("long").alias("xy"), F.lit(0).cast("long").alias("xx"))
+    # In doubles: squares of lanes of very long texts do not fit a long.
+    pairs = F.transform(pairs, lambda p: F.struct(p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y")))
+    zero = F.struct(F.lit(0.0).alias("xy"), F.lit(0.0).alias("xx"))
     sums = F.aggregate(
         pairs,
         zero,
@@ -118,7 +121,7 @@ def likeness(a: Column, b: Column) -> Column:
             (acc["xx"] + p["x"] * p["x"] + p["y"] * p["y"]).alias("xx"),
         ),
         lambda acc: F.when(
-            acc["xx"] > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * acc["xy"].cast("double") / acc["xx"]))
+            acc["xx"] > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * acc["xy"] / acc["xx"]))
         ).otherwise(F.lit(0.0)),
     )
     return F.when(a == b, F.lit(1.0)).otherwise(sums)
