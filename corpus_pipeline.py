@@ -35,7 +35,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, as op3 finds them: 3-word SimHash within 2 bits.
+
+    That misses most copies that differ in more than a word or two. Of 1,000 pairs of 400 random
+    words each it linked 35 % at a likeness of 0.95, 14 % at 0.91 and 2 % at 0.81 (5-word Jaccard).
+    """
     return one_of_each_group(docs)
 
 
