@@ -132,6 +132,10 @@ def load_medallion(
     event day, null included. Each layer inserts what the touched partitions do
     not hold yet, so a rerun adds nothing, a load that stopped half way can be
     repeated, and a late event reads its own day only.
+
+    An id is therefore known within its source and day: an event that comes
+    again in a later load with its id but a time on another day, or from another
+    source, is inserted a second time, while within one load the two are one row.
     """
     incoming = identified(landing_to_bronze(read_landing(spark, landing_path)))
     newest = [F.col("ingested_at").desc_nulls_last(), F.xxhash64(*incoming.columns)]

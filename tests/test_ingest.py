@@ -265,6 +265,22 @@ def test_loads_read_touched_days_only(spark):
     assert "dynamicpruning" in plan.lower()
 
 
+def test_an_id_is_known_within_its_day(spark):
+    """One id on two days is one row of one load, but two rows of two loads."""
+    lines = envelope(signals(spark, range(3)), SIGNAL, "2024-01-02 00:00:00").withColumn("event_time", F.lit("2024-01-06T00:00:00Z"))
+    moved = lines.withColumns({"event_time": F.lit("2024-01-07T00:00:00Z"), "ingested_at": F.lit("2024-02-01T00:00:00Z")})
+    for name, in_all in (("one", 3), ("two", 6)):
+        root, base = work_dir(spark, f"moved-{name}"), work_dir(spark, f"moved-{name}-lake")
+        paths = [f"{base}/{n}" for n in ("bronze", "silver", "gold")]
+        load = lambda: medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths, work_dir(spark, "moved-staging"))  # noqa: B023, E731
+        lines.write.json(f"{root}/landing_source=x/dt=2024-01-02")
+        if name == "two":
+            load()
+        moved.write.json(f"{root}/landing_source=x/dt=2024-01-03")
+        load()
+        assert spark.read.parquet(paths[0]).count() == in_all
+
+
 def test_merge_keeps_rows_without_a_partition_value(spark):
     path = work_dir(spark, "null-part")
     schema = "k int, ver int, p string"
