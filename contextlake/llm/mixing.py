@@ -21,6 +21,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], most_repeats: int)
     stops at ``most_repeats`` times the size; the excess goes to the others by
     weight until none is above. Sorting by size per weight makes the stopped
     sources a prefix, so running sums find the level without iterating.
+
+    The running sums hold all sources, one row each, in one task; no limit on
+    their number is checked.
     """
     everything = W.orderBy("g")
     filling = W.orderBy("level", "g")
