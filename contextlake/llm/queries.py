@@ -14,6 +14,7 @@ from .mixing import mix_sources
 from .multiset import fingerprint_documents, likeness, to_hex
 from .pii import KINDS, find_personal_data, span_text
 from .quality import judge_documents
+from .recipes import exact_duplicates
 from .simhash import near_duplicates
 from .substrings import remove_repeats
 from .token_counts import count_tokens
@@ -277,3 +278,21 @@ def op10_substring_dedup(spark, sf_dir):
     """Words of 13-word windows that also start in a document with a smaller id, removed."""
     kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query(
+    r"""
+    WITH normal AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+           sha256(text) AS text_sha256
+    FROM normal WINDOW same AS (PARTITION BY text)
+    """
+)
+def op12_exact_dedup(spark, sf_dir):
+    """Documents with equal texts, lower-cased, and the one of each group that stays."""
+    found = exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc.doc_id", "keep_id", "group_size", "kept", "text_sha256")
