@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .bpe import digest_documents
 from .lines import drop_shared_lines
 from .mixing import mix_sources
@@ -296,3 +297,17 @@ def op12_exact_dedup(spark, sf_dir):
     """Documents with equal texts, lower-cased, and the one of each group that stays."""
     found = exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+#: Vocabularies whose tokens are aligned: byte-level BPE, and pieces with byte fallback.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+
+
+@_query()
+def op13_alignment(spark, sf_dir):
+    """Tokens of two vocabularies over the same bytes; SQL has no tokenizer, tests compare with brute force."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = align_tokenizers(docs, *map(public_tokenizers.path, ALIGNED))
+    return found.select(
+        "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
