@@ -17,6 +17,7 @@ from .pii import KINDS, find_personal_data, span_text
 from .quality import judge_documents
 from .recipes import exact_duplicates
 from .simhash import near_duplicates
+from .spelling import spelling_variants
 from .substrings import remove_repeats
 from .token_counts import count_tokens
 from .urls import judge_urls
@@ -311,3 +312,58 @@ def op13_alignment(spark, sf_dir):
     return found.select(
         "doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
+
+
+@_query(
+    r"""
+    WITH RECURSIVE crc AS (
+        SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+        FROM range(256) r(i)
+    ), runs AS (
+        SELECT doc_id, run, count(*) AS times FROM (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), 'null') AS doc_id,
+                   unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+            FROM documents
+        ) WHERE length(run) >= 6 GROUP BY ALL
+    ), bytes AS (
+        SELECT run, times, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda x:
+                   CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]
+                        ELSE [192 + unicode(x)::BIGINT // 64, 128 + unicode(x)::BIGINT % 64] END)) AS data
+        FROM runs
+    ), hashed AS (
+        SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, data),
+                   lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8))) AS h
+        FROM bytes, crc
+    ), words AS (
+        SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+            SELECT times, CASE WHEN h % 199 = 0
+                THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+            FROM hashed
+        ) WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+    ), gaps AS (
+        SELECT word, n, i, substr(word, 1, i) AS before, substr(word, i + 2) AS after
+        FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+    ), near AS (
+        SELECT a.word, b.word AS form, b.n AS form_n FROM gaps a JOIN gaps b USING (i, before, after) WHERE a.word <> b.word
+        UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.before || g.after
+        UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.before || g.after
+    ), best AS (
+        SELECT word, count(*) AS n_near, arg_min(form, (-form_n, form)) AS near_form, max(form_n) AS near_n
+        FROM near GROUP BY word
+    ), found AS (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN near_n >= 5 * n THEN near_form END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+        FROM words w LEFT JOIN best USING (word)
+    ), ways AS (
+        SELECT word, word AS root FROM found
+        UNION ALL SELECT ways.word, found.form FROM ways JOIN found ON found.word = ways.root WHERE found.form IS NOT NULL
+    )
+    SELECT found.word, found.form, ways.root, found.n, found.n_near, found.form_n
+    FROM found JOIN ways ON ways.word = found.word JOIN found last ON last.word = ways.root AND last.form IS NULL
+    """
+)
+def op11_spelling(spark, sf_dir):
+    """Frequent words of all documents with their usual form and the root of its way."""
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
