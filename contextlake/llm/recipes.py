@@ -167,11 +167,13 @@ def exact_duplicates(
     rows = identified(docs, text_col, digest_bytes)
     row_id = F.col(f"doc.`{id_col}`")
     rank = F.struct(row_id.isNotNull().alias("known"), row_id.alias("id"), (-F.col("row")).alias("first"))
-    groups = (
+    found = (
         rows.groupBy("recipe", "variants")
         .agg(F.max(rank).alias("best"), F.count(F.lit(1)).alias("group_size"))
         .select("recipe", "variants", "group_size", F.col("best.id").alias("keep_id"), (-F.col("best.first")).alias("staying"))
     )
+    # As a table of their own the groups are dealt anew for the join, which can then split a hot one.
+    groups = stored(found, "recipe-groups")
     return rows.join(groups, ["recipe", "variants"]).select(
         "doc", "keep_id", "group_size", (F.col("row") == F.col("staying")).alias("kept"), "text_sha256"
     )
