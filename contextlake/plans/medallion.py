@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.hashing import event_id, event_key
 from ..functions.text import col
@@ -14,6 +16,8 @@ from ..functions.times import AsOf, as_of_col, parse_iso
 from ..functions.wire import decode_avro_payload, decode_json_payload, payload_size, schema_id
 from ..operators.latest import latest_by
 from ..schemas import BRONZE_EVENT, MEDALLION_EVENT
+from ..session import work_dir
+from ..sinks.id_index import IdIndex
 from ..sinks.tables import counted_writer, prune_to, touched_partitions
 from ..sources.files import read_landing
 
@@ -122,32 +126,69 @@ def load_medallion(
     silver_path: str,
     gold_path: str,
     staging: str,
+    index_path: str | None = None,
 ) -> dict[str, int]:
     """Load landing events into bronze, silver and gold; returns rows written per layer.
 
     The landing files are parsed once into ``staging`` (a new folder), one row
-    per ``event_id``: the last ingested one. Lines without an id get one from
-    their source, type, time and payload, so different lines stay different
-    and a line that comes again is known. Layers are partitioned by source and
-    event day, null included. Each layer inserts what the touched partitions do
-    not hold yet, so a rerun adds nothing, a load that stopped half way can be
-    repeated, and a late event reads its own day only.
-
-    An id is therefore known within its source and day: an event that comes
-    again in a later load with its id but a time on another day, or from another
-    source, is inserted a second time, while within one load the two are one row.
+    per ``event_id``: the last ingested one, ties broken by its own columns, so every
+    run picks the same. Lines without an id get one from their source, type, time and
+    payload, so different lines stay different and a line that comes again is known.
+    Layers are partitioned by source and event day, null included.
+
+    Each layer inserts the ids it lacks. Which it has stands in an index bucketed by id
+    (``index_path``, beside bronze by default): an id is one row of a layer even if it
+    comes again with another day or from another source, and no layer is read. A load
+    writes down its new ids before it inserts them and enters them afterwards. One that
+    stopped in between is settled by the next: of its ids those count that the layers
+    have, looked up in the partitions they were meant for. Layers older than their
+    index are read once.
     """
     incoming = identified(landing_to_bronze(read_landing(spark, landing_path)))
-    newest = [F.col("ingested_at").desc_nulls_last(), F.xxhash64(*incoming.columns)]
-    _write_counted(latest_by(incoming, ["event_id"], newest), staging, "overwrite")
-    batch = spark.read.schema(incoming.schema).parquet(staging)
-    touched = touched_partitions(batch, LAYER_PARTITIONS, f"{staging}-touched")
-    layers = {
-        "bronze": (batch, bronze_path),
-        "silver": (to_silver(batch), silver_path),
-        "gold": (to_gold(batch), gold_path),
+    order = [F.col(c).asc_nulls_last() for c in incoming.columns if c not in ("event_id", "loaded_at")]
+    newest = latest_by(incoming, ["event_id"], [F.col("ingested_at").desc_nulls_last(), *order])
+    paths = {"bronze": bronze_path, "silver": silver_path, "gold": gold_path}
+    index = open_index(spark, incoming.schema, paths, index_path or f"{bronze_path.rstrip('/')}_ids")
+    _write_counted(index.with_held_layers(newest), staging, "overwrite")
+    staged = spark.read.schema(StructType([*incoming.schema.fields, *StructType.fromDDL("held_layers array<string>")])).parquet(staging)
+    fresh = {
+        name: rows.filter(~F.array_contains("held_layers", name)).drop("held_layers")
+        for name, rows in (("bronze", staged), ("silver", to_silver(staged)), ("gold", to_gold(staged)))
     }
-    return {name: _insert_new_events(spark, df, touched, path) for name, (df, path) in layers.items()}
+    marked = [rows.select("event_id", F.lit(name).alias("layer"), *LAYER_PARTITIONS) for name, rows in fresh.items()]
+    load = index.begin(reduce(DataFrame.unionByName, marked))
+    written = {name: _append_layer(spark, rows, paths[name]) for name, rows in fresh.items()}
+    index.finish(load, index.pending()[load])
+    index.compact()
+    return written
+
+
+def open_index(spark: SparkSession, schema: StructType, paths: Mapping[str, str], index_path: str) -> IdIndex:
+    """The index of the layers, made from them if it is missing, with stopped loads settled."""
+    index = IdIndex(spark, index_path)
+    if not index.exists:
+        layouts = {name: layer_partitions(spark, path) for name, path in paths.items()}
+        held = [
+            spark.read.schema(schema).parquet(paths[name]).select("event_id", F.lit(name).alias("layer"))
+            for name, layout in layouts.items()
+            if layout is not None
+        ]
+        index.create(reduce(DataFrame.unionByName, held) if held else None)
+    for load, ids in index.pending().items():
+        index.finish(load, reduce(DataFrame.unionByName, [inserted(spark, schema, ids, n, p) for n, p in paths.items()]))
+    return index
+
+
+def inserted(spark: SparkSession, schema: StructType, ids: DataFrame, name: str, path: str) -> DataFrame:
+    """Of the ids that a stopped load meant for a layer, those that the layer has."""
+    wanted = ids.filter(F.col("layer") == name)
+    layout = layer_partitions(spark, path)
+    if layout is None:
+        return wanted.limit(0).select("event_id", "layer")
+    touched = touched_partitions(wanted, LAYER_PARTITIONS, work_dir(spark, "stopped-load"))
+    layer = spark.read.schema(schema).parquet(path)
+    held = prune_to(layer, touched, layout).select("event_id").distinct()
+    return wanted.join(held, "event_id").select("event_id", "layer")
 
 
 def identified(bronze: DataFrame) -> DataFrame:
@@ -188,11 +229,10 @@ def held_ids(
     return prune_to(layer, touched, partitions).select("event_id")
 
 
-def _insert_new_events(spark: SparkSession, batch: DataFrame, touched: DataFrame, path: str) -> int:
+def _append_layer(spark: SparkSession, fresh: DataFrame, path: str) -> int:
     layout = layer_partitions(spark, path)
     if layout is None:
-        return _write_counted(batch, path, "append", LAYER_PARTITIONS)
-    fresh = batch.join(held_ids(spark, batch, touched, path, layout), "event_id", "left_anti")
+        return _write_counted(fresh, path, "append", LAYER_PARTITIONS)
     missing = [c for c in LAYER_PARTITIONS if c not in layout]
     return _write_counted(fresh.drop(*missing), path, "append", layout)
 

@@ -364,3 +364,36 @@ def _(spark, sf):
         spark, path, rows.filter(F.col("ts") >= half), ["user_id"], ["event_id"], "part", staging
     )
     return spark.read.parquet(path).select("user_id", "event_id", F.col("part").cast("bigint").alias("part"))
+
+
+@query(
+    "k18_ids_are_one_row_in_all_loads",
+    """WITH s AS (SELECT DISTINCT signal_id FROM v_signals)
+    SELECT layer, n, n AS n_ids, n AS first_day FROM (
+        SELECT 'bronze' AS layer, count(*) AS n FROM s UNION ALL SELECT 'silver', count(*) FROM s
+        UNION ALL SELECT 'gold', count(*) FROM s)""",
+    ("v_signals",),
+)
+def _(spark, sf):
+    """Ids that come again with another day, from another source and both: each is one row, the first one loaded."""
+    first = envelope(view(spark, sf, "v_signals"), SIGNAL, AS_OF).withColumns(
+        {"event_time": F.lit("2024-01-06T00:00:00Z"), "event_type": F.lit("decision_signal")}
+    )
+    later = {"event_time": F.lit("2024-01-07T00:00:00Z"), "ingested_at": F.lit("2024-03-01T00:00:00Z")}
+    other = {"source_name": F.lit("elsewhere"), "ingested_at": F.lit("2024-03-02T00:00:00Z")}
+    root, base = work_dir(spark, "k18-ids-landing"), work_dir(spark, "k18-ids-lake")
+    paths = {layer: f"{base}/{layer}" for layer in ("bronze", "silver", "gold")}
+    for k, changed in enumerate(({}, later, {**later, **other})):
+        first.withColumns(changed).write.json(f"{root}/landing_source=ids/dt=2024-01-3{k}")
+        medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths.values(), work_dir(spark, "k18-ids-staging"))
+    counts = [
+        spark.read.parquet(path)
+        .agg(
+            rollups.rows("n"),
+            F.count_distinct("event_id").alias("n_ids"),
+            F.count_if(F.col("event_day") == "2024-01-06").alias("first_day"),
+        )
+        .select(F.lit(layer).alias("layer"), "n", "n_ids", "first_day")
+        for layer, path in paths.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])

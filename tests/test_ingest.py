@@ -265,20 +265,100 @@ def test_loads_read_touched_days_only(spark):
     assert "dynamicpruning" in plan.lower()
 
 
-def test_an_id_is_known_within_its_day(spark):
-    """One id on two days is one row of one load, but two rows of two loads."""
-    lines = envelope(signals(spark, range(3)), SIGNAL, "2024-01-02 00:00:00").withColumn("event_time", F.lit("2024-01-06T00:00:00Z"))
+def lake(spark, name):
+    base = work_dir(spark, f"{name}-lake")
+    root = work_dir(spark, name)
+    paths = [f"{base}/{n}" for n in ("bronze", "silver", "gold")]
+    load = lambda: medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths, work_dir(spark, f"{name}-staging"))
+    return root, paths, load
+
+
+def test_an_id_is_one_row_whatever_its_day_or_source(spark):
+    """One id with two days and two sources is one row of every layer, in one load or in two."""
+    lines = envelope(signals(spark, range(3)), SIGNAL, "2024-01-02 00:00:00").withColumns(
+        {"event_time": F.lit("2024-01-06T00:00:00Z"), "event_type": F.lit("decision_x")}
+    )
     moved = lines.withColumns({"event_time": F.lit("2024-01-07T00:00:00Z"), "ingested_at": F.lit("2024-02-01T00:00:00Z")})
-    for name, in_all in (("one", 3), ("two", 6)):
-        root, base = work_dir(spark, f"moved-{name}"), work_dir(spark, f"moved-{name}-lake")
-        paths = [f"{base}/{n}" for n in ("bronze", "silver", "gold")]
-        load = lambda: medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths, work_dir(spark, "moved-staging"))  # noqa: B023, E731
-        lines.write.json(f"{root}/landing_source=x/dt=2024-01-02")
-        if name == "two":
-            load()
-        moved.write.json(f"{root}/landing_source=x/dt=2024-01-03")
+    renamed = lines.withColumns({"source_name": F.lit("elsewhere"), "ingested_at": F.lit("2024-02-02T00:00:00Z")})
+    for name, loads in (("one", 1), ("two", 3)):
+        root, paths, load = lake(spark, f"moved-{name}")
+        for k, part in enumerate((lines, moved, renamed)):
+            part.write.json(f"{root}/landing_source=x/dt=2024-01-0{k + 2}")
+            if loads == 3:
+                load()
+        assert load() == {"bronze": 0, "silver": 0, "gold": 0} if loads == 3 else load()["gold"] == 3
+        assert [spark.read.parquet(p).count() for p in paths] == [3, 3, 3]
+
+
+def test_ties_of_one_id_are_broken_the_same_way_every_time(spark):
+    """Two sources share an id and an ingestion time: each fresh lake keeps the same line."""
+    one = envelope(signals(spark, range(20)), SIGNAL, "2024-01-02 00:00:00")
+    both = one.unionByName(one.withColumn("source_name", F.lit("elsewhere"))).unionByName(one.withColumn("source_name", F.lit(None).cast("string")))
+    seen = set()
+    for k in range(3):
+        root, paths, load = lake(spark, f"ties-{k}")
+        both.repartition(3 + k).write.json(f"{root}/landing_source=x/dt=2024-01-02")
+        load()
+        rows = spark.read.parquet(paths[0]).select("event_id", "source_name").collect()
+        seen.add(tuple(sorted((r["event_id"], r["source_name"]) for r in rows)))
+        assert load() == {"bronze": 0, "silver": 0, "gold": 0}
+    assert len(seen) == 1
+
+
+@pytest.mark.parametrize("stop_after", ["begin", "bronze", "silver", "gold"])
+def test_a_load_stopped_anywhere_is_settled_by_the_next(spark, monkeypatch, stop_after):
+    root, paths, load = lake(spark, f"stop-{stop_after}")
+    lines = envelope(signals(spark, range(6)), SIGNAL, "2024-01-02 00:00:00").withColumn("event_type", F.lit("decision_x"))
+    lines.filter("event_id < '8'").write.json(f"{root}/landing_source=x/dt=2024-01-02")
+    load()
+    lines.write.json(f"{root}/landing_source=x/dt=2024-01-03")
+    write, done = medallion._append_layer, []
+
+    def stopping(spark, rows, path):
+        if stop_after == "begin":
+            raise RuntimeError("stopped")
+        result = write(spark, rows, path)
+        done.append(path)
+        if path.endswith(stop_after):
+            raise RuntimeError("stopped")
+        return result
+
+    monkeypatch.setattr(medallion, "_append_layer", stopping)
+    with pytest.raises(RuntimeError, match="stopped"):
         load()
-        assert spark.read.parquet(paths[0]).count() == in_all
+    monkeypatch.setattr(medallion, "_append_layer", write)
+    load()
+    assert [spark.read.parquet(p).count() for p in paths] == [6, 6, 6]
+    assert load() == {"bronze": 0, "silver": 0, "gold": 0}
+    index = medallion.IdIndex(spark, f"{paths[0]}_ids")
+    assert index.pending() == {} and index.held().filter(F.size("layers") == 3).count() == 6
+
+
+def test_index_is_read_by_bucket_and_compacted(spark):
+    index = medallion.IdIndex(spark, work_dir(spark, "ids"), buckets=4)
+    assert not index.exists
+    ids = lambda a, b: spark.range(a, b).select(F.concat(F.lit("e"), "id").alias("event_id"), F.lit("bronze").alias("layer"))
+    index.create(ids(0, 50))
+    for k in range(5):
+        load = index.begin(ids(50 * k, 50 * k + 70).select("*", F.lit("s").alias("source_name"), F.lit("d").alias("event_day")))
+        index.finish(load, index.pending()[load])
+    assert index.held().count() == 270 and index.generation() == (1, 4)
+    batch = spark.range(260, 280).select(F.concat(F.lit("e"), "id").alias("event_id"))
+    with_layers = index.with_held_layers(batch)
+    assert with_layers.filter(F.size("held_layers") == 0).count() == 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = index.with_held_layers(batch)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The batch is dealt to the buckets; the index is not.
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert index.compact(files_per_bucket=2, ids_per_bucket=20) and index.generation() == (2, 14)
+    assert not index.compact(files_per_bucket=2)
+    assert index.held().count() == 270
+    # Another session knows the index by its files alone.
+    again = medallion.IdIndex(spark.newSession(), index.path)
+    assert again.generation() == (2, 14) and again.held().count() == 270
 
 
 def test_merge_keeps_rows_without_a_partition_value(spark):
