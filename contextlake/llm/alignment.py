@@ -3,33 +3,36 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .bpe import Memory
 from .common import map_texts, stored
 from .pair_index import BUCKET_KEYS, PairIndex, bucket_of, hashed_bucket
 
 #: A text is cut at single blanks between other characters: both tokenizers begin a token there.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Characters of a text that are cut into units at once.
-BLOCK_CHARS = 1 << 20
-#: Units of more characters are not remembered.
-_SHORT_UNIT = 48
+#: Characters after which the next such blank ends a block.
+BLOCK_CHARS = 1 << 15
 #: Slots that a task holds counts for at once (16 MB of counts, 17 MB of keys and bits); more
 #: distinct pairs are counted range by range.
 RANGE_SLOTS = 1 << 21
 #: Slots of a block of counts, and vectors that are added in one step of the tree.
 COUNT_BLOCK, FAN_IN = 1 << 14, 16
+#: Bytes of A's ids that are aligned at once.
+PART_BYTES = 1 << 19
 #: Distinct pairs that a task remembers as sent.
 _MOST_SENT = 1 << 22
 
@@ -41,8 +44,26 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
+#: White space for some engines or Unicode versions only.
+_UNSURE = "\x1c\x1d\x1e\x1f\u180e"
+
+
+def stable_class(c: str) -> bool:
+    """Is ``c`` a letter, a number, white space or something else in every Unicode version?"""
+
+    def of(category: str) -> str:
+        return category[0] if category[0] in "LNZ" else "-"
+
+    return of(unicodedata.category(c)) == of(unicodedata.ucd_3_2_0.category(c)) and c not in _UNSURE
+
+
 class ByteLevel:
-    """A byte-level BPE of the tokenizers library; special strings are plain text."""
+    """A byte-level BPE of the tokenizers library; special strings are plain text.
+
+    A vocabulary whose ids follow its merges is the same as ranks of byte strings, which
+    tiktoken encodes several times as fast. Both split a text by classes of characters; where
+    the classes depend on the Unicode version, the library itself is asked.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -54,13 +75,41 @@ class ByteLevel:
         self.library.encode_special_tokens = True
         table = byte_of_character()
         self.bytes = [b""] * self.library.get_vocab_size()
-        for token, i in self.library.get_vocab().items():
-            if all(c in table for c in token):
-                self.bytes[i] = bytes(table[c] for c in token)
+        for token, i in self.library.get_vocab(with_added_tokens=False).items():
+            self.bytes[i] = bytes(table[c] for c in token)
+        self.ranked = self._ranked(path)
+        self._stable = {chr(k): stable_class(chr(k)) for k in range(0x80)}
+
+    def _ranked(self, path: str):
+        """The vocabulary for tiktoken; None unless that is proven to be the same."""
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
+        split = spec["pre_tokenizer"]
+        same = (
+            spec["normalizer"] is None
+            and split["type"] == "ByteLevel"
+            and split["use_regex"]
+            and not split["add_prefix_space"]
+            and not spec["model"].get("ignore_merges")
+            and all(vocab[a + b] == 256 + rank for rank, (a, b) in enumerate(pairs))
+        )
+        ranks = {self.bytes[i]: i for i in range(256 + len(pairs))}
+        if not same or len(ranks) != 256 + len(pairs):
+            return None
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        found = self.library.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
-        return [e.ids for e in found]
+    def encode(self, block: str) -> list[int]:
+        known = self._stable
+        for c in set(block) - known.keys():
+            known[c] = stable_class(c)
+        if self.ranked is not None and all(map(known.__getitem__, set(block))):
+            return self.ranked.encode_ordinary(" " + block)
+        return self.library.encode(" " + block, add_special_tokens=False).ids
 
 
 class Pieces:
@@ -75,60 +124,43 @@ class Pieces:
             piece = self.library.id_to_piece(i)
             whole = bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.replace("▁", " ").encode()
             self.bytes.append(whole)
+        if any("▁" in p[1:].lstrip("▁") for p in map(self.library.id_to_piece, range(len(self.bytes))) if p):
+            raise ValueError("pieces reach across blanks, so texts cannot be cut at them")
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        return self.library.encode(units, num_threads=1)
+    def encode(self, block: str) -> list[int]:
+        return self.library.encode(block, num_threads=1)
 
 
 class Both:
-    """Token ids of a text by two tokenizers, unit by unit; equal units are encoded once."""
+    """Token ids of a text by two tokenizers, block by block."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.coders = [ByteLevel(p) if p.endswith(".json") else Pieces(p) for p in (path_a, path_b)]
-        self.kinds = [id_type(len(c.bytes)) for c in self.coders]
-        #: Per unit the ids of both as bytes; False where tokens do not join to the unit.
-        self.known = Memory()
-
-    def _learn(self, units: list[str]) -> dict[str, tuple[bytes, bytes] | bool]:
-        out = {}
-        both = zip(units, *[c.encode(units) for c in self.coders], strict=True)
-        for unit, *ids in both:
-            whole = (" " + unit).encode()
-            same = all(b"".join([c.bytes[i] for i in own]) == whole for c, own in zip(self.coders, ids, strict=True))
-            value = tuple(np.array(own, kind).tobytes() for own, kind in zip(ids, self.kinds, strict=True)) if same else False
-            out[unit] = value
-            if len(unit) <= _SHORT_UNIT:
-                self.known.keep(unit, value)
-        return out
+        self.kinds = ["H" if len(c.bytes) <= 1 << 16 else "I" for c in self.coders]
 
     def ids(self, text: str) -> tuple[bytes, bytes]:
         """Ids of both tokenizers; empty for an empty text or one that tokens do not join to."""
-        a, b = [], []
-        for units in _units(text):
-            found = {u: self.known[u] for u in set(units)}
-            missing = [u for u, value in found.items() if value is None]
-            if missing:
-                found |= self._learn(missing)
-            for u in units:
-                value = found[u]
-                if value is False:
+        out: tuple[list[bytes], list[bytes]] = ([], [])
+        for block in _blocks(text):
+            whole = (" " + block).encode()
+            for parts, coder, kind in zip(out, self.coders, self.kinds, strict=True):
+                own = coder.encode(block)
+                if b"".join(map(coder.bytes.__getitem__, own)) != whole:
                     return b"", b""
-                a.append(value[0])
-                b.append(value[1])
-        return b"".join(a), b"".join(b)
+                parts.append(array(kind, own).tobytes())
+        return b"".join(out[0]), b"".join(out[1])
 
 
 def id_type(size: int) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
 
-def _units(text: str) -> Iterator[list[str]]:
-    """Units of the text, some million characters at a time."""
+def _blocks(text: str) -> Iterator[str]:
     at = 0
     while at < len(text):
         cut = _CUT.search(text, at + BLOCK_CHARS) if len(text) - at > BLOCK_CHARS else None
         end = cut.start() if cut else len(text)
-        yield _CUT.split(text[at:end])
+        yield text[at:end]
         at = end + 1
 
 
@@ -218,6 +250,16 @@ def _flat_ids(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.array([len(p) // kind.itemsize for p in parts], np.int64)
 
 
+def _parts(batches) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with some PART_BYTES of ids each, so that arrays stay small; a longer row is its own."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index("a"))).to_numpy(zero_copy_only=False)
+        run = np.cumsum(sizes.astype(np.int64) + 64) // PART_BYTES
+        starts = np.flatnonzero(np.diff(run, prepend=-1))
+        for at, end in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
+            yield batch.slice(at, end - at)
+
+
 def per_document(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sum of ``values`` up to each of ``ends`` from the one before."""
     total = np.concatenate([[0], np.cumsum(values)])[ends]
@@ -229,7 +271,7 @@ def distinct_pairs(ids: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches):
         sent = np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in _parts(batches):
             pairs = np.unique(Aligned(batch.column(0), batch.column(1), path_a, path_b).keys)
             at = np.minimum(np.searchsorted(sent, pairs), max(len(sent) - 1, 0))
             new = pairs if not len(sent) else pairs[sent[at] != pairs]
@@ -271,7 +313,7 @@ def count_vectors(ids: DataFrame, index, path_a: str, path_b: str) -> DataFrame:
     def run(batches):
         held: PairIndex = index.value
         counts = np.zeros(len(held.keys), np.int64)
-        for batch in batches:
+        for batch in _parts(batches):
             pairs, times = np.unique(Aligned(batch.column(0), batch.column(1), path_a, path_b).keys, return_counts=True)
             slots = held.slots(pairs)
             counts[slots[slots >= 0]] += times[slots >= 0]
@@ -337,32 +379,30 @@ def look_up(ids: DataFrame, found, path_a: str, path_b: str, first: bool) -> Dat
 
     def run(batches):
         index, counts, best = found.value
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                get = lambda name, b=batch: b.column(b.schema.get_field_index(name))
-                own = Aligned(get("a"), get("b"), path_a, path_b)
-                pairs, back = np.unique(own.keys, return_inverse=True)
-                slots = index.slots(pairs)
-                held = slots >= 0
-                count, is_best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-                count[held], is_best[held] = counts[slots[held]], best[slots[held]]
-                n_best = per_document(is_best[back], own.link_ends)
-                count_sum = per_document(count[back], own.link_ends)
-                if first:
-                    extra = [
-                        pa.array(own.count_a),
-                        pa.array(own.count_b),
-                        pa.array(np.diff(own.group_ends, prepend=0)),
-                        pa.array(np.diff(own.link_ends, prepend=0)),
-                        pa.array(own.group_digests(max(map(len, token_lengths(path_a, path_b)))), pa.string()),
-                    ]
-                    kept = batch.columns
-                else:
-                    n_best += get("n_best").to_numpy()
-                    count_sum += get("count_sum").to_numpy()
-                    kept, extra = [get(c) for c in columns], []
-                yield pa.RecordBatch.from_arrays([*kept, *extra, pa.array(n_best), pa.array(count_sum)], names=schema.names)
+        for batch in _parts(batches):
+            get = lambda name, b=batch: b.column(b.schema.get_field_index(name))
+            own = Aligned(get("a"), get("b"), path_a, path_b)
+            pairs, back = np.unique(own.keys, return_inverse=True)
+            slots = index.slots(pairs)
+            held = slots >= 0
+            count, is_best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+            count[held], is_best[held] = counts[slots[held]], best[slots[held]]
+            n_best = per_document(is_best[back], own.link_ends)
+            count_sum = per_document(count[back], own.link_ends)
+            if first:
+                extra = [
+                    pa.array(own.count_a),
+                    pa.array(own.count_b),
+                    pa.array(np.diff(own.group_ends, prepend=0)),
+                    pa.array(np.diff(own.link_ends, prepend=0)),
+                    pa.array(own.group_digests(max(map(len, token_lengths(path_a, path_b)))), pa.string()),
+                ]
+                kept = batch.columns
+            else:
+                n_best += get("n_best").to_numpy()
+                count_sum += get("count_sum").to_numpy()
+                kept, extra = [get(c) for c in columns], []
+            yield pa.RecordBatch.from_arrays([*kept, *extra, pa.array(n_best), pa.array(count_sum)], names=schema.names)
 
     return ids.mapInArrow(run, schema)
 
@@ -386,8 +426,8 @@ def align_tokenizers(
 
     Defined cases: null and empty texts, and texts that the tokens of A or B do not join to
     (with a blank before them), have no tokens: zeros and an empty digest. Ids and repeated
-    rows do not matter, each row counts. Very long texts are encoded a million
-    characters at a time. An empty table gives an empty result; extra columns stay in ``doc``.
+    rows do not matter, each row counts. Very long texts are encoded block by block,
+    cut at single blanks; a run without any is one block. An empty table gives an empty result; extra columns stay in ``doc``.
     """
     ids = stored(encoded(docs, path_a, path_b, text_col), "token-ids")
     pairs = stored(distinct_pairs(ids, path_a, path_b), "token-pairs")

@@ -109,10 +109,23 @@ def test_long_texts_are_cut_at_unit_borders(rows, monkeypatch):
     coder = alignment.Both(*PATHS)
     texts = [t for _, t, _ in rows if t]
     whole = [coder.ids(t) for t in texts]
-    monkeypatch.setattr(alignment, "BLOCK_CHARS", 50)
+    monkeypatch.setattr(alignment, "BLOCK_CHARS", 5)
     assert [alignment.Both(*PATHS).ids(t) for t in texts] == whole
 
 
+def test_ranks_and_library_give_the_same():
+    rng = random.Random(6)
+    coder = alignment.ByteLevel(PATHS[0])
+    marks = [chr(k) for k in [*range(0x250), *range(0x2000, 0x2070), *range(0x4E00, 0x4E20), 0x180E, 0x1F642, 0x1E900, 0x16FE4]]
+    assert not alignment.stable_class(chr(0x180E)) and alignment.stable_class("🙂") and alignment.stable_class("é")
+    for _ in range(300):
+        text = "".join(rng.choice(marks + [" ", "a", "7", "'s"] * 40) for _ in range(60))
+        want = coder.library.encode(" " + text, add_special_tokens=False).ids
+        assert coder.encode(text) == want
+        stable = "".join(c for c in text if alignment.stable_class(c))
+        assert coder.ranked.encode_ordinary(" " + stable) == coder.library.encode(" " + stable, add_special_tokens=False).ids
+
+
 def test_nothing_gives_nothing(frame):
     assert alignment.align_tokenizers(frame([]), *PATHS).count() == 0
     only_null = alignment.align_tokenizers(frame([(1, None, None), (2, "", None)]), *PATHS)
