@@ -186,10 +186,8 @@ def op6_bpe(spark, sf_dir):
     r"""
     WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     split AS (
-        SELECT doc_id, text, regexp_extract_all(text, '[^ 	-
-]+') AS words,
-               list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
-]')) AS lines
+        SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+               list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
         FROM texts
     ), starts AS (
         SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS first FROM split
