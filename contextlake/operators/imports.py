@@ -288,11 +288,18 @@ def summarize_source(
     return rows.withColumn("reject_reason", F.when(F.col("event_time").isNull(), missing))
 
 
+def file_hash(path: str = "path") -> Column:
+    """The name of a file as it leaves: hashed."""
+    return stable_hash(file_name(path))
+
+
 def _missing_time(*names: str) -> Column:
     return F.when(_field(*names).isNull(), f"missing one of {', '.join(names)}").alias("reject_reason")
 
 
-def learning_sessions(df: DataFrame, row_json: str = "row_json", path: str = "path") -> DataFrame:
+def learning_sessions(
+    df: DataFrame, row_json: str = "row_json", path: str = "path", keep: Iterable[str] = ()
+) -> DataFrame:
     """Lesson logs: topic label, hashed course, minutes, scores, completion.
 
     Rows without any time carry a ``reject_reason``.
@@ -302,6 +309,7 @@ def learning_sessions(df: DataFrame, row_json: str = "row_json", path: str = "pa
         "quiz_score", "score", "completed")
     times = ("occurred_at", "completed_at", "started_at", "date")
     return _parsed(df, row_json, names).select(
+        *keep,
         _field(*times).alias("occurred_at"),
         clean_label(_field("topic", "category", "skill")).alias("topic"),
         stable_hash(_field("course", "lesson", "title")).alias("course_hash"),
@@ -314,7 +322,9 @@ def learning_sessions(df: DataFrame, row_json: str = "row_json", path: str = "pa
     )
 
 
-def trade_entries(df: DataFrame, row_json: str = "row_json", path: str = "path") -> DataFrame:
+def trade_entries(
+    df: DataFrame, row_json: str = "row_json", path: str = "path", keep: Iterable[str] = ()
+) -> DataFrame:
     """Trade journal: hashed instrument, setup and notes; cleaned labels; returns and risk.
 
     Rows without any time carry a ``reject_reason``.
@@ -324,6 +334,7 @@ def trade_entries(df: DataFrame, row_json: str = "row_json", path: str = "path")
         "pnl_pct", "return_pct", "risk_pct", "duration_minutes", "emotion", "mood", "notes", "comment")
     times = ("occurred_at", "closed_at", "entry_time", "date")
     return _parsed(df, row_json, names).select(
+        *keep,
         _field(*times).alias("occurred_at"),
         clean_label(_field("asset_class", "market")).alias("asset_class"),
         stable_hash(_field("instrument", "symbol", "ticker")).alias("instrument_hash"),
@@ -359,12 +370,13 @@ def note_rows(df: DataFrame, row_json: str = "row_json", keep: Iterable[str] = (
     )
 
 
-def note_summaries(df: DataFrame, imported_at: str, path: str = "path") -> DataFrame:
+def note_summaries(df: DataFrame, imported_at: str, path: str = "path", keep: Iterable[str] = ()) -> DataFrame:
     """Notes (title, summary, tags text, mood) to hashes, word count and tags."""
     tags = F.transform(F.split(F.coalesce("tags", F.lit("")), ","), strip)
     kept = F.slice(F.filter(tags, lambda t: t != ""), 1, 12)
     labels = F.filter(F.transform(kept, lambda t: clean_label(t)), lambda t: t != "")
     return df.select(
+        *keep,
         first_filled("occurred_at", "created_at", "updated_at", "date", col(imported_at)).alias("occurred_at"),
         stable_hash("title").alias("title_hash"),
         stable_hash("summary").alias("summary_hash"),

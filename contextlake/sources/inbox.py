@@ -120,13 +120,14 @@ def scan_inbox(spark: SparkSession, root: str, read_content: bool = True) -> Dat
 
     Files that match no rule are dropped. All files are listed without their
     content; only JSON files are opened, to look at the keys of those whose
-    names decide nothing.
+    names decide nothing. ``file`` is the path as other readers write it.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    listed = with_kind(reader.load(root).select("path", "length"), text=None).filter(F.col("kind") != "")
+    columns = ("path", "length", F.col("_metadata.file_path").alias("file"))
+    listed = with_kind(reader.load(root).select(*columns), text=None).filter(F.col("kind") != "")
     if not read_content:
         return listed
     opened = reader.option("pathGlobFilter", "*.[jJ][sS][oO][nN]").load(root)
-    texts = opened.select("path", "length", F.col("content").cast("string").alias("text"))
+    texts = opened.select(*columns, F.col("content").cast("string").alias("text"))
     by_keys = with_kind(texts.filter(kind_by_name("path").isNull())).drop("text").filter(F.col("kind") != "")
     return listed.unionByName(by_keys)

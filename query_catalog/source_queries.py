@@ -8,7 +8,8 @@ from contextlake.operators import rollups
 from contextlake.schemas import BUS, ENVELOPE, INVENTORY_EVENT, ORDER_EVENT, PAYMENT_EVENT, RUNTIME_LOG
 from contextlake.session import work_dir
 from contextlake.sources import bus as bus_source
-from contextlake.sources import files, inbox, observations, tables
+from contextlake.plans import inbox as inbox_plan
+from contextlake.sources import csv_records, files, inbox, observations, tables
 from contextlake.streaming import jobs
 
 from .adapters import AS_OF, table, view
@@ -460,3 +461,119 @@ def managed_sources(spark, sf):
         F.when(e % 3 == 0, rss).when(e % 3 == 1, records).alias("text"),
     )
     return base.drop("text"), base.filter("text IS NOT NULL").select("subscription_id", "text")
+
+
+@query(
+    "w08_csv_record_numbers",
+    """SELECT event_id, user_id % 4 AS part, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS row_number,
+    event_type, round(value, 2) AS value FROM events""",
+)
+def _(spark, sf):
+    """Records of four CSV files read in splits of a few KB: numbers are those of the whole file."""
+    root = work_dir(spark, "w08-csv")
+    rows = table(spark, sf, "events").select(
+        (F.col("user_id") % 4).alias("part"), "event_id", F.concat(F.lit('a, "quoted" '), "event_type").alias("what"),
+        F.round("value", 2).alias("value"),
+    )
+    (
+        rows.repartition(4, "part").sortWithinPartitions("part", "event_id")
+        .write.partitionBy("part").option("header", True).option("escape", '"').csv(root)
+    )
+    fine = spark.newSession()
+    fine.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    fine.conf.set("spark.sql.files.openCostInBytes", "0")
+    numbered = work_dir(spark, "w08-numbered")
+    csv_records.csv_records(fine, root).write.parquet(numbered)
+    record = F.from_json("row_json", "event_id string, what string, value string")
+    found = spark.read.parquet(numbered).withColumn("r", record)
+    return found.select(
+        F.col("r.event_id").cast("long").alias("event_id"),
+        F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"),
+        "row_number",
+        F.regexp_replace("r.what", '^a, "quoted" ', "").alias("event_type"),
+        F.col("r.value").cast("double").alias("value"),
+    )
+
+
+@query(
+    "s19_inbox_to_envelopes",
+    """WITH trades AS (SELECT *, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS place, event_id % 7 <> 0 AS good FROM events),
+    sessions AS (SELECT *, row_number() OVER (PARTITION BY event_id // 500 ORDER BY event_id) AS place, event_id % 5 <> 0 AS good FROM events),
+    blocks AS (SELECT *, row_number() OVER (PARTITION BY event_id // 800 ORDER BY event_id) AS place FROM events),
+    nights AS (SELECT *, row_number() OVER (PARTITION BY event_id // 600 ORDER BY event_id) AS place, event_id % 9 <> 0 AS good FROM events)
+    SELECT 'trade_journal_summary' AS source_name, count(*) FILTER (good) AS n, count(*) FILTER (good) AS n_ids,
+           count(*) FILTER (NOT good) AS rejected, CAST(sum(place) FILTER (good) AS BIGINT) AS places,
+           CAST(sum(place) FILTER (NOT good) AS BIGINT) AS rejected_places, count(DISTINCT event_type) AS labels FROM trades
+    UNION ALL SELECT 'training_sessions', count(*) FILTER (good), count(*) FILTER (good), count(*) FILTER (NOT good),
+           CAST(sum(place) FILTER (good) AS BIGINT), CAST(sum(place) FILTER (NOT good) AS BIGINT), count(DISTINCT event_type) FILTER (good) FROM sessions
+    UNION ALL SELECT 'sleep_quality', count(*) FILTER (good), count(*) FILTER (good), count(*) FILTER (NOT good),
+           CAST(sum(place) FILTER (good) AS BIGINT), CAST(sum(place) FILTER (NOT good) AS BIGINT), 1 FROM nights
+    UNION ALL SELECT 'calendar_events', count(*), count(*), 0, CAST(sum(place) AS BIGINT), 0, 1 FROM blocks
+    UNION ALL SELECT 'personal_notes_summary', count(DISTINCT event_type), count(DISTINCT event_type), 0, count(DISTINCT event_type), 0,
+           count(DISTINCT event_type) FROM events""",
+)
+def _(spark, sf):
+    """CSV, JSON, note and calendar files of one folder, listed, parsed by kind and landed; rejected rows keep their number."""
+    e, root = F.col("event_id"), work_dir(spark, "s19-inbox")
+    events = table(spark, sf, "events")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    hashed = F.substring(F.sha2(F.col("event_type"), 256), 1, 16)
+    trades = events.select((F.col("user_id") % 4).alias("part"), "event_id", F.when(e % 7 != 0, day).alias("date"), F.col("event_type").alias("setup"))
+    trades = trades.repartition(4, "part").sortWithinPartitions("part", "event_id")
+    trades.write.partitionBy("part").option("header", True).csv(f"{root}/trades")
+    sessions = F.struct("event_id", F.when(e % 5 != 0, day).alias("date"), F.col("event_type").alias("activity_type"))
+    woke = F.date_format(F.col("ts") + F.expr("INTERVAL 8 HOURS"), "yyyy-MM-dd'T'HH:mm:ss")
+    nights = F.struct(
+        "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("slept_at"), woke.alias("woke_at"),
+        F.when(e % 9 != 0, F.lit(80)).otherwise(F.lit(0)).alias("quality_score"),
+    )
+    listed = lambda size, record: events.groupBy(F.floor(e / size)).agg(
+        F.to_json(F.array_sort(F.collect_list(record))).alias("text")
+    ).select("text")
+    start = F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'")
+    block = F.concat(F.lit("BEGIN:VEVENT\nDTSTART:"), start, F.lit("\nSUMMARY:work sync\nEND:VEVENT\n"))
+    calendars = events.groupBy(F.floor(e / 800)).agg(F.array_sort(F.collect_list(F.struct("event_id", block.alias("b")))).alias("x"))
+    notes = events.groupBy("event_type").agg(F.max(day).alias("day")).select(
+        F.concat(F.lit("---\ndate: "), "day", F.lit("\ntags: A, b\n---\n# about "), "event_type").alias("text")
+    )
+    for name, documents in (
+        ("sessions", listed(500, sessions)),
+        ("nights", listed(600, nights)),
+        ("calendars", calendars.select(F.array_join("x.b", "").alias("text"))),
+        ("notes", notes),
+    ):
+        documents.write.option("maxRecordsPerFile", 1).option("lineSep", "\n\n").text(f"{root}/{name}")
+    names = {"trades": "trade_log_{}.csv", "sessions": "training_{}.json", "nights": "sleep_{}.json", "calendars": "c{}.ics", "notes": "n{}.md"}
+    for folder, name in names.items():
+        _rename_parts(spark, f"{root}/{folder}", name)
+    landing, rejects = work_dir(spark, "s19-landing"), work_dir(spark, "s19-rejects")
+    inbox_plan.import_inbox(spark, root, landing, rejects, "2024-01-31 00:00:00", "2024-01-31")
+    payload = F.from_json("payload", "setup_hash string, activity_type string, row_number long, title_hash string")
+    landed = files.read_landing(spark, f"{landing}/*/dt=*/*").withColumn("p", payload).withColumn(
+        "place", F.element_at(F.split("idempotency_key", ":"), -1).cast("long")
+    )
+    label = F.coalesce("p.setup_hash", "p.activity_type", "p.title_hash", F.lit("-"))
+    accepted = landed.groupBy("source_name").agg(
+        rollups.rows("n"), F.count_distinct("event_id").alias("n_ids"), F.sum("place").alias("places"), F.count_distinct(label).alias("labels")
+    )
+    refused = spark.read.parquet(rejects).groupBy("source_name").agg(rollups.rows("rejected"), F.sum("row_number").alias("rejected_places"))
+    zero = F.lit(0).cast("long")
+    return accepted.join(refused, "source_name", "left").select(
+        "source_name", "n", "n_ids", F.coalesce("rejected", zero).alias("rejected"), "places",
+        F.coalesce("rejected_places", zero).alias("rejected_places"), "labels",
+    )
+
+
+def _rename_parts(spark, folder, pattern):
+    """Written part files, at any depth, under names that say what they are."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, k = fs.listFiles(path, True), 0
+    while found.hasNext():
+        file = found.next().getPath()
+        if file.getName().startswith("part-"):
+            fs.rename(file, jvm.org.apache.hadoop.fs.Path(file.getParent(), pattern.format(k)))
+            k += 1
+        elif file.getName() == "_SUCCESS":
+            fs.delete(file, False)
