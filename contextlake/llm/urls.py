@@ -9,8 +9,6 @@ from .common import ascii_lower, packed, stored
 
 #: Hex digits of the digest that the equi-join goes by.
 PREFIX_DIGITS = 8
-#: A rule table of up to so many rows is broadcast; a larger one is joined by shuffle.
-BROADCAST_RULES = 100_000
 
 
 def url_host(url: Column) -> Column:
@@ -23,12 +21,14 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), "^(?s:.*?)://[^/?#]*([^?#]*)", 1)
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and every host above it: ``a.b.c``, ``b.c``, ``c``."""
-    labels = F.split(host, "\\.", -1)
+def label_count(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
+def host_suffixes(host: Column, counts: Column) -> Column:
+    """Ends of the host of so many labels each: ``b.c`` of ``a.b.c`` for 2."""
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        F.filter(counts, lambda n: n <= label_count(host)), lambda n: F.call_function("substring_index", host, F.lit("."), -n)
     )
 
 
@@ -46,15 +46,17 @@ def judge_urls(
     for one rule text, ``block`` wins. Returns ``page`` (the row as a struct),
     ``host``, ``path``, ``rule`` (null if none fits), ``verdict`` (``default`` then).
 
-    Distinct (host, path) pairs are expanded into every host suffix times every
-    path prefix of a length that some rule has. Expressions meet the rules by a
+    Distinct (host, path) pairs are expanded into the host suffixes of a number of labels,
+    times the path prefixes of a length, that some rule has. Expressions meet the rules by a
     short digest prefix; the full digest confirms. Only pairs with a fitting rule
     come back, one row each, so a host with a third of all pages is split freely.
 
     Defined cases: a null url, or one without ``://``, has empty host and path;
     it meets only rules for the empty host. Rules with a null host or path count
     as empty there, with a null verdict not at all. Repeated pages stay repeated.
-    Empty pages or rules give an empty result or the default. Extra columns stay in ``page``.
+    A very long url costs one pass for each number of labels and each length of path that
+    rules have. Empty pages or rules give an empty result or the default. Extra columns
+    stay in ``page``.
     """
     parts = packed(pages, "page").select(
         "page",
@@ -67,29 +69,31 @@ def judge_urls(
             F.concat(ascii_lower(F.coalesce("host", F.lit(""))), F.coalesce("path", F.lit(""))).alias("rule"),
             F.length(F.coalesce("host", F.lit(""))).alias("host_length"),
             F.length(F.coalesce("path", F.lit(""))).alias("path_length"),
+            label_count(F.coalesce("host", F.lit(""))).alias("labels"),
             (F.col("verdict") == "block").alias("blocks"),
             "verdict",
         )
-        .groupBy("rule", "host_length", "path_length")
+        .groupBy("rule", "host_length", "path_length", "labels")
         .agg(F.max(F.struct("blocks", "verdict")).getField("verdict").alias("verdict"))
         .withColumn("digest", _digest(F.col("rule"), F.col("host_length")))
         .withColumn("short", F.substring("digest", 1, PREFIX_DIGITS))
     )
     wanted = stored(wanted, "url-rules")
-    # Lengths of rule paths: a set of small numbers, at most the longest path of a rule.
-    facts = wanted.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("path_length")).alias("lengths")).first()
-    lengths = F.array(*[F.lit(n) for n in facts["lengths"]]).cast("array<int>")
+    # Lengths of rule paths and label counts of rule hosts: sets of small numbers, bounded by the longest rule.
+    facts = wanted.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in ("path_length", "labels")]).first()
+    lengths, counts = (F.array(*[F.lit(n) for n in facts[c]]).cast("array<int>") for c in ("path_length", "labels"))
     expressions = (
         parts.select("host", "path")
         .distinct()
-        .select("host", "path", F.explode(host_suffixes(F.col("host"))).alias("suffix"))
+        .select("host", "path", F.explode(host_suffixes(F.col("host"), counts)).alias("suffix"))
         .select("*", F.explode(F.filter(lengths, lambda n: n <= F.length("path"))).alias("taken"))
         .withColumn("expression", F.concat("suffix", F.expr("substring(path, 1, taken)")))
         .withColumn("full", _digest(F.col("expression"), F.length("suffix")))
         .select("host", "path", "full", F.substring("full", 1, PREFIX_DIGITS).alias("short"))
     )
     found = (
-        expressions.join(F.broadcast(wanted) if facts["n"] <= BROADCAST_RULES else wanted, "short")
+        # The rules are a written table: the planner knows its bytes and picks the join by them.
+        expressions.join(wanted, "short")
         .filter(F.col("full") == F.col("digest"))
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length("rule").alias("size"), "host_length", "rule", "verdict")).alias("best"))
