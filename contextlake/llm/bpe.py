@@ -124,26 +124,27 @@ class WordBpe:
         self.merges = Merges(self.vocab, model["merges"])
         self.special = {t["content"].encode(): t["id"] for t in described["added_tokens"]}
         self.names |= {i: name.decode() for name, i in self.special.items()}
+        self.by_decimal = {str(i): name for i, name in self.names.items()}
         self._specials = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")")
         library = Tokenizer.from_file(path)
         self._normalize = library.normalizer.normalize_str
         self._split = library.pre_tokenizer.pre_tokenize_str
         self._words, self._units = Memory(), Memory()
 
-    def unit(self, unit: str) -> tuple[int, str, str]:
-        """Number of tokens, ids and token names (both blank-joined) of one pre-token,
-        written in the vocabulary's byte letters."""
+    def unit(self, unit: str) -> tuple[int, str]:
+        """Number of tokens and blank-joined ids of one pre-token, written in the
+        vocabulary's byte letters."""
         known = self._units[unit]
         if known is None:
             parts = [*unit[:-1], unit[-1] + self.suffix]
             ids = [self.vocab[p] for p in parts if p in self.vocab]
             ids = (merge_short if len(ids) <= SHORT_PARTS else merge_long)(ids, self.merges)
-            known = len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
+            known = len(ids), " ".join(map(str, ids))
             if len(unit) <= 64:
                 self._units.keep(unit, known)
         return known
 
-    def word(self, word: bytes) -> tuple[int, str, str]:
+    def word(self, word: bytes) -> tuple[int, str]:
         """The same of a word without white space."""
         known = self._words[word]
         if known is None:
@@ -159,29 +160,33 @@ class WordBpe:
                 known = (
                     found[0]
                     if len(found) == 1
-                    else (sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found]))
+                    else (sum([f[0] for f in found]), " ".join([f[1] for f in found]))
                 )
             if len(word) <= 64:
                 self._words.keep(word, known)
         return known
 
-    def pieces(self, text: bytes) -> Iterator[list[tuple[int, str, str]]]:
+    def pieces(self, text: bytes) -> Iterator[list[tuple[int, str]]]:
         """Encoded words of a text, block by block."""
         get, word = self._words.get, self.word
         for at, piece in enumerate(self._specials.split(text)):
             if at % 2:
                 i = self.special[piece]
-                yield [(1, str(i), self.names[i])]
+                yield [(1, str(i))]
                 continue
             for block in blocks(piece):
                 yield [known for w in block.split() if (known := get(w) or word(w))[0]]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for known in self.pieces(text.encode("utf-8")) for _, ids, _ in known for i in ids.split()]
+        return [int(i) for known in self.pieces(text.encode("utf-8")) for _, ids in known for i in ids.split()]
 
     def decode(self, ids: list[int]) -> str:
         """Token names joined by blanks: the vocabulary file has no decoder."""
-        return " ".join(self.names[i] for i in ids)
+        return " ".join([self.names[i] for i in ids])
+
+    def decode_written(self, ids: str) -> str:
+        """The same of decimal ids joined by blanks."""
+        return " ".join(map(self.by_decimal.__getitem__, ids.split(" ")))
 
 
 def blocks(text: bytes) -> Iterator[bytes]:
@@ -220,7 +225,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     def work(texts: pa.Array) -> list[pa.Array]:
         bpe = encoder(path)
         ids = [
-            [int(i) for known in bpe.pieces(t.as_py()) for _, part, _ in known for i in part.split()] for t in texts
+            [int(i) for known in bpe.pieces(t.as_py()) for _, part in known for i in part.split()] for t in texts
         ]
         return [pa.array(ids, pa.list_(pa.int32()))]
 
@@ -228,7 +233,13 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
 
 
 def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", doc_col: str = "doc") -> DataFrame:
-    """``doc`` and the decoded ``text`` of each row of ids (null ids: empty)."""
+    """``doc`` and the decoded ``text`` of each row of ids.
+
+    Defined cases: null and empty lists of ids give an empty text, special ids their own
+    strings. Ids that the vocabulary lacks fail. Repeated rows and null ids of documents do not
+    matter, ``doc`` is carried. A text of any length is joined at once. An empty table gives
+    an empty result.
+    """
 
     def run(batches):
         bpe = encoder(path)
@@ -245,9 +256,9 @@ def digest_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     """Encode and decode whole texts, keeping counts and digests only.
 
     ``doc``, ``n_tokens``, ``ids_sha256`` (decimal ids joined by blanks) and
-    ``decoded_sha256``. Ids and decoded text flow through the digests block by
-    block, so a text of any length needs little memory. Cases as in
-    :func:`encode_documents`.
+    ``decoded_sha256``, which is made from the ids alone. Ids and decoded text flow
+    through the digests block by block, so a text of any length needs little memory.
+    Cases as in :func:`encode_documents`.
     """
 
     def work(texts: pa.Array) -> list[pa.Array]:
@@ -261,8 +272,9 @@ def digest_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
                         ids.update(b" ")
                         names.update(b" ")
                     n += sum([k[0] for k in known])
-                    ids.update(" ".join([k[1] for k in known]).encode())
-                    names.update(" ".join([k[2] for k in known]).encode("utf-8"))
+                    written = " ".join([k[1] for k in known])
+                    ids.update(written.encode())
+                    names.update(bpe.decode_written(written).encode("utf-8"))
             counts.append(n)
             of_ids.append(ids.hexdigest())
             of_text.append(names.hexdigest())
