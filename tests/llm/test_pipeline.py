@@ -16,6 +16,7 @@ from test_text_operators import (
     fingerprint_by_hand,
     lower,
     mix_by_hand,
+    sha,
 )
 from tokenizers import Tokenizer
 
@@ -104,11 +105,32 @@ def test_stages(spark, documents):
     assert all(whole[i].startswith(t) for i, t, _ in mixed)
 
     library = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
-    last = made["BPE encoding"].select("doc_id", "ids", "n_tokens").collect()
-    assert Counter((i, tuple(ids)) for i, ids, _ in last) == Counter(
+    last = made[corpus_pipeline.STAGES[-1][0]].select("doc_id", "ids", "n_tokens", "decoded_sha256").collect()
+    assert Counter((i, tuple(ids)) for i, ids, *_ in last) == Counter(
         (i, tuple(library.encode(t, add_special_tokens=False).ids)) for i, t, _ in mixed
     )
-    assert all(n == len(ids) for _, ids, n in last)
+    assert all(n == len(ids) for _, ids, n, _ in last)
+    assert all(sha(library.decode(list(ids), skip_special_tokens=False)) == text for _, ids, _, text in last)
+
+
+def test_columns_of_the_stages_own_names(spark, documents):
+    """Documents that carry working names and a very long text go through every stage."""
+    names = ("n_tokens", "ids", "doc", "row", "kept", "key", "g", "take", "fp", "decoded_sha256", "lines", "size")
+    docs = documents.filter("doc_id IS NOT NULL").selectExpr("*", *[f"concat('x', doc_id) AS `{n}`" for n in names])
+    words = [f"{a}{b}{c}{d}" for a in "bdfgklm" for b in "aeiou" for c in "lmnrst" for d in "aeiou"]
+    rng = random.Random(3)
+    long = "\n".join(" ".join(rng.choice(words) for _ in range(14)) for _ in range(9000))
+    docs = docs.unionByName(docs.limit(1).withColumns({"text": F.lit(long), "doc_id": F.lit(999).cast("long"), "source": F.lit("long")}))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, None)
+        assert docs.dtypes == before.dtypes
+        docs = docs.persist()
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, None)
+    own = {"n_tokens", "ids", "decoded_sha256"}
+    assert [c for c in docs.columns if c not in own and c != "text"] == [c for c in last.columns if c not in own]
+    rows = last.select("doc_id", "n_tokens", "row", F.size("ids").alias("size")).collect()
+    assert all(r["n_tokens"] == r["size"] for r in rows)
+    assert sum(r["n_tokens"] for r in rows if r["doc_id"] == 999) > 100_000
 
 
 def test_run_writes_between_stages(spark, documents, tmp_path):
