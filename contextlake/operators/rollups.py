@@ -335,6 +335,32 @@ def ingest_profile(
     )
 
 
+#: Buckets of a key sketch are 2 to this power; its standard error is 0.8 %.
+SKETCH_LOG_BUCKETS = 14
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LOG_BUCKETS / 2)
+
+
+def minute_sketches(df: DataFrame, source: str, ts: str, key: str) -> DataFrame:
+    """Rows and a mergeable sketch of the distinct keys per source and minute.
+
+    Stored, these answer for any span of minutes without the rows; a sketch has at most
+    16 KB, however many keys it has seen.
+    """
+    return df.groupBy(source, F.date_trunc("minute", ts).alias("minute")).agg(
+        rows("rows"), F.hll_sketch_agg(key, SKETCH_LOG_BUCKETS).alias("keys")
+    )
+
+
+def merge_sketches(sketches: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+    """Sketches of spans from those of their minutes, or of larger spans from smaller ones."""
+    return sketches.groupBy(*keys).agg(F.sum("rows").alias("rows"), F.hll_union_agg("keys").alias("keys"))
+
+
+def sketched_keys(sketches: DataFrame) -> DataFrame:
+    """The estimate in the place of the sketch."""
+    return sketches.withColumn("approx_keys", F.hll_sketch_estimate("keys")).drop("keys")
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """Number of key groups with more than one copy, per ``by``."""
     copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

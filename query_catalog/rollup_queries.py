@@ -8,6 +8,8 @@ from contextlake.functions.times import minute
 from contextlake.operators import logs, quality, rollups, rules, sleep, tracks
 from contextlake.plans import daily
 
+from contextlake.session import work_dir
+
 from .adapters import AS_OF, table, view
 from .registry import half_up, query
 
@@ -679,3 +681,34 @@ def _(spark, sf):
         logs.run_health(view(spark, sf, "v_logs"), AS_OF, order=["event_id"]),
         rules.goal_progress(activity, rollups.weekly_counts(activity, "user_id", AS_OF)),
     )
+
+
+@query(
+    "a20_sketches_of_any_span",
+    """WITH spans AS (
+        SELECT event_source, 'hour' AS span, date_trunc('hour', ingested_at) AS start, record_key FROM v_bronze WHERE ingested_at IS NOT NULL
+        UNION ALL SELECT event_source, 'day', date_trunc('day', ingested_at), record_key FROM v_bronze WHERE ingested_at IS NOT NULL
+        UNION ALL SELECT event_source, 'month', date_trunc('month', ingested_at), record_key FROM v_bronze WHERE ingested_at IS NOT NULL)
+    SELECT event_source, span, start, count(*) AS rows, count(DISTINCT record_key) AS exact_keys, true AS within_bound FROM spans GROUP BY ALL""",
+    ("v_bronze",),
+)
+def _(spark, sf):
+    """Stored minute sketches united to hours, days and months, next to exact counts; the bound is four standard errors."""
+    bronze = view(spark, sf, "v_bronze").filter("ingested_at IS NOT NULL")
+    path = work_dir(spark, "a20-sketches")
+    rollups.minute_sketches(bronze, "event_source", "ingested_at", "record_key").write.parquet(path)
+    minutes = spark.read.parquet(path)
+    result = None
+    for span in ("hour", "day", "month"):
+        start = F.date_trunc(span, "minute").alias("start")
+        united = rollups.sketched_keys(rollups.merge_sketches(minutes, ["event_source", start]))
+        exact = bronze.groupBy("event_source", F.date_trunc(span, "ingested_at").alias("start")).agg(
+            F.count_distinct("record_key").alias("exact_keys")
+        )
+        bound = F.greatest(F.lit(1.0), 4 * rollups.SKETCH_ERROR * F.col("exact_keys"))
+        part = united.join(exact, ["event_source", "start"]).select(
+            "event_source", F.lit(span).alias("span"), "start", "rows", "exact_keys",
+            (F.abs(F.col("approx_keys") - F.col("exact_keys")) <= bound).alias("within_bound"),
+        )
+        result = part if result is None else result.unionByName(part)
+    return result

@@ -9,7 +9,7 @@ from contextlake.plans import medallion
 from contextlake.schemas import BUS
 from contextlake.session import work_dir
 from contextlake.sources import bus as bus_source
-from contextlake.streaming import jobs
+from contextlake.streaming import changes, jobs, late
 
 from .adapters import table
 from .projection_queries import bus
@@ -141,3 +141,60 @@ def _(spark, sf):
     return spark.read.parquet(sink).groupBy("payment_status").agg(
         rollups.rows("payments"), F.min("event_time").alias("first_time")
     )
+
+
+@query(
+    "s16_state_kept_from_a_stream",
+    """SELECT user_id, event_id AS version, event_type AS status FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'error'""",
+)
+def _(spark, sf):
+    """Change records out of order, in small batches of two runs, some delivered twice: the state of the batch query."""
+    image = F.struct("user_id", F.col("event_id").alias("version"), F.col("event_type").alias("status"))
+    gone = F.col("event_type") == "error"
+    record = F.struct(
+        F.when(gone, image).alias("before"),
+        F.when(~gone, image).alias("after"),
+        F.struct(F.col("event_id").alias("lsn"), F.lit("users").alias("table")).alias("source"),
+        F.when(gone, "d").when(F.col("event_id") % 2 == 0, "u").otherwise("c").alias("op"),
+    )
+    records = table(spark, sf, "events").select(F.to_json(record).alias("json_payload"), "event_id")
+    source, checkpoint = work_dir(spark, "s16-changes"), work_dir(spark, "s16-checkpoint")
+    path = work_dir(spark, "s16-state")
+    # The newest changes come first, and the second run starts anew on the same checkpoint.
+    for run in (1, 0):
+        part = records.filter((F.col("event_id") % 2 == run) | (F.col("event_id") % 10 == 3))
+        part.select("json_payload").repartition(4).write.mode("append").parquet(source)
+        stream = bus_source.read_file_stream(spark, source, part.select("json_payload").schema, max_files_per_trigger=1)
+        parsed = bus_source.parse_cdc(stream, "struct<user_id:bigint,version:bigint,status:string>")
+        changes.keep_state(parsed, changes.ChangeState(spark, path, ["user_id"], compact_every=3), checkpoint)
+    return changes.ChangeState(spark, path, ["user_id"]).current()
+
+
+@query(
+    "r05_late_rows_beside_counts",
+    """WITH runs AS (SELECT *, event_id % 5 = 0 AND ts < (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE AS second FROM events),
+    mark AS (SELECT max(ts) AS newest FROM runs WHERE NOT second),
+    judged AS (SELECT *, second AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <= newest - INTERVAL 1 MINUTE AS late FROM runs, mark)
+    SELECT 'on time' AS kind, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids, count(DISTINCT date_trunc('minute', ts)) AS minutes
+    FROM judged WHERE NOT late AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <= newest - INTERVAL 1 MINUTE
+    UNION ALL SELECT 'late', count(*), CAST(sum(event_id) AS BIGINT), count(DISTINCT date_trunc('minute', ts)) FROM judged WHERE late""",
+)
+def _(spark, sf):
+    """A fifth of the rows comes in a second run, after the watermark: counted minutes, and every late row once."""
+    from datetime import timedelta
+
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("at"))
+    newest = rows.agg(F.max("at")).first()[0]
+    second = (F.col("event_id") % 5 == 0) & (F.col("at") < F.lit(newest) - F.expr("INTERVAL 2 MINUTES"))
+    marked = rows.withColumn("second", second)
+    source, checkpoint = work_dir(spark, "r05-rows"), work_dir(spark, "r05-late-checkpoint")
+    counts = late.MinuteCounts(spark, work_dir(spark, "r05-minutes"), "at", "event_id", timedelta(minutes=1))
+    for run in (False, True):
+        marked.filter(F.col("second") == run).drop("second").coalesce(1).write.mode("append").parquet(source)
+        late.keep_minutes(bus_source.read_file_stream(spark, source, rows.schema), counts, checkpoint)
+    closed = counts.closed().agg(F.sum("rows").alias("rows"), F.sum("total").alias("ids"), rollups.rows("minutes"))
+    behind = counts.late().agg(
+        rollups.rows("rows"), F.sum("event_id").alias("ids"), F.count_distinct(F.date_trunc("minute", "at")).alias("minutes")
+    )
+    return closed.select(F.lit("on time").alias("kind"), "*").unionByName(behind.select(F.lit("late").alias("kind"), "*"))
