@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contextlake.operators import latest, logs, rollups, rules, signals
+from contextlake.operators import asof, latest, logs, rollups, rules, signals
 from contextlake.sources import files
 
 from .adapters import AS_OF, table, view
@@ -400,3 +400,40 @@ def _(spark, sf):
     customers = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("name"))
     buyers = view(spark, sf, "v_ri_orders").select(F.col("customer_id").cast("string").alias("name"))
     return set_difference(customers, buyers, "customers", "buyers")
+
+
+@query(
+    "j09_known_then",
+    """WITH asked AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+    facts AS (SELECT user_id, ts, max(event_id) AS fact_id, max_by(value, event_id) AS fact_value FROM events
+        WHERE event_type = 'click' GROUP BY user_id, ts)
+    SELECT asked.event_id, fact_id, fact_value FROM asked ASOF LEFT JOIN facts ON asked.user_id = facts.user_id AND asked.ts >= facts.ts""",
+    text=("fact_id",),
+)
+def _(spark, sf):
+    """Each purchase with the last click of its user up to then; chunks of six hours carry over."""
+    from datetime import timedelta
+
+    events = table(spark, sf, "events")
+    asked = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    facts = events.filter("event_type = 'click'").select("event_id", "user_id", "ts", "value")
+    found = asof.known_then(asked, facts, ["user_id"], "ts", "ts", tie=["event_id"], chunk=timedelta(hours=6))
+    return found.select("event_id", F.col("known.event_id").alias("fact_id"), F.col("known.value").alias("fact_value"))
+
+
+@query(
+    "d03_scores_known_when_recommended",
+    """WITH asked AS (SELECT event_id, user_id % 7 AS place, ts FROM events WHERE event_id % 3 = 0),
+    facts AS (SELECT user_id % 7 AS place, ts + INTERVAL 1 HOUR AS since, max(event_id) AS fact_id FROM events WHERE event_id % 3 = 1 GROUP BY 1, 2)
+    SELECT asked.event_id, fact_id FROM asked ASOF LEFT JOIN facts ON asked.place = facts.place AND asked.ts > facts.since""",
+    text=("fact_id",),
+)
+def _(spark, sf):
+    """Scores are known an hour after their event; a recommendation sees those from before it, not from its own moment."""
+    events = table(spark, sf, "events").withColumn("place", F.col("user_id") % 7)
+    asked = events.filter("event_id % 3 = 0").select("event_id", "place", "ts")
+    facts = events.filter("event_id % 3 = 1").select(
+        "event_id", "place", (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("since")
+    )
+    found = asof.known_then(asked, facts, ["place"], "ts", "since", tie=["event_id"], inclusive=False)
+    return found.select("event_id", F.col("known.event_id").alias("fact_id"))

@@ -99,3 +99,29 @@ def test_sketches_of_parts_are_the_sketch_of_the_whole(spark):
     direct = rows.agg(F.hll_sketch_estimate(F.hll_sketch_agg("key", rollups.SKETCH_LOG_BUCKETS))).first()[0]
     assert whole["rows"] == 40_000 and abs(whole["approx_keys"] - 9000) <= 4 * rollups.SKETCH_ERROR * 9000
     assert abs(whole["approx_keys"] - direct) <= 1
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_moments_see_the_last_earlier_fact(spark, inclusive):
+    from contextlake.operators.asof import known_then
+
+    rng = random.Random(4)
+    base = datetime(2024, 1, 1)
+    time = lambda: None if rng.random() < 0.05 else base + timedelta(minutes=rng.randint(0, 4000))
+    # Key 1 has most of the rows, over several chunks.
+    key = lambda: rng.choice([1] * 8 + [2, 3, None])
+    facts = [(k, key(), time()) for k in range(300)]
+    moments = [(k, key(), time()) for k in range(300)] + [(5, 1, base)] * 2
+    want = []
+    for i, k, t in moments:
+        known = [
+            (s, n) for n, kk, s in facts
+            if k is not None and kk == k and t is not None and s is not None and (s <= t if inclusive else s < t)
+        ]
+        want.append((i, k, t, max(known)[1] if known else None))
+    got = known_then(
+        spark.createDataFrame(moments, "id int, k int, t timestamp"), spark.createDataFrame(facts, "n int, k int, t timestamp"),
+        ["k"], "t", "t", tie=["n"], inclusive=inclusive, chunk=timedelta(hours=5),
+    ).select("id", "k", "t", "known.n")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert not any(x in got._jdf.queryExecution().executedPlan().toString() for x in ("NestedLoop", "Cartesian", "Python"))
