@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from contextlake.operators import quality, rollups
+from contextlake.operators import quality, rollups, suite_state
 from contextlake.schemas import READINESS_DECISIONS, SIGNAL_DOMAINS
-from contextlake.session import config_frame
+from contextlake.session import config_frame, work_dir
 
 from .adapters import AS_OF, table, view
 from .registry import query
@@ -366,3 +366,29 @@ def _(spark, sf):
         rows, "payload", ["event_id"], ["latitude", "hourly"], ("$.hourly.time", ["$.hourly.rain"]),
         {"$.urgency": (1, 10)}, {"$.full_name": "^[^/]+/[^/]+$"},
     )
+
+
+@query(
+    "q01_suite_over_loads",
+    f"SELECT id, dataset, severity, round(observed, 4) AS observed, passed FROM ({SUITE_SQL}) WHERE dataset IN ('feedback', 'scores')",
+    SUITE_VIEWS,
+)
+def _(spark, sf):
+    """Loads of two tables, each checked by its own partitions; one partition is written twice. Numbers of the full scan."""
+    names = ("feedback", "scores")
+    state = suite_state.SuiteState(spark, work_dir(spark, "q01-state"), quality.core_suite())
+    for name in names:
+        rows = view(spark, sf, SUITE_TABLES[name])
+        part = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+        path = work_dir(spark, f"q01-{name}")
+        rows = rows.withColumn("part", F.when(part > 0, part))
+        for load, wanted in enumerate((F.col("part") == 1, F.col("part") == 1, F.col("part").isNull(), F.col("part") == 2)):
+            brought = rows.filter(wanted)
+            # The first load of a partition holds half of it; the second replaces it.
+            some = brought.filter(F.xxhash64(*rows.columns) % 2 == 0) if load == 0 else brought
+            some.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+            state.add(load, name, spark.read.schema(rows.schema).parquet(path), "part", brought)
+        if name == "scores":
+            state.compact(name)
+    result = state.results(names, AS_OF)
+    return result.withColumn("observed", F.round("observed", 4))

@@ -125,3 +125,42 @@ def test_moments_see_the_last_earlier_fact(spark, inclusive):
     ).select("id", "k", "t", "known.n")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
     assert not any(x in got._jdf.queryExecution().executedPlan().toString() for x in ("NestedLoop", "Cartesian", "Python"))
+
+
+def test_suite_state_reads_touched_partitions_only(spark):
+    from contextlake.operators import quality, suite_state
+
+    suite = [
+        quality.Expectation("rows", "t", "row_count", threshold=2),
+        quality.Expectation("bad", "t", "violations", F.col("x") < 0),
+        quality.Expectation("fresh", "t", "freshness", F.col("at"), threshold=60),
+    ]
+    state = suite_state.SuiteState(spark, work_dir(spark, "suite"), suite)
+    path, as_of = work_dir(spark, "suite-table"), "2024-01-01 02:00:00"
+    schema = "x int, at timestamp, day string"
+    at = lambda m: datetime(2024, 1, 1, 1, m)
+    loads = [
+        [(1, at(0), "a"), (-1, at(1), "a"), (5, None, "b")],
+        [(-2, at(50), None)],
+        [(3, at(2), "a")],  # the day is written again, without its violation
+    ]
+
+    def observed(results):
+        return {r["id"]: (r["observed"], r["passed"]) for r in results.collect()}
+
+    for n, rows in enumerate(loads):
+        brought = spark.createDataFrame(rows, schema)
+        brought.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+        table = spark.read.schema(schema).parquet(path)
+        state.add(n, "t", table, "day", brought)
+        whole = observed(quality.run_expectations({"t": table}, suite, as_of))
+        assert observed(state.results(["t"], as_of)) == whole
+    state.compact("t")
+    assert observed(state.results(["t"], as_of)) == whole and whole["rows"] == (3.0, True)
+    touched = suite_state.touched_partitions(spark.createDataFrame([("a",)], "day string"), ["day"], work_dir(spark, "suite-a"))
+    rows = state.touched_rows(table, touched, "day")
+    assert rows.count() == 1
+    assert "dynamicpruning" in rows._jdf.queryExecution().executedPlan().toString().lower()
+    # An emptied partition counts as such.
+    state.add(9, "t", table.filter("day <> 'b'"), "day", spark.createDataFrame([("b",)], "day string"))
+    assert observed(state.results(["t"], as_of))["rows"] == (2.0, False)
