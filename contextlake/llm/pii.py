@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import let, packed, stored, whole_text
@@ -128,6 +129,41 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda t: F.lower(t)))
 
 
+def protected(span: Column) -> Column:
+    """What a span protects: its value, and the class of values that it belongs to.
+
+    A single value is too rare for counts in most corpora; the domain of an address, the
+    network of an IP, the issuer of a card and the country code of a phone are not.
+    """
+    value = F.lower(span["value"])
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    group = (
+        F.when(span["kind"] == "email", F.substring_index(value, "@", -1))
+        .when(span["kind"] == "ip", F.substring_index(value, ".", 3))
+        .when(span["kind"] == "card", F.substring(digits, 1, 6))
+        .otherwise(F.substring(digits, 1, 2))
+    )
+    return F.array(F.concat_ws(":", span["kind"], value), F.concat_ws(":", span["kind"], F.lit("class"), group))
+
+
+def _apart(base: DataFrame, added: DataFrame, doc_key: list[str]) -> DataFrame:
+    """Rows of ``added`` that overlap no span of ``base`` of their document.
+
+    Both are sorted by start within a document: a span overlaps if one that starts before
+    ends after its start, or the next one starts before its end.
+    """
+    both = base.select(*doc_key, F.lit(None).cast("string").alias("kind"), "start", "end", F.lit(None).cast("string").alias("value"))
+    both = both.unionByName(added)
+    upto = W.partitionBy(*doc_key).orderBy("start").rangeBetween(W.unboundedPreceding, W.currentRow)
+    onward = W.partitionBy(*doc_key).orderBy("start").rangeBetween(W.currentRow, W.unboundedFollowing)
+    is_base = F.col("kind").isNull()
+    met = both.withColumn("before", F.max(F.when(is_base, F.col("end"))).over(upto)).withColumn(
+        "after", F.min(F.when(is_base, F.col("start"))).over(onward)
+    )
+    overlaps = (F.col("before") > F.col("start")) | (F.col("after") < F.col("end"))
+    return met.filter(~is_base & ~F.coalesce(overlaps, F.lit(False))).drop("before", "after")
+
+
 def find_personal_data(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -140,7 +176,8 @@ def find_personal_data(
     """``doc`` (the row as a struct, without its text unless ``keep_text``), ``base`` and ``spans``.
 
     ``base`` holds the spans of the patterns. Their values are the protected
-    entities. For an entity e and a term t of a document with e, wherever it
+    entities, and so are the classes of values that :func:`protected` names: a term that
+    tells the domain of an address tells something of every address there. For an entity e and a term t of a document with e, wherever it
     stands, corpus counts of documents give P(e), P(t) and P(e, t); the
     disclosure of e by t is the pointwise mutual information over the
     information of e:
@@ -181,7 +218,7 @@ def find_personal_data(
     marked = stored(based.withColumn("text", F.when(F.size("base") > 0, F.col("text"))), "pii-spans")
     held = marked.filter(F.size("base") > 0)
     doc_key = ["id_hash", "text_hash"]
-    entities = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    entities = F.array_distinct(F.flatten(F.transform("base", protected)))
     owners = held.select(*doc_key, F.explode(entities).alias("entity")).groupBy("entity", *doc_key).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
@@ -224,23 +261,21 @@ def find_personal_data(
         .select("term", F.when(F.col("disclosure") >= remove_at, "term").otherwise("hint").alias("kind")),
         "pii-terms",
     )
-    added = (
+    placed = (
         held.select(*doc_key, F.explode(matches(F.col("text"), TERM)).alias("at"))
         .withColumn("term", F.lower("at.value"))
         .join(telling, "term")
-        .groupBy(*doc_key)
-        .agg(
-            F.sort_array(
-                F.collect_set(F.struct("kind", "at.start", "at.end", F.col("term").alias("value")))
-            ).alias("added")
-        )
+        .select(*doc_key, "kind", "at.start", "at.end", F.col("term").alias("value"))
+        .distinct()
+    )
+    standing = held.select(*doc_key, F.explode("base").alias("at")).select(*doc_key, "at.start", "at.end")
+    added = _apart(standing, placed, doc_key).groupBy(*doc_key).agg(
+        F.sort_array(F.collect_list(F.struct("kind", "start", "end", "value"))).alias("added")
     )
-    overlaps = lambda a: F.exists("base", lambda b: (a["start"] < b["end"]) & (a["end"] > b["start"]))
-    fresh = F.filter("added", lambda a: ~overlaps(a))
     return marked.join(added, doc_key, "left").select(
         "doc",
         "base",
-        F.when(F.col("added").isNull(), F.col("base")).otherwise(F.concat("base", fresh)).alias("spans"),
+        F.when(F.col("added").isNull(), F.col("base")).otherwise(F.concat("base", "added")).alias("spans"),
     )
 
 
