@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import packed, unpacked, whole_text, word_count
+from .common import unpacked, whole_text, word_count
 
-#: Hex digits of the random key that name a block: 4096 blocks a source.
-BLOCK_DIGITS = 3
+#: Documents of a block on average at most; a block is sorted and summed in one task.
+BLOCK_ROWS = 65_536
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], most_repeats: int) -> DataFrame:
@@ -51,6 +51,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], most_repeats: int)
     )
 
 
+def block_digits(rows: int, block_rows: int = BLOCK_ROWS) -> int:
+    """Hex digits of a key that name a block: 4,096 blocks a source, more for many rows."""
+    digits = 3
+    while rows > block_rows * 16**digits:
+        digits += 1
+    return digits
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Sequence[int] = (5, 2, 1),
@@ -59,6 +67,8 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    keep_text: bool = False,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """How many words of each document a mix with the given source weights takes.
 
@@ -66,31 +76,34 @@ def mix_sources(
     digits range-partition each source into blocks in key order; block sums give
     each block its start, and a running sum inside the block the start of every
     document. A source is taken whole as often as its budget holds it; the rest
-    of the budget cuts the key order at an exact word. Returns ``doc`` (the row
-    as a struct), ``size``, ``source_size``, ``target``, ``copies`` (whole
+    of the budget cuts the key order at an exact word. Texts are hashed and counted where
+    they are read and only moved with ``keep_text``. Returns ``doc`` (the row
+    as a struct, without its text unless ``keep_text``), ``size``, ``source_size``, ``target``, ``copies`` (whole
     repeats), ``part`` (words of one more repeat, the size itself for a whole
     one), ``taken`` = copies * size + part.
 
     The sum of ``taken`` over a source is its target rounded down. Reruns agree:
-    nothing depends on partitioning. A source with a third of all rows is spread
-    over 4096 blocks; no block or source is gathered, sums stream.
+    nothing depends on partitioning. A source with a third of all rows is spread over 4,096
+    blocks, and over more when blocks would have more than ``block_rows`` rows; no block or
+    source is gathered, sums stream.
 
     Defined cases: a null text has size 0, and nothing is taken from it. A null
     source is a source of its own, ordered last; the empty name is another one.
     Repeated rows are separate documents; equal rows are interchangeable. A null
     id takes part through its text. An empty table gives an empty result.
     """
-    text = whole_text(f"doc.`{text_col}`")
-    source = F.col("doc").getField(source_col).cast("string")
-    row_id = F.col("doc").getField(id_col).cast("string")
+    text = whole_text(f"`{text_col}`")
+    source = F.col(f"`{source_col}`").cast("string")
+    row_id = F.col(f"`{id_col}`").cast("string")
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(row_id, F.lit("null")), F.lit(":"), F.md5(text)))
-    sized = packed(docs).select(
-        "doc",
+    columns = [c for c in docs.columns if keep_text or c != text_col]
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
         # Names sort by code point; the prefix puts the null source after all.
         F.coalesce(F.concat(F.lit("0"), source), F.lit("1")).alias("g"),
         key.alias("key"),
         word_count(text).alias("size"),
-    ).withColumn("block", F.substring("key", 1, BLOCK_DIGITS))
+    ).withColumn("block", F.substring("key", 1, block_digits(docs.count(), block_rows)))
     blocks = sized.groupBy("g", "block").agg(F.sum("size").alias("block_size"))
     targets = source_targets(
         blocks.groupBy("g").agg(F.sum("block_size").alias("source_size")), weights, most_repeats
@@ -122,9 +135,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document appears once for every whole repeat; the one at the cut of its
     source appears once more with its first ``part`` words, white space as it was.
+
+    Defined cases as in :func:`mix_sources`: null and empty texts have no words and are never
+    taken. Repeated rows and ties of the key are separate documents. Very long texts are cut
+    without recursion. Rows with a null id or source take part. An empty table gives an
+    empty result; extra columns are carried, whatever their names.
     """
     text_col = options.get("text_col", "text")
-    mixed = mix_sources(docs, **options)
+    mixed = mix_sources(docs, keep_text=True, **options)
     text = F.col("doc").getField(text_col)
     repeats = F.when(F.col("copies") > 0, F.array_repeat(F.lit(-1).cast("long"), F.col("copies").cast("int"))).otherwise(
         F.array().cast("array<bigint>")
