@@ -155,6 +155,11 @@ def near_duplicates(
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the one that stays."""
+    """The rows of ``docs`` without near copies: of each component the one that stays.
+
+    Defined cases as in :func:`near_duplicates`: texts without words, null or empty, are one
+    group; of ties and repeated rows one stays, rows with a null id last. Very long texts
+    are hashed whole. An empty table gives an empty result; all columns keep their names.
+    """
     found = near_duplicates(docs, id_col, text_col, keep_text=True).filter("stays")
     return unpacked(found, docs, {})
