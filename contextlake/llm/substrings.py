@@ -32,7 +32,8 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> D
     """One row per chunk of documents: ``chunk``, ``docs``, ``ids``, ``lengths``, ``texts`` (Zstandard).
 
     Made where the rows are read, without a shuffle. The table is bucketed by
-    ``chunk`` in the shared folder, so that later joins move the other side only.
+    ``chunk`` in the shared folder, so that later joins move the other side only. Its
+    name leaves the catalog at once: the frame knows its files.
     """
     columns = [c for c in docs.columns if c != text_col]
     rows = docs.select(
@@ -80,7 +81,9 @@ def _chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> D
     rows.mapInArrow(run, schema).write.bucketBy(buckets, "chunk").option("path", path).option(
         "compression", "uncompressed"
     ).saveAsTable(name)
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def _each(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -361,6 +364,8 @@ def remove_repeats(
     chunk, and one bit comes back for each. The buckets' number grows with the
     chunks', so a bucket stays as small as a chunk.
 
+    Ids must be whole numbers: they are compared as such.
+
     Defined cases: null and empty texts have no words. Rows without an id keep
     all words and count for nobody. Rows that repeat an id do not cut each other.
     Texts of fewer words than a window stay. Empty tables give an empty result;
