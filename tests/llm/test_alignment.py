@@ -97,7 +97,7 @@ def by_hand(rows):
 # The small range makes every bucket a pass of its own.
 @pytest.mark.parametrize("range_slots", [alignment.RANGE_SLOTS, 1])
 def test_alignment_equals_whole_texts(frame, rows, by_hand, range_slots, monkeypatch):
-    monkeypatch.setattr(alignment, "BUCKET_KEYS", 700)
+    monkeypatch.setattr(alignment, "BUCKET_KEYS", 2000)
     found = alignment.align_tokenizers(frame(rows, partitions=5), *PATHS, range_slots=range_slots)
     columns = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
     got = sorted([tuple(r) for r in found.select("doc.doc_id", *columns).collect()], key=repr)

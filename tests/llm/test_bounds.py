@@ -9,7 +9,7 @@ import duckdb
 import pyarrow as pa
 from test_text_operators import mix_by_hand
 
-from contextlake.llm import mixing, quality, queries, urls
+from contextlake.llm import mixing, quality, queries, substrings, urls
 
 
 def test_very_long_urls_take_seconds(spark):
@@ -71,3 +71,9 @@ def test_sample_stays_where_it_is_read(frame, cases, monkeypatch):
     monkeypatch.setattr(quality, "map_texts", seen)
     quality.order_rules(frame(cases), sample_rows=10)
     assert plans and "Sample" in plans[0] and plans[0].count("Exchange") == 1  # the test frame's own
+
+
+def test_substring_dedup_leaves_no_table(spark, frame, cases):
+    before = {t.name for t in spark.catalog.listTables()}
+    kept = substrings.remove_repeats(frame(cases))
+    assert {t.name for t in spark.catalog.listTables()} == before and kept.count() == len(cases)
