@@ -95,17 +95,33 @@ def landing_objects(events: DataFrame) -> DataFrame:
     return events.withColumns({c: F.try_parse_json(c) for c in OBJECT_FIELDS})
 
 
-def write_landing(events: DataFrame, root: str, dt: str | Column | None = None) -> None:
+#: Lines of a compressed landing file at most: it is read by one task.
+LINES_PER_FILE = 200_000
+
+
+def landing_writer(lines: DataFrame, compression: str | None = "gzip") -> DataFrameWriter:
+    """Writer of JSON lines; compressed ones are cut into files that one task reads in seconds."""
+    writer = lines.write.mode("append")
+    if compression is None:
+        return writer
+    return writer.option("compression", compression).option("maxRecordsPerFile", LINES_PER_FILE)
+
+
+def write_landing(
+    events: DataFrame, root: str, dt: str | Column | None = None, compression: str | None = None
+) -> None:
     """Append envelopes as JSON lines under ``landing_source=<source>/dt=<date>``.
 
-    The partition columns move into the path; a record keeps its own source name.
+    The partition columns move into the path; a record keeps its own source name. With
+    ``compression`` (``gzip``) the files end in ``.json.gz`` and take about a tenth of the space;
+    readers need no option for them, and plain files may lie beside them.
     """
     day = F.current_date() if dt is None else (F.lit(dt) if isinstance(dt, str) else dt)
     staged = landing_objects(events).withColumns(
         {"landing_source": F.col("source_name"), "dt": day.cast("string")}
     )
     spread = staged.hint("rebalance", "landing_source", "dt")
-    spread.write.mode("append").partitionBy("landing_source", "dt").json(root)
+    landing_writer(spread, compression).partitionBy("landing_source", "dt").json(root)
 
 
 def landing_manifest(landing: DataFrame, path_col: str = "landing_file") -> DataFrame:

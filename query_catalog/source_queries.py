@@ -146,7 +146,7 @@ def _(spark, sf):
     from contextlake.sinks.tables import write_landing
 
     root = work_dir(spark, "landing")
-    write_landing(landing_events(spark, sf), root, "2024-01-31")
+    write_landing(landing_events(spark, sf), root, "2024-01-31", compression="gzip")
     landing = files.read_landing(spark, f"{root}/*/dt=*/*")
     number = F.coalesce(
         F.get_json_object("payload", "$.urgency"), F.get_json_object("payload", "$.visibility_m")
