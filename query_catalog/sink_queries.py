@@ -105,7 +105,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     root = work_dir(spark, "k06")
-    sinks.write_landing(landing_events(spark, sf), root, "2024-01-31")
+    sinks.write_landing(landing_events(spark, sf), root, "2024-01-31", compression="gzip")
     manifest = sinks.landing_manifest(files.read_landing(spark, f"{root}/*/dt=*/*"))
     source = F.regexp_extract("path", r"landing_source=([^/]+)/", 1)
     return manifest.groupBy(source.alias("source_name")).agg(F.sum("rows").alias("events"))
