@@ -334,7 +334,7 @@ def _(spark, sf):
         .unionByName(lines.withColumn("ingested_at", F.lit("2024-03-01T00:00:00Z")))
     )
     root, base = work_dir(spark, "k18-odd-landing"), work_dir(spark, "k18-odd-lake")
-    odd.write.json(f"{root}/landing_source=odd/dt=2024-01-31")
+    sinks.landing_writer(odd).json(f"{root}/landing_source=odd/dt=2024-01-31")
     paths = {layer: f"{base}/{layer}" for layer in ("bronze", "silver", "gold")}
     for _run in range(2):
         medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths.values(), work_dir(spark, "k18-odd-staging"))
