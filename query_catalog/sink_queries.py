@@ -384,7 +384,7 @@ def _(spark, sf):
     root, base = work_dir(spark, "k18-ids-landing"), work_dir(spark, "k18-ids-lake")
     paths = {layer: f"{base}/{layer}" for layer in ("bronze", "silver", "gold")}
     for k, changed in enumerate(({}, later, {**later, **other})):
-        first.withColumns(changed).write.json(f"{root}/landing_source=ids/dt=2024-01-3{k}")
+        sinks.landing_writer(first.withColumns(changed)).json(f"{root}/landing_source=ids/dt=2024-01-3{k}")
         medallion.load_medallion(spark, f"{root}/*/dt=*/*", *paths.values(), work_dir(spark, "k18-ids-staging"))
     counts = [
         spark.read.parquet(path)
