@@ -16,22 +16,28 @@ def normalize_sleep(
     """(valid nights, rejected rows with a reason) from text columns."""
     start, end = parse_iso("slept_at"), parse_iso("woke_at")
     quality_text = F.coalesce(F.col("quality_score").cast("string"), F.lit("0"))
-    timed = df.withColumn(
-        "duration_minutes", F.floor(seconds_between(start, end) / 60).cast("int")
-    ).withColumn(
-        "in_bed", F.coalesce(F.nullif(strict_int("in_bed_minutes"), F.lit(0)), F.col("duration_minutes"))
+    numbers = F.struct(
+        F.floor(seconds_between(start, end) / 60).cast("int").alias("duration_minutes"),
+        F.nullif(strict_int("in_bed_minutes"), F.lit(0)).alias("in_bed"),
+        bounded_int(quality_text, 1, 100).alias("quality_score"),
+        bounded_int(F.coalesce(F.col("recovery_score").cast("string"), quality_text), 1, 100).alias(
+            "recovery_score"
+        ),
+    )
+    # A generated column is worked out once; the rules below, pushed past a projection, would
+    # each read the times again.
+    timed = df.select("*", F.explode(F.array(numbers)).alias("_n")).withColumn(
+        "in_bed", F.coalesce("_n.in_bed", "_n.duration_minutes")
     )
     rows = timed.select(
         *keep,
         F.nullif("slept_at", F.lit("")).alias("slept_at"),
         F.nullif("woke_at", F.lit("")).alias("woke_at"),
-        "duration_minutes",
+        F.col("_n.duration_minutes").alias("duration_minutes"),
         "in_bed",
-        bounded_int(quality_text, 1, 100).alias("quality_score"),
-        bounded_int(F.coalesce(F.col("recovery_score").cast("string"), quality_text), 1, 100).alias(
-            "recovery_score"
-        ),
-        F.round(F.col("duration_minutes") / F.nullif("in_bed", F.lit(0)), 3).alias("sleep_efficiency"),
+        F.col("_n.quality_score").alias("quality_score"),
+        F.col("_n.recovery_score").alias("recovery_score"),
+        F.round(F.col("_n.duration_minutes") / F.nullif("in_bed", F.lit(0)), 3).alias("sleep_efficiency"),
         F.coalesce(F.nullif("source", F.lit("")), F.lit(source)).alias("source"),
     )
     valid, rejected = split_valid(

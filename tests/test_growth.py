@@ -64,3 +64,10 @@ def test_landing_of_large_tables_is_compressed(spark, events, monkeypatch, name)
     assert QUERIES[name](spark, events).count() > 0
     found = [f for root in made for f in glob.glob(f"{root}/**/*.json*", recursive=True)]
     assert found and all(f.endswith(".json.gz") for f in found)
+
+
+def test_times_of_a_night_are_read_once(spark):
+    names = ("slept_at", "woke_at", "in_bed_minutes", "quality_score", "recovery_score", "source", "user_id")
+    nights = spark.range(3).select(*[F.concat(F.lit("2024"), "id").alias(c) for c in names])
+    valid, _rejected = sleep.normalize_sleep(nights, keep=("user_id",))
+    assert plan_of(valid.select("user_id", "duration_minutes")).count("timestampdiff") == 1
