@@ -223,9 +223,13 @@ SUMMARY_SPECS = {
 
 
 def _parsed(df: DataFrame, row_json: str, names: Iterable[str]) -> DataFrame:
-    """Record text parsed once into a struct of text fields ``_r``."""
+    """Record text parsed once into a struct of text fields ``_r``.
+
+    The struct is a generated column: filters on its fields stay above it. Pushed below, each
+    of them would parse the record again, once per field it names.
+    """
     fields = StructType([StructField(n, StringType()) for n in dict.fromkeys(names)])
-    return df.withColumn("_r", F.from_json(row_json, fields))
+    return df.select("*", F.explode(F.array(F.from_json(row_json, fields))).alias("_r"))
 
 
 def _field(*names: str) -> Column:

@@ -71,3 +71,11 @@ def test_times_of_a_night_are_read_once(spark):
     nights = spark.range(3).select(*[F.concat(F.lit("2024"), "id").alias(c) for c in names])
     valid, _rejected = sleep.normalize_sleep(nights, keep=("user_id",))
     assert plan_of(valid.select("user_id", "duration_minutes")).count("timestampdiff") == 1
+
+
+def test_a_record_is_parsed_once(spark):
+    rows = spark.range(3).select(F.lit("{}").alias("x"), F.to_json(F.struct("id")).alias("row_json"), F.lit("a.json").alias("path"), "id")
+    rows = rows.withColumn("row_number", F.col("id"))
+    for kind in ("training_sessions", "tasks_and_projects"):
+        part = imports.summarize_source(rows, kind).filter(F.col("reject_reason").isNull()).select("row_number", "labels", "metrics")
+        assert plan_of(part).count("from_json") == 1
