@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import map_texts
+from .common import ROWS_AT_ONCE, map_texts
 
 _NONE = 1 << 60
 #: Words of more parts than this are merged through a heap, in n log n steps.
@@ -210,6 +210,15 @@ def encoder(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@cache
+def id_names(path: str) -> dict[int, str]:
+    """Token names by id, all that decoding needs: a worker that decodes holds no merges and no words."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    names = {i: name for name, i in described["model"]["vocab"].items()}
+    return names | {t["id"]: t["content"] for t in described["added_tokens"]}
+
+
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Token ids of every whole text: ``doc`` (the row without its text) and ``ids``.
 
@@ -238,14 +247,17 @@ def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", doc_co
     Defined cases: null and empty lists of ids give an empty text, special ids their own
     strings. Ids that the vocabulary lacks fail. Repeated rows and null ids of documents do not
     matter, ``doc`` is carried. A text of any length is joined at once. An empty table gives
-    an empty result.
+    an empty result. A task holds the texts of a few rows and the names of the tokens. Where the
+    ids come straight from :func:`encode_documents`, its worker runs beside this one.
     """
 
     def run(batches):
-        bpe = encoder(path)
+        names = id_names(path)
         for batch in batches:
-            texts = [bpe.decode(i.as_py() or []) for i in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc", "text"])
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                texts = [" ".join([names[i] for i in ids.as_py() or []]) for ids in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["doc", "text"])
 
     df = encoded.selectExpr(f"`{doc_col}` AS doc", f"`{ids_col}` AS ids")
     kind = df.schema["doc"].dataType.simpleString()

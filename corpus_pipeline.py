@@ -69,10 +69,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text and the digest of what they decode to, with the document's other columns.
 
     ``n_tokens``, ``ids`` and ``decoded_sha256`` replace columns of these names. Null and
-    empty texts have no ids and decode to an empty text.
+    empty texts have no ids and decode to an empty text. The ids are written before they are
+    decoded: a task has one Python worker at a time, not one that encodes beside one that decodes.
     """
     path = public_tokenizers.path(VOCABULARY)
-    coded = encode_documents(docs, path)
+    coded = stored(encode_documents(docs, path), "pipeline-encoded")
     whole = coded.select(F.struct("doc", "ids").alias("row"), "ids")
     decoded = decode_documents(whole, path, doc_col="row")
     made = {

@@ -79,3 +79,14 @@ def test_a_record_is_parsed_once(spark):
     for kind in ("training_sessions", "tasks_and_projects"):
         part = imports.summarize_source(rows, kind).filter(F.col("reject_reason").isNull()).select("row_number", "labels", "metrics")
         assert plan_of(part).count("from_json") == 1
+
+
+def test_pipeline_encodes_and_decodes_one_after_the_other(spark):
+    """The ids are written between the two: no task runs two Python workers, each with a vocabulary."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "some text", "a"), (2, None, "b")], "doc_id long, text string, ids string")
+    coded = corpus_pipeline.encode(spark, docs, "")
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert [(r.doc_id, r.n_tokens, len(r.ids)) for r in coded.orderBy("doc_id").collect()] == [(1, 2, 2), (2, 0, 0)]
