@@ -53,6 +53,20 @@ _ITEM = (
 )
 
 
+#: Parts that subscriptions and contents meet in at least, whatever their bytes.
+PARTS = 200
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows by subscription in as many parts as asked for.
+
+    Contents compress well, so parts joined by their bytes in the shuffle hold very many
+    rows, all of which a task sorts; a part's rows follow the rows there are.
+    """
+    parts = max(PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, "subscription_id")
+
+
 def subscription_items(
     subscriptions: DataFrame, contents: DataFrame, limit: int = 20, checked_at: AsOf = None
 ) -> DataFrame:
@@ -61,7 +75,7 @@ def subscription_items(
     ``contents`` holds (subscription_id, text) with at most one row per
     subscription. ``limit`` is the item limit per subscription.
     """
-    active = subscriptions.filter("enabled").join(contents, "subscription_id", "left")
+    active = _spread(subscriptions.filter("enabled")).join(_spread(contents), "subscription_id", "left")
     has_text = F.length(F.trim(F.coalesce("text", F.lit("")))) > 0
     feeds = active.filter(F.col("source_type").isin(*FEED_TYPES) & has_text)
     records = active.filter(F.col("source_type").isin(*JSON_TYPES) & has_text)

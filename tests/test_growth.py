@@ -8,7 +8,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from contextlake.operators import imports, sleep
+from contextlake.operators import imports, sleep, subscriptions
 from contextlake.session import work_dir
 from contextlake.sinks import tables as sinks
 from query_catalog import QUERIES
@@ -90,3 +90,18 @@ def test_pipeline_encodes_and_decodes_one_after_the_other(spark):
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1
     assert [(r.doc_id, r.n_tokens, len(r.ids)) for r in coded.orderBy("doc_id").collect()] == [(1, 2, 2), (2, 0, 0)]
+
+
+def test_subscriptions_meet_in_many_parts(spark):
+    """Parts are not joined again by their bytes: what a task sorts follows the rows."""
+    subs = spark.range(40).selectExpr(
+        "CAST(id % 20 AS STRING) AS subscription_id", "IF(id % 2 = 0, 'api_json', 'rss_feed') AS source_type", "true AS enabled",
+        "'l' AS label", "'r' AS reference",
+    ).distinct()
+    text = F.expr("""IF(id % 2 = 0, '[{"title": "a"}, {"title": "b"}]', '<rss><item><title>a</title></item></rss>')""")
+    contents = spark.range(20).select(F.col("id").cast("string").alias("subscription_id"), text.alias("text"))
+    items = subscriptions.subscription_items(subs, contents, checked_at="2024-01-31 00:00:00")
+    plan = items._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{subscriptions.PARTS}), REPARTITION_BY_NUM") >= 4
+    assert items.groupBy("subscription_id").count().groupBy("count").count().collect() != []
+    assert items.count() == 10 * 2 + 10
