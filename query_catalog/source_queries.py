@@ -569,11 +569,16 @@ def _rename_parts(spark, folder, pattern):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, k = fs.listFiles(path, True), 0
-    while found.hasNext():
-        file = found.next().getPath()
-        if file.getName().startswith("part-"):
-            fs.rename(file, jvm.org.apache.hadoop.fs.Path(file.getParent(), pattern.format(k)))
-            k += 1
-        elif file.getName() == "_SUCCESS":
-            fs.delete(file, False)
+    # A folder at a time: listFiles asks for the blocks of every file, milliseconds each.
+    folders, k = [path], 0
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            file = status.getPath()
+            name = file.getName()
+            if status.isDirectory():
+                folders.append(file)
+            elif name.startswith("part-"):
+                fs.rename(file, jvm.org.apache.hadoop.fs.Path(file.getParent(), pattern.format(k)))
+                k += 1
+            elif name == "_SUCCESS":
+                fs.delete(file, False)

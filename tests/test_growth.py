@@ -105,3 +105,15 @@ def test_subscriptions_meet_in_many_parts(spark):
     assert plan.count(f"{subscriptions.PARTS}), REPARTITION_BY_NUM") >= 4
     assert items.groupBy("subscription_id").count().groupBy("count").count().collect() != []
     assert items.count() == 10 * 2 + 10
+
+
+def test_parts_are_renamed_without_asking_for_blocks(spark):
+    """Written parts at any depth get their names; files are listed a folder at a time."""
+    from query_catalog.source_queries import _rename_parts
+
+    root = work_dir(spark, "named")
+    spark.range(9).selectExpr("CAST(id AS STRING) AS v", "id % 3 AS p").write.partitionBy("p").option("maxRecordsPerFile", 1).text(root)
+    _rename_parts(spark, root, "n{}.md")
+    found = sorted(f.rsplit("/", 1)[1] for f in glob.glob(f"{root}/p=*/*"))
+    assert found == sorted(f"n{k}.md" for k in range(9)) and not glob.glob(f"{root}/_SUCCESS")
+    assert "listFiles" not in _rename_parts.__code__.co_names
