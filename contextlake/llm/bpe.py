@@ -11,6 +11,7 @@ from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from .common import ROWS_AT_ONCE, map_texts
@@ -212,13 +213,19 @@ def encoder(path: str) -> WordBpe:
 
 @cache
 def id_names(path: str) -> dict[int, str]:
-    """Token names by id, all that decoding needs: a worker that decodes holds no merges and no words."""
+    """Token names by id, all that decoding needs: no merges and no words."""
     with open(path, encoding="utf-8") as file:
         described = json.load(file)
     names = {i: name for name, i in described["model"]["vocab"].items()}
     return names | {t["id"]: t["content"] for t in described["added_tokens"]}
 
 
+def names_alone(path: str) -> dict[int, str]:
+    """The names for a worker that decodes: an encoder that an earlier task left in it goes."""
+    encoder.cache_clear()
+    return id_names(path)
+
+
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Token ids of every whole text: ``doc`` (the row without its text) and ``ids``.
 
@@ -241,8 +248,10 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     return map_texts(docs, work, {"ids": "array<int>"}, text_col)
 
 
-def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", doc_col: str = "doc") -> DataFrame:
-    """``doc`` and the decoded ``text`` of each row of ids.
+def decode_documents(
+    encoded: DataFrame, path: str, ids_col: str = "ids", doc_col: str = "doc", keep_ids: bool = False
+) -> DataFrame:
+    """``doc`` and the decoded ``text`` of each row of ids, with ``keep_ids`` its ``ids`` between them.
 
     Defined cases: null and empty lists of ids give an empty text, special ids their own
     strings. Ids that the vocabulary lacks fail. Repeated rows and null ids of documents do not
@@ -252,16 +261,18 @@ def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", doc_co
     """
 
     def run(batches):
-        names = id_names(path)
+        names = names_alone(path)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
                 texts = [" ".join([names[i] for i in ids.as_py() or []]) for ids in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["doc", "text"])
+                kept = part.columns if keep_ids else part.columns[:1]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=made)
 
     df = encoded.selectExpr(f"`{doc_col}` AS doc", f"`{ids_col}` AS ids")
-    kind = df.schema["doc"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc {kind}, text string")
+    made = ["doc", "ids", "text"] if keep_ids else ["doc", "text"]
+    schema = StructType([df.schema[c] for c in made[:-1]]).add("text", "string")
+    return df.mapInArrow(run, schema)
 
 
 def digest_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:

@@ -74,16 +74,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     path = public_tokenizers.path(VOCABULARY)
     coded = stored(encode_documents(docs, path), "pipeline-encoded")
-    whole = coded.select(F.struct("doc", "ids").alias("row"), "ids")
-    decoded = decode_documents(whole, path, doc_col="row")
+    decoded = decode_documents(coded, path, keep_ids=True)
     made = {
-        "n_tokens": F.size("doc.ids").cast("long"),
-        "ids": F.col("doc.ids"),
+        "n_tokens": F.size("ids").cast("long"),
+        "ids": F.col("ids"),
         "decoded_sha256": F.sha2("text", 256),
     }
     carried = [c for c in coded.schema["doc"].dataType.fieldNames() if c not in made]
     return decoded.select(
-        *[F.col("doc.doc").getField(c).alias(c) for c in carried], *[made[n].alias(n) for n in made]
+        *[F.col("doc").getField(c).alias(c) for c in carried], *[made[n].alias(n) for n in made]
     )
 
 

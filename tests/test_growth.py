@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import glob
 import gzip
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +119,51 @@ def test_parts_are_renamed_without_asking_for_blocks(spark):
     found = sorted(f.rsplit("/", 1)[1] for f in glob.glob(f"{root}/p=*/*"))
     assert found == sorted(f"n{k}.md" for k in range(9)) and not glob.glob(f"{root}/_SUCCESS")
     assert "listFiles" not in _rename_parts.__code__.co_names
+
+
+def test_pipeline_sends_texts_and_ids_to_python_once(spark, monkeypatch):
+    """Python workers and Arrow buffers hold the text of a batch, or its ids, one time."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(
+        [(1, "Some text", "a", 9), (2, None, "b", None), (3, "", "b", 0)], "doc_id long, text string, source string, n_chars long"
+    )
+    sent = []
+
+    def noted(self, *args, _map=type(docs).mapInArrow, **options):
+        sent.append(self.schema.simpleString())
+        return _map(self, *args, **options)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    for stage in (corpus_pipeline.keep_good, corpus_pipeline.drop_copies, corpus_pipeline.encode):
+        stage(spark, docs, "")
+    big = [len(re.findall(r"text:|ids:", kind)) for kind in sent]
+    assert len(big) == 5 and max(big) == 1, sent
+
+
+def test_a_worker_that_decodes_keeps_no_encoder():
+    """Workers serve one task after another; the encoder with its words was most of their memory."""
+    import public_tokenizers
+
+    from contextlake.llm import bpe
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = bpe.encoder(path).encode("Some text")
+    names = bpe.names_alone(path)
+    assert bpe.encoder.cache_info().currsize == 0
+    assert " ".join(names[i] for i in ids) == bpe.encoder(path).decode(ids)
+
+
+def test_a_kept_text_is_read_where_it_is_sent(spark):
+    """Of any type, at any place, null or not, beyond one slice of rows."""
+    from contextlake.llm.common import map_texts
+
+    def work(texts):
+        return [pa.array([t.as_py() for t in texts], pa.binary())]
+
+    rows = [(k, None if k % 5 == 0 else f"té{k}" * (k % 3), k) for k in range(600)]
+    docs = spark.createDataFrame(rows, "id long, `a text` string, n int").coalesce(1)
+    for column, want in (("a text", [(t or "").encode() for _, t, _ in rows]), ("n", [str(n).encode() for *_, n in rows])):
+        found = map_texts(docs, work, {"seen": "binary"}, column, keep_text=True).orderBy("doc.id").collect()
+        assert [bytes(r.seen) for r in found] == want
+        assert [tuple(r.doc) for r in found] == rows
