@@ -226,10 +226,13 @@ def _parsed(df: DataFrame, row_json: str, names: Iterable[str]) -> DataFrame:
     """Record text parsed once into a struct of text fields ``_r``.
 
     The struct is a generated column: filters on its fields stay above it. Pushed below, each
-    of them would parse the record again, once per field it names.
+    of them would parse the record again, once per field it names. It is a plain column before
+    that: Spark does not count what a generator adds to a row, and would take the few columns
+    kept of a wide record for a table small enough to broadcast.
     """
     fields = StructType([StructField(n, StringType()) for n in dict.fromkeys(names)])
-    return df.select("*", F.explode(F.array(F.from_json(row_json, fields))).alias("_r"))
+    read = df.withColumn("_record", F.from_json(row_json, fields))
+    return read.select("*", F.explode(F.array("_record")).alias("_r")).drop("_record")
 
 
 def _field(*names: str) -> Column:

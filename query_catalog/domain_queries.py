@@ -636,6 +636,7 @@ def _(spark, sf):
     substring(sha256(event_type), 1, 16) AS instrument_hash, 'long' AS side, round(value / 10, 6) AS pnl_r FROM events""",
 )
 def _(spark, sf):
+    """Lessons and trades of one file for each event. Every side has a row per event, so none is broadcast."""
     e = F.col("event_id")
     record = F.struct(
         F.col("ts").cast("string").alias("date"), F.upper("event_type").alias("category"), F.concat(F.lit("course "), "user_id").alias("lesson"),
@@ -649,8 +650,8 @@ def _(spark, sf):
     key = ["source_file_hash"]
     ids = table(spark, sf, "events").select("event_id", F.substring(F.sha2(F.col("event_id").cast("string"), 256), 1, 16).alias("source_file_hash"))
     return (
-        ids.join(lessons.select(*key, "topic", "course_hash", "practice_minutes", "completed"), key)
-        .join(trades.select(*key, "instrument_hash", "side", "pnl_r"), key)
+        ids.join(lessons.select(*key, "topic", "course_hash", "practice_minutes", "completed").hint("merge"), key)
+        .join(trades.select(*key, "instrument_hash", "side", "pnl_r").hint("merge"), key)
         .drop(*key)
     )
 

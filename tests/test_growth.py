@@ -83,6 +83,23 @@ def test_a_record_is_parsed_once(spark):
         assert plan_of(part).count("from_json") == 1
 
 
+def size_of(df) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def test_columns_kept_of_a_record_are_not_taken_for_a_small_table(spark, events):
+    """Two columns of a parsed record, one row per event, are estimated as large as two columns of the table."""
+    rows = spark.read.parquet(f"{events}/events.parquet").select(F.col("props").alias("row_json"), F.col("event_type").alias("path"))
+    for parsed in (imports.learning_sessions(rows), imports.trade_entries(rows)):
+        assert size_of(parsed.select("source_file_hash", "reject_reason")) >= 0.9 * size_of(rows)
+
+
+def test_lessons_and_trades_are_not_broadcast(spark, events):
+    """They have a row per event; the small table of this test would be broadcast without a hint."""
+    plan = QUERIES["d11_learning_and_trades"](spark, events)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 2
+
+
 def test_pipeline_encodes_and_decodes_one_after_the_other(spark):
     """The ids are written between the two: no task runs two Python workers, each with a vocabulary."""
     import corpus_pipeline
