@@ -690,7 +690,8 @@ def _(spark, sf):
     hashed = rows.select("event_id", F.substring(F.sha2("path", 256), 1, 16).alias("source_file_hash"))
     lessons = imports.learning_sessions(rows).select("source_file_hash", F.col("reject_reason").alias("lesson_reason"))
     trades = imports.trade_entries(rows).select("source_file_hash", F.col("reject_reason").alias("trade_reason"))
-    return hashed.join(lessons, "source_file_hash").join(trades, "source_file_hash").drop("source_file_hash")
+    # Rejected or not, every side has a row per event.
+    return hashed.join(lessons.hint("merge"), "source_file_hash").join(trades.hint("merge"), "source_file_hash").drop("source_file_hash")
 
 
 @query(

@@ -94,9 +94,10 @@ def test_columns_kept_of_a_record_are_not_taken_for_a_small_table(spark, events)
         assert size_of(parsed.select("source_file_hash", "reject_reason")) >= 0.9 * size_of(rows)
 
 
-def test_lessons_and_trades_are_not_broadcast(spark, events):
+@pytest.mark.parametrize("name", ["d11_learning_and_trades", "d11_rows_without_time"])
+def test_lessons_and_trades_are_not_broadcast(spark, events, name):
     """They have a row per event; the small table of this test would be broadcast without a hint."""
-    plan = QUERIES["d11_learning_and_trades"](spark, events)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, events)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 2
 
 
