@@ -241,18 +241,25 @@ def read_inbox(spark: SparkSession, root: str, imported_at: AsOf = None) -> Data
 
 
 def import_inbox(
-    spark: SparkSession, root: str, landing_root: str, rejects_path: str, imported_at: AsOf = None, dt: str | Column | None = None
+    spark: SparkSession, root: str, landing_root: str, rejects_path: str, imported_at: AsOf = None, dt: str | Column | None = None,
+    compression: str | None = None,
 ) -> None:
     """Land an inbox: envelopes under ``landing_root``, rejected rows with their reasons in ``rejects_path``.
 
-    Rows are parsed once and staged; both outputs come from what was staged.
+    Rows are parsed once and staged; both outputs come from what was staged. A staged file holds rows of
+    one kind, so envelopes are landed without a shuffle; ``compression`` is that of the landing files.
     """
     events = _written(read_inbox(spark, root, imported_at), work_dir(spark, "inbox-events"))
-    write_landing(envelopes(events, imported_at), landing_root, dt)
+    write_landing(envelopes(events, imported_at), landing_root, dt, compression, gathered=True)
     rejected = events.filter(F.col("reject_reason").isNotNull())
     rejected.select("source_name", "source_file_hash", "row_number", "reject_reason").write.mode("append").parquet(rejects_path)
 
 
+#: Rows of a staged file at most. Files are dealt out by their bytes; staged rows take few, but time to parse.
+ROWS_PER_FILE = 50_000
+
+
 def _written(df: DataFrame, path: str, *partitions: str) -> DataFrame:
-    (df.hint("rebalance", *partitions) if partitions else df).write.partitionBy(*partitions).parquet(path)
+    spread = df.hint("rebalance", *partitions) if partitions else df
+    spread.write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

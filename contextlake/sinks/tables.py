@@ -108,19 +108,20 @@ def landing_writer(lines: DataFrame, compression: str | None = "gzip") -> DataFr
 
 
 def write_landing(
-    events: DataFrame, root: str, dt: str | Column | None = None, compression: str | None = None
+    events: DataFrame, root: str, dt: str | Column | None = None, compression: str | None = None, gathered: bool = False
 ) -> None:
     """Append envelopes as JSON lines under ``landing_source=<source>/dt=<date>``.
 
     The partition columns move into the path; a record keeps its own source name. With
     ``compression`` (``gzip``) the files end in ``.json.gz`` and take about a tenth of the space;
-    readers need no option for them, and plain files may lie beside them.
+    readers need no option for them, and plain files may lie beside them. Rows are dealt out by source
+    and date; ``gathered`` rows, of which a task holds few sources already, are written where they are.
     """
     day = F.current_date() if dt is None else (F.lit(dt) if isinstance(dt, str) else dt)
     staged = landing_objects(events).withColumns(
         {"landing_source": F.col("source_name"), "dt": day.cast("string")}
     )
-    spread = staged.hint("rebalance", "landing_source", "dt")
+    spread = staged if gathered else staged.hint("rebalance", "landing_source", "dt")
     landing_writer(spread, compression).partitionBy("landing_source", "dt").json(root)
 
 

@@ -547,7 +547,7 @@ def _(spark, sf):
     for folder, name in names.items():
         _rename_parts(spark, f"{root}/{folder}", name)
     landing, rejects = work_dir(spark, "s19-landing"), work_dir(spark, "s19-rejects")
-    inbox_plan.import_inbox(spark, root, landing, rejects, "2024-01-31 00:00:00", "2024-01-31")
+    inbox_plan.import_inbox(spark, root, landing, rejects, "2024-01-31 00:00:00", "2024-01-31", compression="gzip")
     payload = F.from_json("payload", "setup_hash string, activity_type string, row_number long, title_hash string")
     landed = files.read_landing(spark, f"{landing}/*/dt=*/*").withColumn("p", payload).withColumn(
         "place", F.element_at(F.split("idempotency_key", ":"), -1).cast("long")

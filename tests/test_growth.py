@@ -185,3 +185,61 @@ def test_a_kept_text_is_read_where_it_is_sent(spark):
         found = map_texts(docs, work, {"seen": "binary"}, column, keep_text=True).orderBy("doc.id").collect()
         assert [bytes(r.seen) for r in found] == want
         assert [tuple(r.doc) for r in found] == rows
+
+
+@pytest.fixture
+def staged(monkeypatch):
+    """Folders that an import makes, by name, and the plans of what it lands."""
+    from contextlake.plans import inbox
+
+    made, plans = {}, []
+
+    def noted(spark_, folder):
+        made[folder] = work_dir(spark_, folder)
+        return made[folder]
+
+    def planned(lines, *args, writer=sinks.landing_writer):
+        plans.append(lines._jdf.queryExecution().executedPlan().toString())
+        return writer(lines, *args)
+
+    monkeypatch.setattr(inbox, "work_dir", noted)
+    monkeypatch.setattr(inbox, "ROWS_PER_FILE", 2, raising=False)
+    monkeypatch.setattr(sinks, "landing_writer", planned)
+    return made, plans
+
+
+def test_an_inbox_is_landed_compressed_and_without_a_shuffle(spark, events, staged, monkeypatch):
+    """Plain envelopes were nine tenths of the bytes on disk, and dealing them out most of the shuffle."""
+    import query_catalog.source_queries as source_queries
+
+    made, plans = staged
+
+    def noted(spark_, folder):
+        made[folder] = work_dir(spark_, folder)
+        return made[folder]
+
+    monkeypatch.setattr(source_queries, "work_dir", noted)
+    rows = {r["source_name"]: r for r in QUERIES["s19_inbox_to_envelopes"](spark, events).collect()}
+    assert {n: (r["n"], r["n_ids"], r["rejected"]) for n, r in rows.items()} == {
+        "trade_journal_summary": (51, 51, 9), "training_sessions": (48, 48, 12), "sleep_quality": (53, 53, 7),
+        "calendar_events": (60, 60, 0), "personal_notes_summary": (5, 5, 0),
+    }
+    found = glob.glob(f"{made['s19-landing']}/**/*.json*", recursive=True)
+    assert found and all(f.endswith(".json.gz") for f in found)
+    assert plans and not any("Exchange" in p for p in plans)
+
+
+def test_staged_rows_of_an_inbox_lie_in_many_files(spark, tmp_path, staged):
+    """A kind with all the rows is parsed and landed by several tasks."""
+    from contextlake.plans import inbox
+
+    made, _plans = staged
+    (tmp_path / "trade_log.csv").write_text("date,symbol\n" + "2024-01-01,ABC\n" * 5)
+    landing, rejects = work_dir(spark, "staged-landing"), work_dir(spark, "staged-rejects")
+    inbox.import_inbox(spark, str(tmp_path), landing, rejects, "2024-02-01 00:00:00", "2024-02-01")
+    for name in ("inbox-records", "inbox-events"):
+        per_file = spark.read.parquet(made[name]).groupBy(F.input_file_name()).count().collect()
+        assert sorted(r["count"] for r in per_file) == [1, 2, 2]
+    lines = spark.read.json(landing)
+    assert lines.count() == lines.select("event_id").distinct().count() == 5
+    assert spark.read.parquet(rejects).count() == 0
