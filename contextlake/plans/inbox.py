@@ -20,6 +20,7 @@ from ..sinks.tables import write_landing
 from ..sources import files
 from ..sources.csv_records import csv_records
 from ..sources.inbox import scan_inbox
+from ..streaming.folders import remove
 
 
 @dataclass(frozen=True)
@@ -213,18 +214,19 @@ def envelopes(events: DataFrame, ingested_at: AsOf = None) -> DataFrame:
     return accepted.select(*[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in ENVELOPE.fields])
 
 
-def read_inbox(spark: SparkSession, root: str, imported_at: AsOf = None) -> DataFrame:
+def read_inbox(spark: SparkSession, root: str, imported_at: AsOf = None, staging: str | None = None) -> DataFrame:
     """Every row of every known file under ``root`` in the common form, rejected ones with a reason.
 
     One listing routes the files. Tabular and JSON records are written once, a
     partition for each kind, so that each parser reads the rows of its kind and no
     others; notes and calendars are read as documents. Files of unknown kind are left out,
-    and empty files hold no rows.
+    and empty files hold no rows. The listing and the records stand in the folder ``staging``.
     """
+    staging = staging or work_dir(spark, "inbox")
     at = as_text(as_of_col(imported_at), "timestamp")
-    listing = _written(scan_inbox(spark, root), work_dir(spark, "inbox-listing"))
+    listing = _written(scan_inbox(spark, root), f"{staging}/listing")
     records = inbox_records(spark, root, listing)
-    known = _written(records.filter(F.col("kind").isin(*KINDS)), work_dir(spark, "inbox-records"), "kind")
+    known = _written(records.filter(F.col("kind").isin(*KINDS)), f"{staging}/records", "kind")
     whole = known.filter("is_object")
     of = lambda kind: whole.filter(F.col("kind") == kind)
     parsers: dict[str, Callable[[DataFrame, Column], DataFrame]] = {
@@ -248,11 +250,15 @@ def import_inbox(
 
     Rows are parsed once and staged; both outputs come from what was staged. A staged file holds rows of
     one kind, so envelopes are landed without a shuffle; ``compression`` is that of the landing files.
+    What was staged is removed when it has been used; an import that stops leaves it.
     """
-    events = _written(read_inbox(spark, root, imported_at), work_dir(spark, "inbox-events"))
+    staging = work_dir(spark, "inbox")
+    events = _written(read_inbox(spark, root, imported_at, staging), f"{staging}/events")
+    remove(spark, f"{staging}/records")
     write_landing(envelopes(events, imported_at), landing_root, dt, compression, gathered=True)
     rejected = events.filter(F.col("reject_reason").isNotNull())
     rejected.select("source_name", "source_file_hash", "row_number", "reject_reason").write.mode("append").parquet(rejects_path)
+    remove(spark, staging)
 
 
 #: Rows of a staged file at most. Files are dealt out by their bytes; staged rows take few, but time to parse.

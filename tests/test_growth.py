@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import gzip
+import os
 import re
 
 import pyarrow as pa
@@ -189,30 +190,32 @@ def test_a_kept_text_is_read_where_it_is_sent(spark):
 
 @pytest.fixture
 def staged(monkeypatch):
-    """Folders that an import makes, by name, and the plans of what it lands."""
+    """Rows of each staged file of an import, by its folder, and the plans of what it lands."""
     from contextlake.plans import inbox
 
-    made, plans = {}, []
+    rows, plans = {}, []
 
-    def noted(spark_, folder):
-        made[folder] = work_dir(spark_, folder)
-        return made[folder]
+    def noted(df, path, *partitions, write=inbox._written):
+        found = write(df, path, *partitions)
+        counts = found.groupBy(F.input_file_name()).count().collect()
+        rows[path] = sorted(r["count"] for r in counts)
+        return found
 
     def planned(lines, *args, writer=sinks.landing_writer):
         plans.append(lines._jdf.queryExecution().executedPlan().toString())
         return writer(lines, *args)
 
-    monkeypatch.setattr(inbox, "work_dir", noted)
+    monkeypatch.setattr(inbox, "_written", noted)
     monkeypatch.setattr(inbox, "ROWS_PER_FILE", 2, raising=False)
     monkeypatch.setattr(sinks, "landing_writer", planned)
-    return made, plans
+    return rows, plans
 
 
 def test_an_inbox_is_landed_compressed_and_without_a_shuffle(spark, events, staged, monkeypatch):
     """Plain envelopes were nine tenths of the bytes on disk, and dealing them out most of the shuffle."""
     import query_catalog.source_queries as source_queries
 
-    made, plans = staged
+    made, plans = {}, staged[1]
 
     def noted(spark_, folder):
         made[folder] = work_dir(spark_, folder)
@@ -230,16 +233,15 @@ def test_an_inbox_is_landed_compressed_and_without_a_shuffle(spark, events, stag
 
 
 def test_staged_rows_of_an_inbox_lie_in_many_files(spark, tmp_path, staged):
-    """A kind with all the rows is parsed and landed by several tasks."""
+    """A kind with all the rows is parsed and landed by several tasks; nothing staged is left."""
     from contextlake.plans import inbox
 
-    made, _plans = staged
+    rows, _plans = staged
     (tmp_path / "trade_log.csv").write_text("date,symbol\n" + "2024-01-01,ABC\n" * 5)
     landing, rejects = work_dir(spark, "staged-landing"), work_dir(spark, "staged-rejects")
     inbox.import_inbox(spark, str(tmp_path), landing, rejects, "2024-02-01 00:00:00", "2024-02-01")
-    for name in ("inbox-records", "inbox-events"):
-        per_file = spark.read.parquet(made[name]).groupBy(F.input_file_name()).count().collect()
-        assert sorted(r["count"] for r in per_file) == [1, 2, 2]
+    assert sorted(rows.values()) == [[1], [1, 2, 2], [1, 2, 2]]
+    assert not any(os.path.exists(path.removeprefix("file:")) for path in rows)
     lines = spark.read.json(landing)
     assert lines.count() == lines.select("event_id").distinct().count() == 5
     assert spark.read.parquet(rejects).count() == 0
